@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.casts import finite
@@ -44,9 +44,14 @@ def union_sources(frames: Mapping[str, DataFrame], tag: str = "city") -> DataFra
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``by..., column, value``: numeric columns stacked, non-finite values as NULL."""
-    pairs = [
-        F.struct(F.lit(c).alias("column"), finite(F.col(c).cast("double")).alias("value"))
-        for c in columns
-    ]
-    return df.select(*by, F.inline(F.array(*pairs)))
+    """``by..., position, value``: numeric columns stacked, non-finite values as NULL.
+
+    The column is named by its position: exploding plain values and grouping by
+    a number stays in generated code, which stacking named structs does not.
+    """
+    values = F.array(*[finite(F.col(c).cast("double")) for c in columns])
+    return df.select(*by, F.posexplode(values).alias("position", "value"))
+
+
+def name_at(names: Sequence[str], position: Column) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in names]), position)

@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricelens.operators.columns import name_at
 from pricelens.schemas import FEATURE_INDEX
 from pricelens.sources.reports import rows_to_frame
 
@@ -30,12 +31,12 @@ def one_hot_suffix(column: str) -> str:
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per level of each column, all columns in one aggregation."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in columns]
     return (
-        df.select(F.inline(F.array(*pairs)))
+        df.select(F.posexplode(F.array(*columns)).alias("position", "level"))
         .filter(F.col("level").isNotNull())
-        .groupBy("column", "level")
+        .groupBy("position", "level")
         .agg(F.count("*").alias("n"))
+        .select(name_at(columns, F.col("position")).alias("column"), "level", "n")
     )
 
 

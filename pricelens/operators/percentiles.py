@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.operators.columns import long_values
+from pricelens.operators.columns import long_values, name_at
 from pricelens.session import join_on, small_side
 
 RANKED_ROWS = 1_000_000
@@ -41,10 +41,11 @@ def exact_percentiles(
 
     ``ranked_rows`` bounds the rows that are ranked in one window group; it has
     to be well above ``cells`` so that a cell is wider than the sketch error.
+    The input is read at least twice: hand in a stored or cached frame.
     """
     if ranked_rows < 20 * cells:
         raise ValueError("ranked_rows must be at least 20 times cells")
-    keys = [*by, "column"]
+    keys = [*by, "position"]
     values = long_values(df, columns, by)
     totals = small_side(values.groupBy(*keys).agg(F.count("value").alias("n")))
     found = _order_statistics(values, _targets(totals, keys, percentages), keys, ranked_rows, cells)
@@ -52,7 +53,10 @@ def exact_percentiles(
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
     )
     return join_on(totals, by_rank, keys, "left").select(
-        *keys, "n", *[_interpolate(p).alias(percentile_name(p)) for p in percentages]
+        *by,
+        name_at(columns, F.col("position")).alias("column"),
+        "n",
+        *[_interpolate(p).alias(percentile_name(p)) for p in percentages],
     )
 
 

@@ -7,13 +7,13 @@ per task and group, however many rows a group holds.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.casts import finite
-from pricelens.operators.columns import long_values
+from pricelens.operators.columns import long_values, name_at
 from pricelens.operators.percentiles import exact_percentiles, percentile_name
 from pricelens.operators.rows import points
 from pricelens.session import join_on, small_side
@@ -105,24 +105,28 @@ def histogram(
     is broadcast), then the counts. Empty bins are listed with a count of zero;
     a constant column has everything in bin 0.
     """
-    keys = [*by, "column"]
+    keys = [*by, "position"]
     values = long_values(df, columns, by).filter(F.col("value").isNotNull())
-    edges = small_side(values.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
+    edges = small_side(
+        values.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    )
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("value") - F.col("lo")) / width))
+    inner = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
     counted = (
         join_on(values, edges, keys)
-        .select(*keys, F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"))
-        .groupBy(*keys, "bin")
+        .groupBy(*keys, inner.alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
-        *keys,
+    frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return join_on(frame, counted, [*keys, "bin"], "left").select(
+        *by,
+        name_at(columns, F.col("position")).alias("column"),
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("lower"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
-    return join_on(frame, counted, [*keys, "bin"], "left").fillna(0, ["n"])
 
 
 def geo_grid(
@@ -163,20 +167,27 @@ def binned_pair(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
 def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson matrix per group in long form, each pair over the rows that have both.
 
-    All pairs are aggregated in one pass. A constant column correlates with
-    nothing, itself included (NULL).
+    One pass. Each row is met once per pair of columns, and the pairs are told
+    apart by number, so the running sums of a task are one short row per group
+    and pair; an aggregate per pair would need a row too wide for generated
+    code. A constant column correlates with nothing, itself included (NULL).
     """
-    clean = df.select(*by, *[finite(F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    wide = clean.groupBy(*by).agg(
-        *[F.corr(a, b).alias(f"{a}:{b}") for a, b in pairs],
-        *[F.when(F.max(c) > F.min(c), F.lit(1.0)).alias(f"{c}:{c}") for c in columns],
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    first = name_at([columns[i] for i, _ in pairs], F.col("pair"))
+    second = name_at([columns[j] for _, j in pairs], F.col("pair"))
+
+    def side(position: int) -> Column:
+        return F.get("values", F.get(F.array(*[F.lit(p[position]) for p in pairs]), F.col("pair")))
+
+    r = (
+        df.select(*by, F.array(*[finite(F.col(c).cast("double")) for c in columns]).alias("values"))
+        .select(*by, "values", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
+        .groupBy(*by, "pair")
+        .agg(finite(F.corr(side(0), side(1))).alias("r"))
+        .select(*by, first.alias("a"), second.alias("b"), "r")
     )
-
-    def cell(a: str, b: str) -> Column:
-        low, high = sorted((a, b), key=columns.index)
-        r = finite(F.col(f"`{low}:{high}`"))
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
-
-    cells = [cell(a, b) for a in columns for b in columns]
-    return wide.select(*by, F.inline(F.array(*cells)))
+    cell = F.struct(F.col("a"), F.col("b"), F.col("r"))
+    mirrored = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("r"))
+    unit = F.struct(F.col("a"), F.col("b"), F.when(F.col("r").isNotNull(), 1.0).alias("r"))
+    cells = F.when(F.col("a") == F.col("b"), F.array(unit)).otherwise(F.array(cell, mirrored))
+    return r.select(*by, F.inline(cells))

@@ -22,18 +22,22 @@ def derive_features(
     centers: Centers = constants.CITY_CENTERS,
     fallback_city: str | None = None,
 ) -> DataFrame:
-    """Rows a model can use, with ``log_price`` and ``dist_to_center`` added."""
+    """Rows a model can use, with ``log_price`` and ``dist_to_center`` added.
+
+    Rows are dropped by their inputs (price, coordinates, a city with a centre),
+    which is the same as by the derived values but lets the filter reach the
+    scan of a stored table.
+    """
     require_columns(df, constants.REQUIRED_COLUMNS)
-    derived = positive(df, "price").withColumns(
-        {
-            "log_price": log_target(F.col("price")),
-            "dist_to_center": distance_to_center(
-                F.col("latitude"), F.col("longitude"), F.col("city"), centers, fallback_city
-            ),
-        }
+    distance = distance_to_center(
+        F.col("latitude"), F.col("longitude"), F.col("city"), centers, fallback_city
     )
-    numeric, categorical = feature_columns(derived)
-    return drop_incomplete(derived, [*numeric, *categorical, "log_price"])
+    numeric = present_columns(df, constants.NUMERIC_FEATURES, "numeric feature")
+    categorical = present_columns(df, constants.CATEGORICAL_FEATURES, "categorical feature")
+    usable = drop_incomplete(positive(df, "price"), ["price", *numeric, *categorical])
+    if fallback_city is None:
+        usable = usable.filter(F.col("city").isin(*centers))
+    return usable.withColumns({"log_price": log_target(F.col("price")), "dist_to_center": distance})
 
 
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:

@@ -261,11 +261,11 @@ by_city AS (SELECT city, avg(log_price) AS p FROM train GROUP BY city),
 by_room AS (SELECT city, room_type, avg(log_price) AS p FROM train GROUP BY ALL),
 by_group AS (SELECT city, neighbourhood_group, avg(log_price) AS p FROM train GROUP BY ALL),
 predicted AS (
-  SELECT t.city, 'City' AS model, log_price AS y, p FROM test t LEFT JOIN by_city USING (city)
+  SELECT t.city, 'CityMean' AS model, log_price AS y, p FROM test t LEFT JOIN by_city USING (city)
   UNION ALL
-  SELECT t.city, 'RoomType', log_price, p FROM test t LEFT JOIN by_room USING (city, room_type)
+  SELECT t.city, 'RoomTypeMean', log_price, p FROM test t LEFT JOIN by_room USING (city, room_type)
   UNION ALL
-  SELECT t.city, 'Neighbourhood', log_price, p
+  SELECT t.city, 'NeighbourhoodMean', log_price, p
   FROM test t LEFT JOIN by_group USING (city, neighbourhood_group)),
 metrics AS (
   SELECT city, model, sqrt(avg((p - y) * (p - y))) AS rmse, avg(abs(p - y)) AS mae,
@@ -428,7 +428,7 @@ ORACLES: dict[str, str] = {
     ),
     "feature_index_map": derived(INDEX_MAP + "SELECT * FROM index_map"),
     "evaluate_regression": listing(
-        TRAINED + f"SELECT {METRICS_OUTPUT} FROM metrics WHERE model = 'RoomType'"
+        TRAINED + f"SELECT {METRICS_OUTPUT} FROM metrics WHERE model = 'RoomTypeMean'"
     ),
     "best_model": listing(
         TRAINED

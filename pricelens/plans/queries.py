@@ -60,14 +60,24 @@ def clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame
     return clean_listings(bindings.raw_listings(spark, sf_dir, wanted))
 
 
+def stored_clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """Clean listings written out, for operators that read their input several times.
+
+    The joins and casts behind them then run once, and a pass that is repeated
+    after a lost executor starts from the stored columns.
+    """
+    return stage_table(clean(spark, sf_dir, columns), "clean")
+
+
 # --- sources and sinks -------------------------------------------------------
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_clean(spark, sf_dir, MODEL_COLUMNS)
     frames = {
         "raw": bindings.raw_listings(spark, sf_dir, ["id"]),
-        "clean": clean(spark, sf_dir, []),
-        "model": derive_features(clean(spark, sf_dir, MODEL_COLUMNS)),
+        "clean": stored,
+        "model": derive_features(stored),
     }
     counts = [
         df.agg(F.count("*").alias("n")).select(F.lit(stage).alias("stage"), "n")
@@ -112,7 +122,7 @@ def csv_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_frame_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model frame written by city and one city read back (its folder only)."""
-    frame, _ = build_model_frame(clean(spark, sf_dir, MODEL_COLUMNS))
+    frame, _ = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     path = scratch_path(spark, "model_frame")
     write_model_frame(frame, path)
     stored = rows.only(read_model_frame(spark, path), city="NY")
@@ -225,14 +235,14 @@ def describe_text_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quartiles_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(constants.DOUBLE_COLUMNS)
     found = profile.quartiles(
-        clean(spark, sf_dir, ["city", *names]), names, constants.QUARTILE_PERCENTAGES, CITY
+        stored_clean(spark, sf_dir, ["city", *names]), names, constants.QUARTILE_PERCENTAGES, CITY
     )
     return round_columns(found, 4, "p25", "p50", "p75")
 
 
 def price_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = profile.tail_profile(
-        clean(spark, sf_dir, ["city"]), "price", constants.TAIL_PERCENTAGES, CITY
+        stored_clean(spark, sf_dir, ["city"]), "price", constants.TAIL_PERCENTAGES, CITY
     )
     return round_columns(tail, 4, "max", "p95", "p99")
 
@@ -243,13 +253,13 @@ def price_range_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     binned = profile.histogram(
-        clean(spark, sf_dir, ["city"]), ["price"], constants.HISTOGRAM_BINS, CITY
+        stored_clean(spark, sf_dir, ["city"]), ["price"], constants.HISTOGRAM_BINS, CITY
     )
     return round_columns(binned, 6, "lower", "upper")
 
 
 def log_price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = rows.positive(clean(spark, sf_dir, ["city"]))
+    priced = rows.positive(stored_clean(spark, sf_dir, ["city"]))
     logged = priced.select("city", log_target(F.col("price")).alias("log_price"))
     binned = profile.histogram(logged, ["log_price"], constants.HISTOGRAM_BINS, CITY)
     return round_columns(binned, 6, "lower", "upper")
@@ -330,7 +340,7 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of the 1 in each encoding; rows without one (NULL level) are absent."""
     names = list(constants.CATEGORICAL_FEATURES)
-    listings = clean(spark, sf_dir, names)
+    listings = stored_clean(spark, sf_dir, names)
     indexed = encode.fit_indexer(listings, names).transform(listings)
     encoded = encode.one_hot(names).fit(indexed).transform(indexed)
     pairs = [
@@ -348,7 +358,7 @@ def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature vector unpacked to one named column per position."""
-    frame, encoder = build_model_frame(clean(spark, sf_dir, MODEL_COLUMNS))
+    frame, encoder = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     names = encode.feature_index_map(spark, encoder).orderBy("feature_index").collect()
     unpacked = frame.withColumn("f", vector_to_array("features"))
     return unpacked.select(
@@ -360,7 +370,7 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    derived = derive_features(clean(spark, sf_dir, MODEL_COLUMNS))
+    derived = derive_features(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     return encode.feature_index_map(spark, encode.fit_encoder(derived, *feature_columns(derived)))
 
 
@@ -369,7 +379,7 @@ def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A stored model frame, one folder per city, and its feature index map."""
-    frame, encoder = build_model_frame(clean(spark, sf_dir, MODEL_COLUMNS))
+    frame, encoder = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     stored = stage_table(train.stable_layout(frame), "model_frame", CITY)
     return stored, encode.feature_index_map(spark, encoder)
 
@@ -423,7 +433,7 @@ def mean_predictions(spark: SparkSession, sf_dir: str, predictors: dict[str, lis
 
 
 def evaluate_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = mean_predictions(spark, sf_dir, {"RoomType": ["city", "room_type"]})
+    scored = mean_predictions(spark, sf_dir, {"RoomTypeMean": ["city", "room_type"]})
     return round_columns(evaluate(scored, ["city", "model"]), 4, "rmse", "mae", "r2")
 
 
@@ -432,9 +442,9 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         {
-            "City": ["city"],
-            "RoomType": ["city", "room_type"],
-            "Neighbourhood": ["city", "neighbourhood_group"],
+            "CityMean": ["city"],
+            "RoomTypeMean": ["city", "room_type"],
+            "NeighbourhoodMean": ["city", "neighbourhood_group"],
         },
     )
     best = report.best_model(evaluate(scored, ["city", "model"]))
@@ -447,7 +457,7 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deterministic importance table: squared correlation with the label, as shares."""
     names = list(constants.NUMERIC_FEATURES)
-    derived = derive_features(clean(spark, sf_dir, MODEL_COLUMNS))
+    derived = derive_features(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     matrix = profile.correlation(derived, [*names, "log_price"], CITY)
     position = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("a")) - 1
     share = F.col("r") * F.col("r")
