@@ -1,0 +1,45 @@
+"""Inner join on a key of which a few values may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> tuple:
+    """Key values with more rows than a shuffle partition should get.
+
+    One pass with a frequent-items sketch of fixed size. The answer only steers
+    how rows are spread, so an estimate is enough.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = df.agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(`{key}`, 200, 20000)").alias("top")
+    ).first()
+    threshold = max(found.n / partitions, min_rows)
+    return tuple(t.item for t in found.top if t["count"] > threshold)
+
+
+def spread_join(
+    df: DataFrame, side: DataFrame, key: str, side_key: str, spread_by: str, hot: Sequence
+) -> DataFrame:
+    """Join ``df`` to ``side`` (unique on its key), splitting the ``hot`` keys.
+
+    Rows of a hot key are dealt over as many slots as there are shuffle
+    partitions, by a hash of ``spread_by`` so that a retried task deals alike,
+    and the one matching ``side`` row is copied to each slot. All other rows
+    join as usual.
+    """
+    same_key = F.col(key) == F.col(side_key)
+    if not hot:
+        return df.join(side, same_key)
+    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = F.when(F.col(key).isin(*hot), F.pmod(F.xxhash64(spread_by), F.lit(slots)))
+    copies = F.when(F.col(side_key).isin(*hot), F.sequence(F.lit(0), F.lit(slots - 1)))
+    left = df.withColumn("_slot", F.coalesce(dealt, F.lit(0)).cast("int"))
+    right = side.withColumn("_copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    return left.join(right, same_key & (F.col("_slot") == F.col("_copy"))).drop("_slot", "_copy")

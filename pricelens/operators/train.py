@@ -73,14 +73,15 @@ def hash_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(df, "id", constants.TRAIN_PERCENT, constants.SPLIT_SEED)
 
 
-def stable_layout(df: DataFrame, key: str = "id") -> DataFrame:
+def stable_layout(df: DataFrame, key: str = "id", partition_by: Sequence[str] = ()) -> DataFrame:
     """Spread rows evenly by key and fix their order inside each partition.
 
     Tree learners draw samples per partition, so a model is repeatable only if
     the layout is. Apply it once, to the frame that is stored; the fits then
-    read the same layout every time and need no shuffle of their own.
+    read the same layout every time and need no shuffle of their own. Folder
+    columns lead the sort, as the writer would otherwise sort again by them.
     """
-    return df.repartition(F.col(key)).sortWithinPartitions(key)
+    return df.repartition(F.col(key)).sortWithinPartitions(*partition_by, key)
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

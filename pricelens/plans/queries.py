@@ -111,12 +111,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text out to one CSV folder per city, read back, cleaned and united."""
-    raw = bindings.raw_listings(spark, sf_dir, [*CLEAN_OUTPUT, "name"])
-    frames = {}
-    for city in constants.CITY_CENTERS:
-        path = scratch_path(spark, f"listings-{city}")
-        write_csv(rows.only(raw, city=city).drop("city"), path)
-        frames[city] = clean_listings(read_listings(spark, path))
+    path = scratch_path(spark, "listings")
+    write_csv(bindings.raw_listings(spark, sf_dir, CLEAN_OUTPUT), path, partition_by=CITY)
+    frames = {
+        city: clean_listings(read_listings(spark, f"{path}/city={city}"))
+        for city in constants.CITY_CENTERS
+    }
     return column_ops.union_sources(frames).select(*CLEAN_OUTPUT)
 
 
@@ -307,9 +307,8 @@ def price_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two single-city frames with one private column each."""
-    listings = bindings.listings(
-        spark, sf_dir, ["id", "city", "price", "room_type", "neighbourhood_group", "host_id"]
-    )
+    names = ["id", "city", "price", "room_type", "neighbourhood_group", "host_id"]
+    listings = stage_table(bindings.listings(spark, sf_dir, names), "listings", CITY)
     return column_ops.union_sources(
         {
             "LA": rows.only(listings, city="LA").drop("city", "host_id"),
@@ -380,7 +379,7 @@ def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A stored model frame, one folder per city, and its feature index map."""
     frame, encoder = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
-    stored = stage_table(train.stable_layout(frame), "model_frame", CITY)
+    stored = stage_table(train.stable_layout(frame, "id", CITY), "model_frame", CITY)
     return stored, encode.feature_index_map(spark, encoder)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -30,12 +32,15 @@ def read_listings(
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str, multiline: bool = False) -> None:
-    """One CSV file per partition, quoted for ``read_listings`` with the same flag.
+def write_csv(
+    df: DataFrame, path: str, multiline: bool = False, partition_by: Sequence[str] = ()
+) -> None:
+    """CSV files, one per partition, quoted for ``read_listings`` with the same flag.
 
+    ``partition_by`` writes a folder per value (``city=LA``) in the same pass.
     NULL and the empty string both read back as NULL.
     """
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").option("header", True).partitionBy(*partition_by)
     if multiline:
         writer = writer.option("escape", '"')
     writer.csv(path)
