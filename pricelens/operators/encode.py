@@ -57,21 +57,26 @@ def _checked_levels(df: DataFrame, columns: Sequence[str], max_levels: int) -> D
     return df.sparkSession.createDataFrame(rows, "column string, level string, n bigint")
 
 
-def fit_indexer(
+def fit_indexers(
     df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
-) -> StringIndexerModel:
-    """String to index by frequency; a level not seen here gets the extra index.
+) -> PipelineModel:
+    """String to index by frequency, one indexer per column, all from one job.
 
-    The labels come from one hash aggregation with map-side counts, and their
-    number is checked before they reach the driver.
+    A level not seen here gets the extra index. The labels come from a hash
+    aggregation with map-side counts, and their number is checked before they
+    reach the driver.
     """
     ranked = category_index(df, columns, max_levels).orderBy("column", "idx").collect()
-    labels = [[r.level for r in ranked if r.column == c] for c in columns]
-    return StringIndexerModel.from_arrays_of_labels(
-        labels,
-        inputCols=list(columns),
-        outputCols=[index_suffix(c) for c in columns],
-        handleInvalid="keep",
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(
+                [r.level for r in ranked if r.column == c],
+                inputCol=c,
+                outputCol=index_suffix(c),
+                handleInvalid="keep",
+            )
+            for c in columns
+        ]
     )
 
 
@@ -99,10 +104,10 @@ def fit_encoder(
     The encoder takes its sizes from the indexer's column metadata, so the only
     pass over the data is the level count.
     """
-    indexer = fit_indexer(df, categorical, max_levels)
-    encoder = one_hot(categorical).fit(indexer.transform(df.select(*categorical)))
+    indexers = fit_indexers(df, categorical, max_levels)
+    encoder = one_hot(categorical).fit(indexers.transform(df.select(*categorical)))
     assembler = assemble([*numeric, *[one_hot_suffix(c) for c in categorical]])
-    return PipelineModel([indexer, encoder, assembler])
+    return PipelineModel([*indexers.stages, encoder, assembler])
 
 
 def save_encoder(model: PipelineModel, path: str) -> None:
@@ -115,17 +120,13 @@ def load_encoder(path: str) -> PipelineModel:
 
 def feature_index_map(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Vector position -> feature name, source column and category level."""
-    indexer = next(s for s in model.stages if isinstance(s, StringIndexerModel))
+    indexers = {s.getOutputCol(): s for s in model.stages if isinstance(s, StringIndexerModel)}
     encoder = next(s for s in model.stages if isinstance(s, OneHotEncoderModel))
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     encoded = {
-        out: (column, labels[: size - 1])
-        for out, column, labels, size in zip(
-            encoder.getOutputCols(),
-            indexer.getInputCols(),
-            indexer.labelsArray,
-            encoder.categorySizes,
-            strict=True,
+        out: (indexers[index].getInputCol(), indexers[index].labels[: size - 1])
+        for index, out, size in zip(
+            encoder.getInputCols(), encoder.getOutputCols(), encoder.categorySizes, strict=True
         )
     }
     named: list[tuple[str, str, str | None]] = []

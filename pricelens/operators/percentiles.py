@@ -2,11 +2,11 @@
 
 The built-in exact percentile keeps a map of every distinct value of a group in
 one task, which fails once a group is large. Here each order statistic that a
-percentile needs is found by narrowing a bracket around it: one pass counts the
-rows below, at and between the ends of each bracket and sketches cut points for
-the next, narrower one. Once a bracket holds few rows they are ranked. The
-result is exact: the sketch only proposes ends, the counts decide. Small inputs
-need no narrowing at all.
+percentile needs is found by narrowing a bracket around it: a sketch of the
+values inside proposes narrower ends, then a count of the rows before and inside
+them tells where the target lies. Once a bracket holds few rows they are ranked.
+The result is exact, as the sketch only proposes and the counts decide. Small
+inputs need no narrowing at all.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pricelens.operators.columns import long_values, name_at
 from pricelens.session import join_on, small_side
 
-RANKED_ROWS = 1_000_000
+RANKED_ROWS = 100_000
 CELLS = 1_000
-SKETCH_ACCURACY = 20_000
+SKETCH_ACCURACY = 10_000
 
 
 def percentile_name(percentage: float) -> str:
@@ -95,80 +95,81 @@ def _strictly_inside(value: Column) -> Column:
 def _order_statistics(
     values: DataFrame, targets: DataFrame, keys: Sequence[str], ranked_rows: int, cells: int
 ) -> DataFrame:
-    bracket = [*keys, "lo", "hi"]
+    """``keys..., rank, value`` for every target."""
+    wide = F.col("value").isNull() & (F.col("inside") > ranked_rows)
     targets = small_side(targets)
-    while True:
-        # An unmeasured bracket (inside is NULL) is as good as a wide one.
-        wide = F.col("value").isNull() & (F.coalesce(F.col("inside"), F.lit(2**62)) > ranked_rows)
-        if targets.filter(wide).isEmpty():
-            break
-        targets = small_side(
-            targets.filter(~wide).unionByName(
-                _narrow(values, targets.filter(wide), keys, ranked_rows, cells)
-            )
-        )
-    open_targets = targets.filter(F.col("value").isNull())
-    ranked = _rank_inside(values, open_targets, keys)
-    resolved = join_on(open_targets.drop("value"), ranked, bracket).filter(
+    while not targets.filter(wide).isEmpty():
+        narrower = _tighten(values, targets.filter(wide), keys, cells)
+        measured = _measure(values, narrower, keys)
+        targets = small_side(targets.filter(~wide).unionByName(measured))
+    names = [*keys, "rank", "value"]
+    open_targets = targets.filter(F.col("value").isNull()).drop("value")
+    ranked = join_on(open_targets, _rank_inside(values, open_targets, keys), [*keys, "lo", "hi"])
+    resolved = ranked.filter(
         (F.col("rank") >= F.col("before") + F.col("first"))
         & (F.col("rank") < F.col("before") + F.col("last"))
     )
-    names = [*keys, "rank", "value"]
-    return targets.filter(F.col("value").isNotNull()).select(*names).unionByName(resolved.select(*names))
+    settled = targets.filter(F.col("value").isNotNull())
+    return settled.select(*names).unionByName(resolved.select(*names))
 
 
-def _narrow(
-    values: DataFrame, targets: DataFrame, keys: Sequence[str], ranked_rows: int, cells: int
+def _inside(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values strictly inside each distinct bracket."""
+    brackets = small_side(targets.select(*keys, "lo", "hi").distinct())
+    return join_on(values, brackets, keys).filter(
+        F.col("value").isNotNull() & _strictly_inside(F.col("value"))
+    )
+
+
+def _tighten(
+    values: DataFrame, targets: DataFrame, keys: Sequence[str], cells: int
 ) -> DataFrame:
+    """New bracket ends from a sketch of the values inside the old ones."""
+    bracket = [*keys, "lo", "hi"]
+    shares = [i / cells for i in range(cells + 1)]
+    cuts = small_side(
+        _inside(values, targets, keys)
+        .groupBy(*bracket)
+        .agg(F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts")),
+        max_rows=1_000_000 // cells,  # rows carry their cut points: bound the bytes
+    )
+    # cuts[i] is the value at share i / cells; the spare cell on either side of
+    # the target's own absorbs the sketch error.
+    offset = F.col("rank") - F.col("before")
+    cell = F.floor(offset * cells / F.col("inside")).cast("int")
+    lo = F.when(cell >= 2, F.get("cuts", cell - 1)).otherwise(F.col("lo"))
+    hi = F.when(cell + 2 < cells, F.get("cuts", cell + 2)).otherwise(F.col("hi"))
+    return small_side(
+        join_on(targets, cuts, bracket).select(*keys, "rank", lo.alias("lo"), hi.alias("hi"))
+    )
+
+
+def _measure(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count the rows before and inside each bracket; a target at an end is found."""
     bracket = [*keys, "lo", "hi"]
-    v = F.col("value")
-    inside = _strictly_inside(v)
     brackets = small_side(targets.select(*bracket).distinct())
-    measured = small_side(
+    v = F.col("value")
+    counts = small_side(
         join_on(values, brackets, keys)
         .filter(v.isNotNull())
         .groupBy(*bracket)
         .agg(
-            F.count_if(v <= F.col("lo")).alias("before_now"),
-            F.count_if(inside).alias("inside_now"),
-            F.percentile_approx(
-                F.when(inside, v), [i / cells for i in range(cells + 1)], SKETCH_ACCURACY
-            ).alias("cuts"),
-        ),
-        max_rows=1_000_000 // cells,  # rows carry their cut points: bound the bytes
+            F.count_if(v <= F.col("lo")).alias("before"),
+            F.count_if(_strictly_inside(v)).alias("inside"),
+        )
     )
-    state = join_on(targets.drop("before", "inside", "value"), measured, bracket)
-
-    # Where the target falls among the rows strictly inside, and the cell that is.
-    offset = F.col("rank") - F.col("before_now")
-    cell = F.floor(offset * cells / F.col("inside_now")).cast("int")
-    at_lo = offset < 0
-    at_hi = offset >= F.col("inside_now")
-    settled = at_lo | at_hi | (F.col("inside_now") <= ranked_rows)
-    # One spare cell on either side absorbs the sketch error; cuts[i] is the
-    # value at share i / cells.
-    low_cut = F.when(cell >= 2, F.get("cuts", cell - 1)).otherwise(F.col("lo"))
-    high_cut = F.when(cell + 2 < cells, F.get("cuts", cell + 2)).otherwise(F.col("hi"))
-    return state.select(
-        *keys,
-        "rank",
-        F.when(settled, F.col("lo")).otherwise(low_cut).alias("lo"),
-        F.when(settled, F.col("hi")).otherwise(high_cut).alias("hi"),
-        F.col("before_now").alias("before"),
-        F.when(settled, F.col("inside_now")).alias("inside"),
-        F.when(at_lo, F.col("lo")).when(at_hi, F.col("hi")).alias("value"),
+    at_lo = F.col("rank") < F.col("before")
+    at_hi = F.col("rank") >= F.col("before") + F.col("inside")
+    return join_on(targets, counts, bracket).withColumn(
+        "value", F.when(at_lo, F.col("lo")).when(at_hi, F.col("hi"))
     )
 
 
 def _rank_inside(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct values inside each open bracket with the rank range they cover."""
     bracket = [*keys, "lo", "hi"]
-    brackets = small_side(targets.select(*bracket).distinct())
     counted = (
-        join_on(values, brackets, keys)
-        .filter(F.col("value").isNotNull() & _strictly_inside(F.col("value")))
-        .groupBy(*bracket, "value")
-        .agg(F.count("*").alias("copies"))
+        _inside(values, targets, keys).groupBy(*bracket, "value").agg(F.count("*").alias("copies"))
     )
     last = F.sum("copies").over(Window.partitionBy(*bracket).orderBy("value"))
     return counted.withColumn("last", last).select(

@@ -179,11 +179,14 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     def side(position: int) -> Column:
         return F.get("values", F.get(F.array(*[F.lit(p[position]) for p in pairs]), F.col("pair")))
 
+    spread_x, spread_y = F.regr_sxx("y", "x"), F.regr_syy("y", "x")
+    share = F.regr_sxy("y", "x") / F.sqrt(spread_x * spread_y)
     r = (
         df.select(*by, F.array(*[finite(F.col(c).cast("double")) for c in columns]).alias("values"))
         .select(*by, "values", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
+        .select(*by, "pair", side(0).alias("x"), side(1).alias("y"))
         .groupBy(*by, "pair")
-        .agg(finite(F.corr(side(0), side(1))).alias("r"))
+        .agg(F.when((spread_x > 0) & (spread_y > 0), share).alias("r"))
         .select(*by, first.alias("a"), second.alias("b"), "r")
     )
     cell = F.struct(F.col("a"), F.col("b"), F.col("r"))

@@ -340,7 +340,7 @@ def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of the 1 in each encoding; rows without one (NULL level) are absent."""
     names = list(constants.CATEGORICAL_FEATURES)
     listings = stored_clean(spark, sf_dir, names)
-    indexed = encode.fit_indexer(listings, names).transform(listings)
+    indexed = encode.fit_indexers(listings, names).transform(listings)
     encoded = encode.one_hot(names).fit(indexed).transform(indexed)
     pairs = [
         F.struct(
