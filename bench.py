@@ -25,6 +25,8 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        # Small test tables: let partitions stay small enough to use every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.ui.enabled", "false")
         .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()

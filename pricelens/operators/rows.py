@@ -57,6 +57,12 @@ def split(df: DataFrame, key: str, train_percent: int, seed: int) -> tuple[DataF
     return df.filter(in_train), df.filter(~in_train)
 
 
+def mark_split(df: DataFrame, key: str, train_percent: int, seed: int) -> DataFrame:
+    """The same choice as ``split`` in a column ``part``: one pass, and worth storing."""
+    in_train = hash_bucket(F.col(key), seed, 100) < train_percent
+    return df.withColumn("part", F.when(in_train, "train").otherwise("test"))
+
+
 def random_split(df: DataFrame, train_percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Seeded random split; its rows depend on the partition layout."""
     share = train_percent / 100

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricelens import constants
 from pricelens.operators.evaluate import evaluate
-from pricelens.operators.rows import only, split
+from pricelens.operators.rows import mark_split, only, split
 from pricelens.schemas import IMPORTANCE, METRICS
 from pricelens.session import ensure_checkpoint_dir
 from pricelens.sources.reports import rows_to_frame
@@ -73,6 +73,15 @@ def hash_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split(df, "id", constants.TRAIN_PERCENT, constants.SPLIT_SEED)
 
 
+def mark_parts(df: DataFrame) -> DataFrame:
+    """The hash split as a stored column; with a folder per part no fit reads the other."""
+    return mark_split(df, "id", constants.TRAIN_PERCENT, constants.SPLIT_SEED)
+
+
+def stored_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return only(df, part="train"), only(df, part="test")
+
+
 def stable_layout(df: DataFrame, key: str = "id", partition_by: Sequence[str] = ()) -> DataFrame:
     """Spread rows evenly by key and fix their order inside each partition.
 
@@ -110,8 +119,8 @@ def train_by_group(
 ) -> list[Trained]:
     """Every model for every city.
 
-    ``frame`` should be a stored model frame partitioned by city: each fit then
-    reads its own city only. The learners cache their own binned form of the
+    ``frame`` should be a stored model frame with a folder per city, and per part
+    if the split is stored too: each fit then reads its own rows only. The learners cache their own binned form of the
     rows, so the frame itself is not cached a second time. The driver threads
     only submit jobs and hold fitted models.
     """

@@ -47,7 +47,8 @@ def listings(
     Order lines are summed per order before the join, so only one narrow row per
     order and task is shuffled. Customers are joined first, with the customers
     that placed very many orders split over several tasks; the last shuffle is
-    then on the unique order key and leaves the rows evenly spread. The
+    then on the unique order key and leaves the rows evenly spread. Both sides of
+    that join grow with the data, so it is a merge join at any size. The
     orders-per-host count costs a shuffle of its own and is planned only where
     it is asked for.
     """
@@ -71,7 +72,7 @@ def listings(
     hosted = spread_join(
         orders, hosts, "o_custkey", "c_custkey", "o_orderkey", hot_hosts(spark, sf_dir)
     )
-    joined = hosted.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    joined = hosted.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.select(*[_column(c).alias(c) for c in LISTING_COLUMNS if c in columns])
 
 

@@ -136,7 +136,7 @@ def model_frame_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = feature_scores(spark, sf_dir)
+    scores = feature_scores(stored_features(spark, sf_dir))
     path = scratch_path(spark, "importance")
     write_report(scores, path)
     ranked = report.rank_importance(read_report(spark, path, IMPORTANCE))
@@ -322,10 +322,7 @@ def split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_train, in_test = train.hash_split(bindings.listings(spark, sf_dir, ["id", "city", "price"]))
-    return in_train.withColumn("part", F.lit("train")).unionByName(
-        in_test.withColumn("part", F.lit("test"))
-    )
+    return train.mark_parts(bindings.listings(spark, sf_dir, ["id", "city", "price"]))
 
 
 # --- features ----------------------------------------------------------------
@@ -369,7 +366,7 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    derived = derive_features(stored_clean(spark, sf_dir, MODEL_COLUMNS))
+    derived = stored_features(spark, sf_dir)
     return encode.feature_index_map(spark, encode.fit_encoder(derived, *feature_columns(derived)))
 
 
@@ -377,16 +374,20 @@ def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A stored model frame, one folder per city, and its feature index map."""
+    """A stored model frame, a folder per city and part, and its feature index map."""
     frame, encoder = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
-    stored = stage_table(train.stable_layout(frame, "id", CITY), "model_frame", CITY)
+    folders = [*CITY, "part"]
+    laid_out = train.stable_layout(train.mark_parts(frame), "id", folders)
+    stored = stage_table(laid_out, "model_frame", folders)
     return stored, encode.feature_index_map(spark, encoder)
 
 
 def fit_report(spark: SparkSession, sf_dir: str, models: dict[str, Estimator]) -> DataFrame:
     """Metrics and named importances of every model and city, in long form."""
     frame, index_map = staged_model_frame(spark, sf_dir)
-    results = train.train_by_group(frame, list(constants.CITY_CENTERS), models)
+    results = train.train_by_group(
+        frame, list(constants.CITY_CENTERS), models, train.stored_split
+    )
     metrics = train.metrics_frame(spark, results).unpivot(
         ["city", "model", "status"], ["rmse", "mae", "r2"], "name", "value"
     )
@@ -417,8 +418,10 @@ def mean_predictions(spark: SparkSession, sf_dir: str, predictors: dict[str, lis
     """
     levels = list(constants.CATEGORICAL_FEATURES)
     listings = bindings.listings(spark, sf_dir, ["id", "city", "price", *levels])
-    logged = listings.withColumn("log_price", log_target(F.col("price")))
-    in_train, in_test = train.hash_split(logged)
+    logged = listings.withColumn("log_price", log_target(F.col("price"))).drop("price")
+    in_train, in_test = train.stored_split(
+        stage_table(train.mark_parts(logged), "split_listings", ["part"])
+    )
     sums = small_side(
         in_train.groupBy("city", *levels).agg(
             F.sum("log_price").alias("total"), F.count("*").alias("n")
@@ -453,10 +456,13 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports -----------------------------------------------------------------
 
 
-def feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive_features(stored_clean(spark, sf_dir, MODEL_COLUMNS))
+
+
+def feature_scores(derived: DataFrame) -> DataFrame:
     """A deterministic importance table: squared correlation with the label, as shares."""
     names = list(constants.NUMERIC_FEATURES)
-    derived = derive_features(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     matrix = profile.correlation(derived, [*names, "log_price"], CITY)
     position = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("a")) - 1
     share = F.col("r") * F.col("r")
@@ -469,21 +475,27 @@ def feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = report.name_features(feature_scores(spark, sf_dir), feature_index_map(spark, sf_dir))
-    return round_columns(named, 6, "importance")
+    derived = stored_features(spark, sf_dir)
+    encoder = encode.fit_encoder(derived, *feature_columns(derived))
+    index_map = encode.feature_index_map(spark, encoder)
+    return round_columns(
+        report.name_features(feature_scores(derived), index_map), 6, "importance"
+    )
 
 
 def rank_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_columns(report.rank_importance(feature_scores(spark, sf_dir)), 6, "importance")
+    ranked = report.rank_importance(feature_scores(stored_features(spark, sf_dir)))
+    return round_columns(ranked, 6, "importance")
 
 
 def top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_columns(report.top_features(feature_scores(spark, sf_dir)), 6, "importance")
+    top = report.top_features(feature_scores(stored_features(spark, sf_dir)))
+    return round_columns(top, 6, "importance")
 
 
 def compare_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    compared = report.compare_drivers(feature_scores(spark, sf_dir), "LA", "NY")
-    return round_columns(compared, 6, "LA", "NY", "difference")
+    scores = feature_scores(stored_features(spark, sf_dir))
+    return round_columns(report.compare_drivers(scores, "LA", "NY"), 6, "LA", "NY", "difference")
 
 
 QUERIES: dict[str, Query] = {

@@ -55,12 +55,14 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Materialise a side that is expected to be small and mark it for broadcast.
 
     The broadcast happens only once the row count has been seen to be within
-    ``max_rows``. A larger side is staged and joined by shuffle instead.
+    ``max_rows`` (``SMALL_SIDE_ROWS`` unless given). A larger side is staged and
+    joined by shuffle instead.
     """
+    max_rows = SMALL_SIDE_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

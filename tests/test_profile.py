@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pricelens import session
 from pricelens.operators import profile
 from pricelens.operators.percentiles import exact_percentiles, percentile_name
 
@@ -39,6 +40,24 @@ def test_exact_percentiles_match_brute_force(skewed, skewed_frame, ranked_rows,
         assert got == pytest.approx(np.quantile(values, PERCENTAGES).tolist(), rel=1e-12)
 
 
+def test_many_groups_take_the_shuffle_path(spark, skewed_frame, monkeypatch):
+    """With sides too large to broadcast the results stay the same."""
+
+    def results():
+        percentiles = exact_percentiles(skewed_frame, ["v", "w"], [0.25, 0.9], ["g"], 160, 8)
+        bins = profile.histogram(skewed_frame, ["v", "w"], 20, ["g"])
+        return [sorted(map(str, df.collect())) for df in (percentiles, bins)]
+
+    broadcast = results()
+    monkeypatch.setattr(session, "SMALL_SIDE_ROWS", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert results() == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_percentiles_of_null_keys_and_empty_columns(spark):
     df = spark.createDataFrame(
         [(None, 1.0, None), (None, 3.0, None), ("x", 5.0, None)], "g string, v double, w double"

@@ -47,6 +47,8 @@ def test_splits_are_disjoint_complete_and_layout_independent(spark):
     assert ids(train) == ids(again)
     assert sorted(ids(train) + ids(test)) == list(range(5000))
     assert 0.77 < train.count() / 5000 < 0.83
+    marked = rows.mark_split(df, "id", 80, 42)
+    assert ids(marked.filter("part = 'train'")) == ids(train)
     left, right = rows.random_split(df, 80, 42)
     assert left.count() + right.count() == 5000
 
@@ -149,3 +151,11 @@ def test_model_frame_column_rules(spark):
     frame, _ = build_model_frame(listing_frame(spark, ["number_of_reviews_ltm"]))
     assert frame.columns == ["id", "city", "log_price", "features"]
     assert {r.features.size for r in frame.collect()} == {8 + 2 + 2}
+
+
+def test_encoder_can_be_fitted_on_a_subset(spark):
+    only_la = lambda df: df.filter("city = 'LA'")
+    frame, _ = build_model_frame(listing_frame(spark), fit_on=only_la)
+    vectors = {r.id: r.features.toArray().tolist() for r in frame.collect()}
+    assert len(vectors["1"]) == 9 + 1 + 1
+    assert vectors["1"][9:] == [1.0, 1.0] and vectors["2"][9:] == [0.0, 0.0]
