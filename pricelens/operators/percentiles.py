@@ -145,7 +145,11 @@ def _tighten(
 
 
 def _measure(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Count the rows before and inside each bracket; a target at an end is found."""
+    """Count the rows before and inside each bracket; a target at an end is found.
+
+    A target outside its bracket would mean that the sketch broke its error
+    bound; that fails the job.
+    """
     bracket = [*keys, "lo", "hi"]
     brackets = small_side(targets.select(*bracket).distinct())
     v = F.col("value")
@@ -154,14 +158,24 @@ def _measure(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> Data
         .filter(v.isNotNull())
         .groupBy(*bracket)
         .agg(
+            F.count_if(v < F.col("lo")).alias("below"),
             F.count_if(v <= F.col("lo")).alias("before"),
             F.count_if(_strictly_inside(v)).alias("inside"),
+            F.count_if(v > F.col("hi")).alias("above"),
+            F.count("*").alias("n"),
         )
     )
-    at_lo = F.col("rank") < F.col("before")
-    at_hi = F.col("rank") >= F.col("before") + F.col("inside")
-    return join_on(targets, counts, bracket).withColumn(
-        "value", F.when(at_lo, F.col("lo")).when(at_hi, F.col("hi"))
+    rank = F.col("rank")
+    missed = (rank < F.col("below")) | (rank >= F.col("n") - F.col("above"))
+    at_lo = rank < F.col("before")
+    at_hi = rank >= F.col("before") + F.col("inside")
+    value = (
+        F.when(missed, F.raise_error(F.lit("order statistic outside its bracket")).cast("double"))
+        .when(at_lo, F.col("lo"))
+        .when(at_hi, F.col("hi"))
+    )
+    return join_on(targets, counts, bracket).select(
+        *keys, "rank", "lo", "hi", "before", "inside", value.alias("value")
     )
 
 

@@ -43,19 +43,26 @@ def describe_by(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 
 
 def describe_text_by(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """count, min and max of text columns, in long form."""
+    """count, min and max of text columns, in long form.
 
-    def summary(c: str) -> Column:
-        v = F.col(c)
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.count(v).alias("n"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
+    Text cannot be held in a hash aggregate's buffer, so a direct min or max
+    would sort every row by group. Counting the distinct values first keeps the
+    large side hashed and leaves the sort to what little remains.
+    """
+    levels = (
+        df.select(*by, F.posexplode(F.array(*columns)).alias("position", "level"))
+        .groupBy(*by, "position", "level")
+        .agg(F.count("level").alias("copies"))
+    )
+    return (
+        levels.groupBy(*by, "position")
+        .agg(
+            F.sum("copies").alias("n"),
+            F.min("level").alias("min"),
+            F.max("level").alias("max"),
         )
-
-    wide = df.groupBy(*by).agg(*[summary(c).alias(c) for c in columns])
-    return wide.select(*by, F.inline(F.array(*[F.col(c) for c in columns])))
+        .select(*by, name_at(columns, F.col("position")).alias("column"), "n", "min", "max")
+    )
 
 
 def quartiles(

@@ -339,16 +339,16 @@ def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     listings = stored_clean(spark, sf_dir, names)
     indexed = encode.fit_indexers(listings, names).transform(listings)
     encoded = encode.one_hot(names).fit(indexed).transform(indexed)
-    pairs = [
-        F.struct(
-            F.lit(c).alias("column"), vector_to_array(encode.one_hot_suffix(c)).alias("values")
-        )
-        for c in names
-    ]
+    ones = [F.array_position(vector_to_array(encode.one_hot_suffix(c)), 1.0) for c in names]
     return (
-        encoded.select("id", F.inline(F.array(*pairs)))
-        .select("id", "column", F.posexplode("values").alias("position", "value"))
-        .filter(F.col("value") != 0)
+        encoded.select("id", F.posexplode(F.array(*ones)).alias("number", "place"))
+        .filter(F.col("place") > 0)
+        .select(
+            "id",
+            column_ops.name_at(names, F.col("number")).alias("column"),
+            (F.col("place") - 1).cast("int").alias("position"),
+            F.lit(1.0).alias("value"),
+        )
     )
 
 
