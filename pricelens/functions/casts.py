@@ -11,6 +11,11 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
+def nan_as_null(value: Column) -> Column:
+    """NaN becomes NULL; refers to its input once, so an inlined input is not repeated."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
 def safe_double(text: Column, finite_only: bool = True) -> Column:
     value = text.try_cast("double")
     return finite(value) if finite_only else value

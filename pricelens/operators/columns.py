@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions.casts import finite
+from pricelens.functions.casts import nan_as_null
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,12 +44,12 @@ def union_sources(frames: Mapping[str, DataFrame], tag: str = "city") -> DataFra
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``by..., position, value``: numeric columns stacked, non-finite values as NULL.
+    """``by..., position, value``: numeric columns stacked, NaN as NULL.
 
     The column is named by its position: exploding plain values and grouping by
     a number stays in generated code, which stacking named structs does not.
     """
-    values = F.array(*[finite(F.col(c).cast("double")) for c in columns])
+    values = F.array(*[nan_as_null(F.col(c)) for c in columns])
     return df.select(*by, F.posexplode(values).alias("position", "value"))
 
 

@@ -12,7 +12,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions.casts import finite
+from pricelens.functions.casts import finite, nan_as_null
 from pricelens.operators.columns import long_values, name_at
 from pricelens.operators.percentiles import exact_percentiles, percentile_name
 from pricelens.operators.rows import points
@@ -189,11 +189,11 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     spread_x, spread_y = F.regr_sxx("y", "x"), F.regr_syy("y", "x")
     share = F.regr_sxy("y", "x") / F.sqrt(spread_x * spread_y)
     r = (
-        df.select(*by, F.array(*[finite(F.col(c).cast("double")) for c in columns]).alias("values"))
+        df.select(*by, F.array(*[nan_as_null(F.col(c)) for c in columns]).alias("values"))
         .select(*by, "values", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
         .select(*by, "pair", side(0).alias("x"), side(1).alias("y"))
         .groupBy(*by, "pair")
-        .agg(F.when((spread_x > 0) & (spread_y > 0), share).alias("r"))
+        .agg(F.when((spread_x > 0) & (spread_y > 0), finite(share)).alias("r"))
         .select(*by, first.alias("a"), second.alias("b"), "r")
     )
     cell = F.struct(F.col("a"), F.col("b"), F.col("r"))

@@ -200,21 +200,23 @@ CORRELATED = (
 
 
 def correlation_matrix() -> str:
+    pairs = list(combinations(CORRELATED, 2))
+    wide = ", ".join(f"{r(f'corr({a}, {b})', 6)} AS r{i}" for i, (a, b) in enumerate(pairs))
     off_diagonal = [
-        f"SELECT city, '{x}' AS a, '{y}' AS b, {r(f'corr({a}, {b})', 6)} AS r FROM clean GROUP BY city"
-        for a, b in combinations(CORRELATED, 2)
+        f"SELECT city, '{x}' AS a, '{y}' AS b, r{i} AS r FROM wide"
+        for i, (a, b) in enumerate(pairs)
         for x, y in ((a, b), (b, a))
     ]
-    diagonal = [
-        f"SELECT city, '{c}' AS a, '{c}' AS b, 1.0E0 AS r FROM clean GROUP BY city"
-        for c in CORRELATED
-    ]
-    return " UNION ALL ".join(off_diagonal + diagonal)
+    diagonal = [f"SELECT city, '{c}' AS a, '{c}' AS b, 1.0E0 AS r FROM wide" for c in CORRELATED]
+    return (
+        f", wide AS MATERIALIZED (SELECT city, {wide} FROM clean GROUP BY city) "
+        + " UNION ALL ".join(off_diagonal + diagonal)
+    )
 
 
 BUCKET = "('0x' || substr(md5(concat(CAST(id AS varchar), ':42')), 1, 8))::bigint"
 
-SCORES = ", scored AS ({}), score AS (SELECT city, model, feature_index, r * r / sum(r * r) OVER (PARTITION BY city) AS importance FROM scored) ".format(
+SCORES = ", scored AS MATERIALIZED ({}), score AS (SELECT city, model, feature_index, r * r / sum(r * r) OVER (PARTITION BY city) AS importance FROM scored) ".format(
     " UNION ALL ".join(
         f"SELECT city, 'SquaredCorrelation' AS model, CAST({i} AS integer) AS feature_index, "
         f"corr({c}, log_price) AS r FROM derived GROUP BY city"

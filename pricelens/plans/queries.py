@@ -61,10 +61,11 @@ def clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame
 
 
 def stored_clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
-    """Clean listings written out, for operators that read their input several times.
+    """Clean listings written out: the input of profiles and features.
 
-    The joins and casts behind them then run once, and a pass that is repeated
-    after a lost executor starts from the stored columns.
+    The joins and casts behind them then run once however often the columns are
+    referred to, price filters reach the scan, and a pass that is repeated after
+    a lost executor starts from the stored columns.
     """
     return stage_table(clean(spark, sf_dir, columns), "clean")
 
@@ -223,7 +224,7 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def describe_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(constants.DOUBLE_COLUMNS)
-    described = profile.describe_by(clean(spark, sf_dir, ["city", *names]), names, CITY)
+    described = profile.describe_by(stored_clean(spark, sf_dir, ["city", *names]), names, CITY)
     return round_columns(round_columns(described, 6, "mean", "min", "max"), 4, "stddev")
 
 
@@ -248,7 +249,8 @@ def price_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_range_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.range_of(price_cap(spark, sf_dir), "price", CITY)
+    capped = rows.cap_range(stored_clean(spark, sf_dir, ["city"]), "price", *VIEW_PRICE_CAP)
+    return profile.range_of(capped, "price", CITY)
 
 
 def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +268,7 @@ def log_price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_price_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = clean(spark, sf_dir, ["city", "latitude", "longitude"])
+    place = stored_clean(spark, sf_dir, ["city", "latitude", "longitude"])
     capped = rows.cap_range(place, "price", *VIEW_PRICE_CAP)
     grid = profile.geo_grid(capped, "latitude", "longitude", "price", 0.25, 0.02, CITY)
     return round_columns(grid, 6, "mean")
@@ -285,7 +287,7 @@ def nights_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nights_vs_log_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = rows.positive(clean(spark, sf_dir, ["city", "minimum_nights"]))
+    priced = rows.positive(stored_clean(spark, sf_dir, ["city", "minimum_nights"]))
     logged = priced.withColumn("log_price", log_target(F.col("price")))
     spread = profile.binned_pair(logged, "minimum_nights", "log_price", CITY)
     return round_columns(spread, 6, "mean", "min", "max")
@@ -298,7 +300,7 @@ def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(constants.CORRELATION_COLUMNS)
-    matrix = profile.correlation(clean(spark, sf_dir, ["city", *names]), names, CITY)
+    matrix = profile.correlation(stored_clean(spark, sf_dir, ["city", *names]), names, CITY)
     return round_columns(matrix, 6, "r")
 
 
