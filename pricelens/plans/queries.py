@@ -390,11 +390,17 @@ def fit_report(spark: SparkSession, sf_dir: str, models: dict[str, Estimator]) -
     results = train.train_by_group(
         frame, list(constants.CITY_CENTERS), models, train.stored_split
     )
-    metrics = train.metrics_frame(spark, results).unpivot(
-        ["city", "model", "status"], ["rmse", "mae", "r2"], "name", "value"
+    metrics = (
+        train.metrics_frame(spark, results)
+        .withColumn("kind", F.lit("metric"))
+        .unpivot(["city", "model", "status", "kind"], ["rmse", "mae", "r2"], "name", "value")
     )
     named = report.name_features(train.importance_frame(spark, results), index_map).select(
-        "city", "model", F.lit("importance").alias("status"), F.col("feature").alias("name"),
+        "city",
+        "model",
+        F.lit("ok").alias("status"),
+        F.lit("importance").alias("kind"),
+        F.col("feature").alias("name"),
         F.col("importance").alias("value"),
     )
     return metrics.unionByName(named)

@@ -30,9 +30,10 @@ def test_query_matches_sql(spark, sf_dir, oracle, name):
 def test_fit_queries(spark, sf_dir, name, importances):
     rows = QUERIES[name](spark, sf_dir).collect()
     for city in ("LA", "NY"):
-        metrics = {r.name: r.value for r in rows if r.city == city and r.status == "ok"}
+        assert {r.status for r in rows if r.city == city} == {"ok"}
+        metrics = {r.name: r.value for r in rows if r.city == city and r.kind == "metric"}
         assert set(metrics) == {"rmse", "mae", "r2"}
-        scores = [r.value for r in rows if r.city == city and r.status == "importance"]
+        scores = [r.value for r in rows if r.city == city and r.kind == "importance"]
         assert len(scores) == importances and all(s >= 0 for s in scores)
         if scores:
             assert sum(scores) == pytest.approx(1)
@@ -40,4 +41,4 @@ def test_fit_queries(spark, sf_dir, name, importances):
 
 def test_entry(spark):
     df = entry_points.entry(spark)
-    assert df.columns == ["city", "model", "status", "name", "value"] and df.count() == 44
+    assert df.columns == ["city", "model", "status", "kind", "name", "value"] and df.count() == 44
