@@ -68,7 +68,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 FROM d LEFT JOIN base USING (rid) LEFT JOIN every USING (rid) LEFT JOIN best USING (rid)
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, octet_length(CAST(encode(payload) AS BLOB)) AS n, sha256(payload) AS h FROM p),
+f AS (SELECT h, min(page_id) AS first_id, count(*) AS c FROM d WHERE n >= 100 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
+  CASE WHEN c > 1 AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN c > 1 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f ON d.h = f.h AND d.n >= 100
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_warc": WARC,
     "op6_decontamination": DECONTAMINATION,
     "op8_license_scan": LICENSES,
 }
