@@ -2,8 +2,9 @@
 
 The model is P(grade >= j | x) = sigmoid(w.x - t_j): one weight vector shared by
 all thresholds t_1 < t_2 < ..., which are kept in order by adding up positive
-gaps. Features are words whose presence differs between graded and clean labelled
-texts; a feature is 1 + ln(count). The fit reads a bounded sample of labelled
+gaps. Features are words and word beginnings (``PREFIXES`` letters and a star) whose
+presence differs between graded and clean labelled texts, so that inflected forms
+share a weight; a feature is 1 + ln(count). The fit reads a bounded sample of labelled
 texts (``SAMPLE_ROWS``, taken by a hash of the id) and at most ``MAX_FEATURES``
 words; scoring reads whole texts of all documents, row by row, without a shuffle.
 
@@ -26,26 +27,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.text import alnum_words
 from pricelens.session import stage_table
 
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 1_000
+MAX_FEATURES = 500
+PREFIXES = (4, 5)
 LEAST_TEXTS = 5
-LEAST_Z = 4.0
+#: Least likelihood-ratio statistic of a word's presence against the flag.
+LEAST_G2 = 30.0
 #: Log-odds of presence from which a word counts as a mark.
 MARK_LOG_ODDS = 3.0
 SEVERE_MARKS = 3
-L2 = 1e-3
+L2 = 1e-4
 ROUNDS = 400
 
 
 @dataclass
 class OrdinalModel:
-    words: dict[bytes, int]
+    words: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -61,22 +64,48 @@ _SPACES = bytes(
 )
 
 
-def byte_words(text: str | None) -> list[bytes]:
-    """The words of ``text.alnum_words`` as UTF-8."""
-    return (text or "").encode("utf-8", "replace").translate(_SPACES).split()
+def plain_words(text: str | None) -> list[str]:
+    """The words of ``text.alnum_words``."""
+    spaced = (text or "").encode("utf-8", "replace").translate(_SPACES)
+    return [w for w in spaced.decode().split(" ") if w]
+
+
+def terms(words: Column) -> Column:
+    """Words and their beginnings."""
+    longer = F.filter(words, lambda w: F.length(w) > max(PREFIXES))
+    starts = [F.transform(longer, lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
+    return F.concat(words, *starts)
+
+
+def used_terms(words: list[str], place: dict[str, int]) -> dict[int, int]:
+    """How often each term of the model occurs among the words."""
+    found: Counter[int] = Counter()
+    for word, n in Counter(words).items():
+        if word in place:
+            found[place[word]] += n
+        if len(word) > max(PREFIXES):
+            for k in PREFIXES:
+                if (start := f"{word[:k]}*") in place:
+                    found[place[start]] += n
+    return dict(sorted(found.items()))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, label_col: str) -> DataFrame:
-    """Words and flag of at most ``rows`` labelled texts, stored."""
+    """Words and flag of the different texts among ``rows`` labelled ones, stored.
+
+    A text that was copied counts once, so that its words do not pass for typical.
+    """
     known = labels.select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("_flag")).filter("_flag is not null")
     chosen = known.orderBy(F.xxhash64("_id"), "_id", "_flag").limit(rows)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col("text"))
     joined = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
-    return stage_table(joined.select("_flag", alnum_words(F.col("text")).alias("_w")), "toxicity_sample")
+    words = joined.select("_flag", alnum_words(F.col("text")).alias("_w"))
+    once = words.groupBy(F.xxhash64("_w").alias("_k")).agg(F.max("_flag").alias("_flag"), F.any_value("_w").alias("_w"))
+    return stage_table(once.drop("_k"), "toxicity_sample")
 
 
 def telling_words(sample: DataFrame, most: int) -> list[tuple[str, float]]:
-    """Words by how surely their presence differs between the kinds, with log-odds.
+    """Words by how much their presence tells about the flag, with log-odds.
 
     At most ``most`` rows reach the driver.
     """
@@ -84,16 +113,21 @@ def telling_words(sample: DataFrame, most: int) -> list[tuple[str, float]]:
     if flagged in (0, n):
         return []
     per_word = (
-        sample.select("_flag", F.explode(F.array_distinct("_w")).alias("w"))
+        sample.select("_flag", F.explode(F.array_distinct(terms(F.col("_w")))).alias("w"))
         .groupBy("w")
         .agg(F.sum("_flag").alias("a"), F.count("*").alias("n"))
         .filter(F.col("n") >= LEAST_TEXTS)
     )
-    a, c = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
-    odds = F.ln(a / (flagged - F.col("a") + 0.5)) - F.ln(c / (n - flagged - F.col("n") + F.col("a") + 0.5))
-    error = F.sqrt(1 / a + 1 / c + 1 / (flagged - F.col("a") + 0.5) + 1 / (n - flagged - F.col("n") + F.col("a") + 0.5))
-    scored = per_word.select("w", odds.alias("odds"), F.abs(odds / error).alias("z")).filter(F.col("z") >= LEAST_Z)
-    return [(r.w, r.odds) for r in scored.orderBy(F.desc("z"), "w").limit(most).collect()]
+    a, c = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double")
+    b, d = flagged - a, n - flagged - c
+    odds = F.ln((a + 0.5) / (b + 0.5)) - F.ln((c + 0.5) / (d + 0.5))
+
+    def part(seen, row, column):
+        return F.when(seen > 0, seen * F.ln(seen * n / (row * column))).otherwise(0.0)
+
+    g2 = 2 * (part(a, a + c, F.lit(flagged)) + part(b, b + d, F.lit(flagged)) + part(c, a + c, F.lit(n - flagged)) + part(d, b + d, F.lit(n - flagged)))
+    scored = per_word.select("w", odds.alias("odds"), g2.alias("g2")).filter(F.col("g2") >= LEAST_G2)
+    return [(r.w, r.odds) for r in scored.orderBy(F.desc("g2"), "w").limit(most).collect()]
 
 
 # --- fit ---------------------------------------------------------------------
@@ -139,9 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     def counts(batches):
         for batch in batches:
             flags, texts = batch.column("_flag").to_pylist(), batch.column("_w").to_pylist()
-            found = [sorted(Counter(place[w] for w in words if w in place).items()) for words in texts]
+            found = [used_terms(words, place) for words in texts]
             yield pa.RecordBatch.from_pydict(
-                {"flag": flags, "i": [[i for i, _ in f] for f in found], "n": [[n for _, n in f] for f in found]},
+                {"flag": flags, "i": [[*f] for f in found], "n": [[*f.values()] for f in found]},
                 pa.schema([("flag", pa.int32()), ("i", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]),
             )
 
@@ -153,22 +187,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     uses = np.concatenate([*table["n"], []]).astype(np.float64)
     marked = np.bincount(rows, uses * np.isin(cols, list(marks)), minlength=n)
     grades = np.where(table["flag"].to_numpy(dtype=np.int64) > 0, 1 + (marked >= SEVERE_MARKS), 0).astype(np.int64) if n else np.zeros(0, np.int64)
-    words = {w.encode(): i for w, i in place.items()}
-    if not words:
+    if not place:
         share = np.array([((grades >= j).sum() + 1) / (n + 2) for j in (1, 2)])
         cuts = np.maximum.accumulate(np.log((1 - share) / share))
-        return OrdinalModel(words, np.zeros(0), cuts)
-    weights, cuts = fit_ordinal(rows, cols, 1 + np.log(uses), grades, len(words), 3)
-    return OrdinalModel(words, weights, cuts)
+        return OrdinalModel(place, np.zeros(0), cuts)
+    weights, cuts = fit_ordinal(rows, cols, 1 + np.log(uses), grades, len(place), 3)
+    return OrdinalModel(place, weights, cuts)
 
 
 # --- scoring -----------------------------------------------------------------
 
 
-def linear_score(words: list[bytes], model: OrdinalModel) -> float:
-    place = model.words
-    found = Counter(place[w] for w in words if w in place)
-    return float(sum(model.weights[i] * (1 + np.log(n)) for i, n in sorted(found.items())))
+def linear_score(words: list[str], model: OrdinalModel) -> float:
+    return float(sum(model.weights[i] * (1 + np.log(n)) for i, n in used_terms(words, model.words).items()))
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,7 +210,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
     def grade(batches):
         for batch in batches:
-            words = [byte_words(t) for t in batch.column("_text").to_pylist()]
+            words = [plain_words(t) for t in batch.column("_text").to_pylist()]
             chance = model.at_least(np.array([linear_score(w, model) for w in words]))
             columns = [batch.column("_id"), pa.array([len(w) for w in words], pa.int64())]
             columns += [pa.array(chance[:, j]) for j in range(chance.shape[1])]
