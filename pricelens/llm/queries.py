@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, licenses, quality, toxicity, warc
+from pricelens.llm import decontaminate, licenses, lm, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,6 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_lm_score": op7_lm_score,
     "op8_license_scan": op8_license_scan,
 }
