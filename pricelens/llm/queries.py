@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, licenses, lm, quality, toxicity, warc
+from pricelens.llm import decontaminate, licenses, lm, packing, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
@@ -46,4 +50,5 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_lm_score": op7_lm_score,
     "op8_license_scan": op8_license_scan,
+    "op10_packing": op10_packing,
 }
