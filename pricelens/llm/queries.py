@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, licenses, lm, packing, quality, toxicity, warc
+from pricelens.llm import decontaminate, jaccard, licenses, lm, packing, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
