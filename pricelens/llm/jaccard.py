@@ -3,15 +3,15 @@
 A document's set holds the 64-bit hashes of its distinct ``SHINGLE``-word runs.
 Documents with equal sets form a class; the join works on classes.
 
-Candidates. The global n-gram order puts hashes below ``LOW`` of the hash range
-first, the rarest before the frequent ones, and then the rest by hash. Two sets
-with a Jaccard similarity of t or more share an n-gram among the first
-``n - ceil(t n) + 1`` of each, whatever the order; so only these prefixes are
-compared, and n-grams that occur in one class alone drop out. Classes that share
-a prefix n-gram form a bucket. A bucket is first resolved by hubs: one member is
-paired with the others, linked members join its component, and only pairs across
-components stay open. When few are open (``OPEN_PER_ROW``), or after
-``HUB_ROUNDS``, all open pairs are generated, so that none is lost.
+Candidates. The global n-gram order goes by hash, with frequent n-grams moved to the
+end, the rarer first. Two sets with a Jaccard similarity of t or more share an
+n-gram among the first ``n - ceil(t n) + 1`` of each, whatever the order; so only
+these prefixes are compared, and n-grams in one class's prefix alone drop out. The
+first shared n-gram's places bound the overlap (position filter). Classes that share
+a prefix n-gram form a bucket. All pairs of a bucket of at most ``SMALL_BUCKET``
+classes are candidates. A larger one is first thinned by hubs: one member is paired
+with the others, and only pairs across the components found stay open. After
+``HUB_ROUNDS`` all pairs still open are generated, so that none is lost.
 
 Verification. The n-gram order is cut into ``FRAGMENTS`` vertical fragments, and
 every candidate's set into segments. Overlaps are counted fragment by fragment and
@@ -39,10 +39,14 @@ from pricelens.session import stage_table
 SHINGLE = 5
 #: Similarity in hundredths, so that the test is exact in whole numbers.
 PERCENT = 80
-LOW = 0.26
 FRAGMENTS = 8
-HUB_ROUNDS = 4
-OPEN_PER_ROW = 0.5
+SMALL_BUCKET = 16
+HUB_ROUNDS = 3
+#: An n-gram is frequent if it occurs ``LOCAL`` times or more in some groups of about
+#: ``GROUP_BYTES`` bytes of text, and ``FREQUENT`` times in these together; of these, at
+#: most ``MOST_FREQUENT`` of the most frequent go last in the order. Any choice gives the
+#: same result.
+LOCAL, FREQUENT, GROUP_BYTES, MOST_FREQUENT = 3, 64, 4 << 20, 500_000
 #: Candidate rows (16 bytes each) that may be broadcast to the text scan.
 BROADCAST_ROWS = 1_000_000
 
@@ -64,10 +68,29 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def leading(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """All hashes in the low range, and as many more as the prefix may need."""
-    low = int(np.searchsorted(shingles, np.uint64(int(LOW * 2**64))))
-    return shingles[: max(low, prefix_length(len(shingles), percent))]
+class Order:
+    """The global n-gram order: by hash, then the frequent ones by rising count."""
+
+    def __init__(self, frequent: list[tuple[int, int]]):
+        known = np.array(frequent, np.int64).reshape(-1, 2)
+        hashes = known[:, 0].copy().view(np.uint64)
+        by_hash = np.argsort(hashes)
+        self.hashes = hashes[by_hash]
+        rank = np.empty(len(known), np.int64)
+        rank[np.lexsort((hashes, known[:, 1]))] = np.arange(len(known))
+        self.rank = rank[by_hash]
+
+    def prefix(self, shingles: np.ndarray, percent: int) -> np.ndarray:
+        size = prefix_length(len(shingles), percent)
+        if not len(self.hashes):
+            return shingles[:size]
+        at = np.minimum(np.searchsorted(self.hashes, shingles), len(self.hashes) - 1)
+        is_frequent = self.hashes[at] == shingles
+        plain = shingles[~is_frequent][:size]
+        if len(plain) == size:
+            return plain
+        last = shingles[is_frequent][np.argsort(self.rank[at[is_frequent]])]
+        return np.concatenate([plain, last[: size - len(plain)]])
 
 
 def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -75,62 +98,85 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_k"), text.cast("binary").alias("_text"))
 
 
-def set_sizes(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``_id``, ``_k``, set size ``n``, set key ``c`` and the leading hashes' number ``m``."""
+def set_sizes(rows: DataFrame, shingle: int) -> DataFrame:
+    """``_id``, ``_k``, set size ``n`` and set key ``c`` of every row; stored."""
 
     def sizes(batches):
         for batch in batches:
-            n, c, m = [], [], []
+            n, c = [], []
             for group in chunks(batch.column("_text").to_pylist()):
                 for found in shingle_sets(group, shingle):
                     n.append(len(found))
                     c.append(set_key(found))
-                    m.append(len(leading(found, percent)) if len(found) else 0)
-            columns = [pa.array(x, pa.int64()) for x in (n, c, m)]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_k"), *columns], ["_id", "_k", "n", "c", "m"])
+            columns = [batch.column("_id"), batch.column("_k"), pa.array(n, pa.int64()), pa.array(c, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_k", "n", "c"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long, m long"), "set_sizes")
+    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long"), "set_sizes")
+
+
+def global_order(rows: DataFrame, shingle: int) -> Order:
+    """Count frequent n-grams over all texts; a bounded table reaches the driver."""
+
+    def count(batches):
+        parts, size = [], 0
+        for batch in batches:
+            for group in chunks(batch.column("_text").to_pylist()):
+                parts += shingle_sets(group, shingle)
+                size += sum(map(len, group))
+                if size >= GROUP_BYTES:
+                    yield often(parts)
+                    parts, size = [], 0
+        if parts:
+            yield often(parts)
+
+    def often(parts: list[np.ndarray]) -> pa.RecordBatch:
+        kinds, counts = np.unique(np.concatenate(parts), return_counts=True)
+        keep = counts >= LOCAL
+        return pa.RecordBatch.from_arrays([pa.array(kinds[keep].view(np.int64)), pa.array(counts[keep])], ["g", "f"])
+
+    counted = rows.select("_text").mapInArrow(count, "g long, f long").groupBy("g").agg(F.sum("f").alias("f"))
+    top = counted.filter(F.col("f") >= FREQUENT).orderBy(F.desc("f"), "g").limit(MOST_FREQUENT)
+    return Order([(r.g, r.f) for r in top.collect()])
 
 
-def leading_rows(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """A row per text and leading hash: ``g``, ``c``."""
+def prefix_rows(rows: DataFrame, order: Order, shingle: int, percent: int) -> DataFrame:
+    """A row per text and prefix n-gram: ``g``, set key ``c``, set size ``n``, place ``i``."""
+    shared = rows.sparkSession.sparkContext.broadcast((order.hashes, order.rank))  # MOST_FREQUENT entries at most
 
     def lead(batches):
+        order = Order([])
+        order.hashes, order.rank = shared.value
         for batch in batches:
             for group in chunks(batch.column("_text").to_pylist()):
                 found = [x for x in shingle_sets(group, shingle) if len(x)]
                 if not found:
                     continue
-                parts = [leading(x, percent) for x in found]
-                keys = np.repeat(np.array([set_key(x) for x in found], np.int64), [len(p) for p in parts])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(keys)], ["g", "c"])
+                parts = [order.prefix(x, percent) for x in found]
+                times = [len(p) for p in parts]
+                keys = np.repeat(np.array([set_key(x) for x in found], np.int64), times)
+                sizes = np.repeat(np.array([len(x) for x in found], np.int32), times)
+                places = np.concatenate([np.arange(t, dtype=np.int32) for t in times])
+                columns = [pa.array(np.concatenate(parts).view(np.int64)), pa.array(keys), pa.array(sizes), pa.array(places)]
+                yield pa.RecordBatch.from_arrays(columns, ["g", "c", "n", "i"])
 
-    return rows.select("_text").mapInArrow(lead, "g long, c long")
+    return rows.select("_text").mapInArrow(lead, "g long, c long, n int, i int")
 
 
-def probes(leads: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Prefix n-grams that at least two classes hold: ``g``, ``c``, ``n``; stored."""
+def probes(leads: DataFrame) -> DataFrame:
+    """Prefix rows of n-grams that at least two classes hold there, once per class; stored."""
     same = Window.partitionBy("g")
     first = Window.partitionBy("g").orderBy("c")
-    shared = leads.withColumns(
-        {
-            "_least": F.min("c").over(same),
-            "_most": F.max("c").over(same),
-            "df": F.count("*").over(same),
-            "_before": F.lag("c").over(first),
-        }
-    ).filter("_least <> _most and (_before is null or _before <> c)")
-    listed = shared.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("_list"))
-    sized = listed.join(classes.select(F.col("c").alias("_c"), "n", "m"), F.col("c") == F.col("_c"))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    room = F.when(F.col("m") <= prefix, F.size("_list")).otherwise(prefix - (F.col("m") - F.size("_list")))
-    kept = sized.withColumn("_list", F.slice("_list", F.lit(1), F.greatest(room, F.lit(0)).cast("int")))
-    return stage_table(kept.select(F.explode("_list.g").alias("g"), "c", "n"), "probes")
-
-
-def long_enough(a: Column, b: Column, percent: int) -> Column:
-    return (a * percent <= b * 100) & (b * percent <= a * 100)
+    marked = leads.withColumns({"_least": F.min("c").over(same), "_most": F.max("c").over(same), "_before": F.lag("c").over(first)})
+    shared = marked.filter("_least <> _most and (_before is null or _before <> c)")
+    return stage_table(shared.select("g", "c", "n", "i"), "probes")
+
+
+def may_link(percent: int) -> Column:
+    """Length and position filter for sizes n1, n2 and places i1, i2."""
+    n1, n2, i1, i2 = map(F.col, ("n1", "n2", "i1", "i2"))
+    needed = F.ceil((n1 + n2) * percent / (100 + percent) - 1e-9)
+    return (n1 * percent <= n2 * 100) & (n2 * percent <= n1 * 100) & (F.least(n1 - i1, n2 - i2) >= needed)
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -186,38 +232,32 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
     """Components of the classes (``node``, ``label``) and one row per class."""
     spark = rows.sparkSession
     classes = stage_table(
-        sizes.filter("n > 0").groupBy("c").agg(
-            F.min("_id").alias("least"), F.max("n").alias("n"), F.max("m").alias("m"), F.count("*").alias("copies"), F.min(F.struct("_id", "_k")).alias("_one")
-        ),
-        "classes",
+        sizes.filter("n > 0").groupBy("c").agg(F.min("_id").alias("least"), F.min(F.struct("_id", "_k")).alias("_one")), "classes"
     )
-    bucket = probes(leading_rows(rows, shingle, percent), classes, percent)
+    bucket = probes(prefix_rows(rows, global_order(rows, shingle), shingle, percent))
     held = bucket.select(F.col("c").alias("_held")).distinct()
     wanted = stage_table(classes.join(held, F.col("c") == F.col("_held"), "left_semi").select("_one.*", "c"), "candidates")
     parts = segments(rows, wanted, shingle)
-    n_rows = bucket.count()
-    links = spark.createDataFrame([], "a long, b long")
-    tested = spark.createDataFrame([], "a long, b long")
+    links = tested = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
     for round_ in range(HUB_ROUNDS + 1):
-        now = bucket.join(labels, F.col("c") == F.col("node"), "left").select("g", "c", "n", F.coalesce("label", "c").alias("label"))
-        per_label = now.groupBy("g", "label").agg(F.count("*").alias("_m"))
-        counts = per_label.groupBy("g").agg(F.sum("_m").alias("_all"), F.sum(F.col("_m") * F.col("_m")).alias("_own")).filter("_all * _all > _own")
-        mixed = stage_table(counts.select(F.col("g").alias("_g"), ((F.col("_all") * F.col("_all") - F.col("_own")) / 2).alias("_open")), "open_buckets")
-        still = mixed.agg(F.coalesce(F.sum("_open"), F.lit(0.0))).first()[0]
-        if not still:
+        now = bucket.join(labels, F.col("c") == F.col("node"), "left").select("g", "c", "n", "i", F.coalesce("label", "c").alias("label"))
+        chance = F.xxhash64("c", F.lit(round_))
+        hub = F.min_by(F.struct(*[F.col(x).alias(f"{x}2") for x in ("c", "n", "i", "label")]), chance)
+        open_ = now.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m"), F.min("label").alias("_l1"), F.max("label").alias("_l2"), hub.alias("_hub"))
+        open_ = stage_table(open_.filter("_l1 <> _l2").select("g2", "m", "_hub.*"), "open_buckets")
+        if not open_.limit(1).count():
             break
-        now = now.join(mixed.select("_g"), F.col("g") == F.col("_g"), "left_semi")
-        last = round_ == HUB_ROUNDS or still <= OPEN_PER_ROW * n_rows
-        one = now.select("g", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("label").alias("l1"))
-        if last:
-            two = now.select(F.col("g").alias("g2"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2"))
-            met = one.join(two, (F.col("g") == F.col("g2")) & (F.col("c1") < F.col("c2")) & (F.col("l1") != F.col("l2")) & long_enough(F.col("n1"), F.col("n2"), percent))
-        else:
-            chance = F.xxhash64("c", F.lit(round_))
-            hubs = now.groupBy(F.col("g").alias("g2")).agg(F.min_by(F.struct(F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2")), chance).alias("_hub"))
-            hubs = stage_table(hubs.select("g2", "_hub.*"), "hubs")
-            met = one.join(hubs, (F.col("g") == F.col("g2")) & (F.col("l1") != F.col("l2")) & long_enough(F.col("n1"), F.col("n2"), percent))
+        last = round_ == HUB_ROUNDS
+        one = now.select("g", *[F.col(x).alias(f"{x}1") for x in ("c", "n", "i", "label")])
+        across = (F.col("g") == F.col("g2")) & (F.col("label1") != F.col("label2")) & may_link(percent)
+        met = one.join(open_, across)
+        if round_ == 0 or last:
+            every = open_.filter(F.col("m") <= SMALL_BUCKET) if not last else open_
+            two = stage_table(one.join(every.select(F.col("g2").alias("_g")), F.col("g") == F.col("_g"), "left_semi"), "open_members")
+            other = two.select(*[F.col(x).alias(f"{x[:-1]}2" if x != "g" else "g2") for x in two.columns])
+            pairs = two.join(other, across & (F.col("c1") < F.col("c2")))
+            met = pairs if last else pairs.unionByName(met.filter(F.col("m") > SMALL_BUCKET).drop("m"))
         pairs = stage_table(ordered(met).join(tested, ["a", "b"], "left_anti"), "candidate_pairs")
         links = links.unionAll(verified(pairs, parts, percent))
         labels = components(links)
@@ -230,7 +270,7 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
 def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``_id``, ``_k``, set size ``n``, class ``c``, ``component``."""
     rows = text_rows(docs, id_col, text_col)
-    sizes = set_sizes(rows, shingle, percent)
+    sizes = set_sizes(rows, shingle)
     labels, classes = class_links(rows, sizes, shingle, percent)
     named = classes.join(labels, F.col("c") == F.col("node"), "left").select(F.col("c").alias("_c"), "least", F.coalesce("label", "c").alias("label"))
     named = stage_table(named, "class_labels")

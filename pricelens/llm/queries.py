@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, jaccard, licenses, lm, packing, quality, toxicity, warc
+from pricelens.llm import decontaminate, jaccard, licenses, lm, packing, quality, suffix, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.report(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -55,5 +59,6 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_lm_score": op7_lm_score,
     "op8_license_scan": op8_license_scan,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
 }
