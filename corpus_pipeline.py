@@ -3,24 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricelens.llm import decontaminate
+from pricelens.llm import decontaminate, jaccard, packing, quality, suffix
 from pricelens.session import stage_table
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the site-smoothed classifier rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies stays."""
+    return jaccard.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes under a repeated string are cut out of the texts."""
+    cut = suffix.remove_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else cut
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark window occurs go."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", contaminated)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents with their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: Suffix sorting, packing and a fitted classifier have no SQL.
+#: A fitted classifier and a search for packings have no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), "pipeline")
+    for name, stage in STAGES:
+        docs = stage_table(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return docs

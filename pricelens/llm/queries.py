@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, jaccard, licenses, lm, packing, quality, suffix, toxicity, warc
+from pricelens.llm import ann, decontaminate, jaccard, licenses, lm, packing, quality, suffix, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.report(table(spark, sf_dir, "embeddings"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_learned_partitions": op1_learned_partitions,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,

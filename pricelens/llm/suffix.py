@@ -231,11 +231,11 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     none = F.lit(None).cast("struct<first:long,end:long>")
     spans = repeated(rows).select("k", F.lit(1).cast("long").alias("n"), F.struct("first", "end").alias("span"))
     marks = copies.select(F.col("_k").alias("k"), F.col("_n").alias("n"), none.alias("span")).unionAll(spans)
-    marks = stage_table(marks.groupBy("k").agg(F.max("n").alias("_copies"), F.collect_list("span").alias("_spans")), "repeat_marks")
+    marks = stage_table(marks.groupBy(F.col("k").alias("_marked")).agg(F.max("n").alias("_copies"), F.collect_list("span").alias("_spans")), "repeat_marks")
     cells = marks.agg(F.coalesce(F.sum(F.size("_spans") * 2 + 2), F.lit(0))).first()[0]
     side = F.broadcast(marks) if cells <= BROADCAST_CELLS else marks
     key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(side, key == F.col("k"), "left").drop("k")
+    return docs.join(side, key == F.col("_marked"), "left").drop("_marked")
 
 
 def without_spans(text: bytes, copies: int | None, spans: list | None) -> tuple[bytes, int]:
