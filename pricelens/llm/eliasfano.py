@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _ONE = np.uint64(1)
+BLOCK = 1 << 15
 
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -25,12 +26,11 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     high[places] = 1
     high = np.packbits(high, bitorder="little").view(np.uint64)
     ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high))]).astype(np.uint32 if n < 2**32 else np.uint64)
-    if bits:
-        low = ((values[:, None] >> np.arange(bits, dtype=np.uint64)) & _ONE).astype(np.uint8)
-        packed = np.packbits(low.reshape(-1), bitorder="little")
-    else:
-        packed = np.zeros(0, np.uint8)
-    packed = np.concatenate([packed, np.zeros(16 + (-len(packed)) % 8, np.uint8)])
+    packed = np.zeros(-(-n * bits // 64) * 8 + 16, np.uint8)
+    for at in range(0, n if bits else 0, BLOCK):  # a multiple of 8 values fills whole bytes
+        part = ((values[at : at + BLOCK, None] >> np.arange(bits, dtype=np.uint64)) & _ONE).astype(np.uint8)
+        filled = np.packbits(part.reshape(-1), bitorder="little")
+        packed[at * bits // 8 : at * bits // 8 + len(filled)] = filled
     return {"high": high, "ones": ones, "low": packed.view(np.uint64), "meta": np.array([n, bits], np.int64)}
 
 

@@ -39,9 +39,10 @@ from pricelens.session import scratch_path, stage_table
 
 MU = 4.0
 END = np.uint64(1)
-BATCH = 4 << 20
+#: Tokens whose pairs are summed before they are shuffled.
+GATHERED = 1_000_000
 WORDS_PER_SHARD = 500_000
-PAIRS_PER_SHARD = 2_000_000
+PAIRS_PER_SHARD = 1_000_000
 MAX_SHARDS = 4096
 BLOCK_BITS = 12
 
@@ -221,7 +222,7 @@ def train(texts: DataFrame) -> Trie:
 
     def count_words(batches):
         for batch in batches:
-            for group in chunks((x or b"" for x in batch.column("_text").to_pylist()), BATCH):
+            for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
                 kinds, counts = np.unique(tokens_of(group)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(counts)], ["h", "c"])
 
@@ -243,18 +244,26 @@ def train(texts: DataFrame) -> Trie:
 
     pair_shards = trie.pair_shards = shard_count(tokens, PAIRS_PER_SHARD)
 
+    def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        shard = pair_shard((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), pair_shards)
+        order = np.argsort(shard, kind="stable")
+        columns = [pa.array(shard[order].astype(np.int32)), pa.array(keys[order].view(np.int64)), pa.array(counts[order].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "k", "c"])
+
     def count_pairs(batches):
         end_id = trie.lookup(np.array([END]))[0][0]
+        parts: list[np.ndarray] = []
         for batch in batches:
-            for group in chunks((x or b"" for x in batch.column("_text").to_pylist()), BATCH):
+            for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
                 found, sizes = tokens_of(group)
                 ids = trie.lookup(found)[0]
-                context = before(ids, sizes, end_id)
-                keys, counts = np.unique((context.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64), return_counts=True)
-                shard = pair_shard((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), pair_shards)
-                order = np.argsort(shard, kind="stable")
-                columns = [pa.array(shard[order].astype(np.int32)), pa.array(keys[order].view(np.int64)), pa.array(counts[order].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "k", "c"])
+                parts.append((before(ids, sizes, end_id).astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64))
+                if sum(map(len, parts)) >= GATHERED:
+                    yield packed(parts)
+                    parts = []
+        if parts:
+            yield packed(parts)
 
     def write_pairs(batches):
         for shard, (k, c) in by_shard(batches, ["k", "c"]):
@@ -275,7 +284,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            parts = [trie.score(group) for group in chunks((x or b"" for x in batch.column("_text").to_pylist()), BATCH)]
+            parts = [trie.score(group) for group in chunks((x or b"" for x in batch.column("_text").to_pylist()))]
             columns = [pa.array(np.concatenate([p[n] for p in parts])) for n in names]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), *columns], ["_id", "held_out", *names])
 
