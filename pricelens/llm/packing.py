@@ -26,7 +26,6 @@ named columns are read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import Counter
 
@@ -45,7 +44,7 @@ GENERATIONS = 8
 POPULATION = 6
 RANK_BLOCKS = 64
 ROWS_PER_BLOCK = 1_000_000
-MAX_CACHE = 400_000
+MAX_CACHE = 1_000_000
 
 Pattern = tuple[int, ...]
 Packing = dict[Pattern, int]
@@ -54,18 +53,44 @@ Packing = dict[Pattern, int]
 # --- tokens ------------------------------------------------------------------
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+#: Signs that the tokenizer keeps together, and apart from letters before them.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class _Words(dict):
-    """Ids, as little-endian bytes, of words behind a fixed beginning."""
+    """Ids, as little-endian bytes, of words behind a fixed beginning.
+
+    Letters alone are one part to the tokenizer and go to its model at once, and so
+    do signs behind them; other words are cut by its own rule first.
+    """
 
     def __init__(self, tokenizer, start: str):
         super().__init__()
-        self.tokenizer, self.start = tokenizer, start
+        self.model, self.cut, self.start, self.letters = tokenizer.model, tokenizer.pre_tokenizer, start, byte_letters()
+
+    def ids(self, text: str) -> bytes:
+        part = text.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(part)], "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MAX_CACHE:
             self.clear()
-        ids = self.tokenizer.encode(self.start + word, add_special_tokens=False).ids
-        self[word] = found = np.array(ids, "<u4").tobytes()
+        stem = word.rstrip(SIGNS)
+        if word.isalpha():
+            found = self.ids(self.start + word)
+        elif stem.isalpha():
+            found = self[stem] + self.ids(word[len(stem) :])
+        else:
+            parts = self.cut.pre_tokenize_str(self.start + word)
+            found = np.array([t.id for part, _ in parts for t in self.model.tokenize(part)], "<u4").tobytes()
+        self[word] = found
         return found
 
 
@@ -77,8 +102,6 @@ class Encoder:
     other white space or a special token's sign go to the tokenizer whole.
     """
 
-    ODD = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z|<\|")
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -86,17 +109,25 @@ class Encoder:
         self.first, self.later = _Words(self.tokenizer, ""), _Words(self.tokenizer, " ")
         self.line_break = self.whole("\n")
 
+    @staticmethod
+    def is_plain(text: str, lines: list[str]) -> bool:
+        """Words between single spaces and line breaks, without any other white space."""
+        if "  " in text or "<|" in text or not all(lines):
+            return False
+        return all(x.isprintable() and x[0] != " " and x[-1] != " " for x in lines)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not text or self.ODD.search(text):
+        lines = text.split("\n")
+        if not self.is_plain(text, lines):
             return self.whole(text)
-        lines = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            lines.append(self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:])))
-        return self.line_break.join(lines)
+        found = []
+        for line in lines:
+            first, *rest = line.split(" ")
+            found.append(self.first[first] + b"".join(map(self.later.__getitem__, rest)))
+        return self.line_break.join(found)
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
