@@ -40,21 +40,29 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def category_index(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
-    """``column, level, n, idx``: 0 for the most frequent level, ties by name."""
-    levels = _checked_levels(df, columns, max_levels)
+def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, level, n, idx``: 0 for the most frequent level, ties by name.
+
+    A plan like any other: levels are counted with partial sums and ranked per
+    column, however many there are.
+    """
     order = Window.partitionBy("column").orderBy(F.desc("n"), "level")
-    return levels.withColumn("idx", F.row_number().over(order) - 1)
+    return level_counts(df, columns).withColumn("idx", F.row_number().over(order) - 1)
 
 
-def _checked_levels(df: DataFrame, columns: Sequence[str], max_levels: int) -> DataFrame:
-    rows = level_counts(df, columns).limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
+def _labels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str, list[str]]:
+    """Ranked levels for MLlib, which holds them on the driver: at most ``max_levels`` a column."""
+    ranked = category_index(df, columns).filter(F.col("idx") <= max_levels)
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in ranked.orderBy("column", "idx").collect():
+        found[row["column"]].append(row.level)
+    wide = [c for c, levels in found.items() if len(levels) > max_levels]
+    if wide:
         raise ValueError(
-            f"more than {max_levels} levels in {', '.join(columns)}: "
+            f"more than {max_levels} levels in {', '.join(wide)}: "
             "one-hot vectors that wide need another encoding, or a larger max_levels"
         )
-    return df.sparkSession.createDataFrame(rows, "column string, level string, n bigint")
+    return found
 
 
 def fit_indexers(
@@ -63,14 +71,14 @@ def fit_indexers(
     """String to index by frequency, one indexer per column, all from one job.
 
     A level not seen here gets the extra index. The labels come from a hash
-    aggregation with map-side counts, and their number is checked before they
-    reach the driver.
+    aggregation with map-side counts; a column with more than ``max_levels`` is
+    refused.
     """
-    ranked = category_index(df, columns, max_levels).orderBy("column", "idx").collect()
+    labels = _labels(df, columns, max_levels)
     return PipelineModel(
         [
             StringIndexerModel.from_labels(
-                [r.level for r in ranked if r.column == c],
+                labels[c],
                 inputCol=c,
                 outputCol=index_suffix(c),
                 handleInvalid="keep",

@@ -109,11 +109,11 @@ def histogram(
     """Equal-width bins from min to max per group and column; the last bin is closed.
 
     Two passes: the edges (one row per group and column, size-checked before it
-    is broadcast), then the counts. Empty bins are listed with a count of zero;
+    is broadcast), then the counts. Infinities are left out, as NULL and NaN are. Empty bins are listed with a count of zero;
     a constant column has everything in bin 0.
     """
     keys = [*by, "position"]
-    values = long_values(df, columns, by).filter(F.col("value").isNotNull())
+    values = long_values(df, columns, by).filter(F.abs("value") < float("inf"))
     edges = small_side(
         values.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
@@ -171,17 +171,27 @@ def binned_pair(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
     )
 
 
-def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def correlation(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), against: Sequence[str] = ()
+) -> DataFrame:
     """Pearson matrix per group in long form, each pair over the rows that have both.
 
+    With ``against``, only the pairs of a column in ``columns`` (``a``) and one in
+    ``against`` (``b``).
+
     One pass. Each row is met once per pair of columns, and the pairs are told
     apart by number, so the running sums of a task are one short row per group
     and pair; an aggregate per pair would need a row too wide for generated
     code. A constant column correlates with nothing, itself included (NULL).
     """
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    first = name_at([columns[i] for i, _ in pairs], F.col("pair"))
-    second = name_at([columns[j] for _, j in pairs], F.col("pair"))
+    if against:
+        names = [*columns, *against]
+        pairs = [(i, len(columns) + j) for i in range(len(columns)) for j in range(len(against))]
+    else:
+        names = list(columns)
+        pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    first = name_at([names[i] for i, _ in pairs], F.col("pair"))
+    second = name_at([names[j] for _, j in pairs], F.col("pair"))
 
     def side(position: int) -> Column:
         return F.get("values", F.get(F.array(*[F.lit(p[position]) for p in pairs]), F.col("pair")))
@@ -189,13 +199,15 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     spread_x, spread_y = F.regr_sxx("y", "x"), F.regr_syy("y", "x")
     share = F.regr_sxy("y", "x") / F.sqrt(spread_x * spread_y)
     r = (
-        df.select(*by, F.array(*[nan_as_null(F.col(c)) for c in columns]).alias("values"))
+        df.select(*by, F.array(*[nan_as_null(F.col(c)) for c in names]).alias("values"))
         .select(*by, "values", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
         .select(*by, "pair", side(0).alias("x"), side(1).alias("y"))
         .groupBy(*by, "pair")
         .agg(F.when((spread_x > 0) & (spread_y > 0), finite(share)).alias("r"))
         .select(*by, first.alias("a"), second.alias("b"), "r")
     )
+    if against:
+        return r
     cell = F.struct(F.col("a"), F.col("b"), F.col("r"))
     mirrored = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("r"))
     unit = F.struct(F.col("a"), F.col("b"), F.when(F.col("r").isNotNull(), 1.0).alias("r"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions.measures import hash_bucket
@@ -47,19 +47,23 @@ def points(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Dat
 
 
 def scatter_sample(df: DataFrame, key: str, per_mille: int, seed: int) -> DataFrame:
-    """A fixed share of the rows, for a chart that cannot draw all of them."""
-    return df.filter(hash_bucket(F.col(key), seed, 1000) < per_mille)
+    """A fixed share of the rows, for a chart that cannot draw all of them; NULL keys are not in it."""
+    return df.filter(_in_share(key, per_mille, 1000, seed))
+
+
+def _in_share(key: str, share: int, buckets: int, seed: int) -> Column:
+    return F.coalesce(hash_bucket(F.col(key), seed, buckets) < share, F.lit(False))
 
 
 def split(df: DataFrame, key: str, train_percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Disjoint train and test rows by a hash of the key."""
-    in_train = hash_bucket(F.col(key), seed, 100) < train_percent
+    """Disjoint train and test rows by a hash of the key; rows with a NULL key are test rows."""
+    in_train = _in_share(key, train_percent, 100, seed)
     return df.filter(in_train), df.filter(~in_train)
 
 
 def mark_split(df: DataFrame, key: str, train_percent: int, seed: int) -> DataFrame:
     """The same choice as ``split`` in a column ``part``: one pass, and worth storing."""
-    in_train = hash_bucket(F.col(key), seed, 100) < train_percent
+    in_train = _in_share(key, train_percent, 100, seed)
     return df.withColumn("part", F.when(in_train, "train").otherwise("test"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -37,6 +37,7 @@ class Trained:
     mae: float | None = None
     r2: float | None = None
     n_test: int | None = None
+    error: Exception | None = None
 
     @property
     def importances(self) -> list[float]:
@@ -100,13 +101,14 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 def train_and_evaluate(
     estimator: Estimator, train: DataFrame, test: DataFrame, city: str, name: str
 ) -> Trained:
-    """Fit and score one model. A failed fit is reported in ``status``, not raised."""
+    """Fit and score one model. A failed fit is told in ``status`` and ``error``."""
     try:
         model = estimator.fit(train)
         scores = evaluate(predict(model, test)).first()
     except Exception as error:
         log.warning("%s failed for %s: %s", name, city, error)
-        return Trained(city, name, f"failed: {type(error).__name__}: {error}".splitlines()[0])
+        status = f"failed: {type(error).__name__}: {error}".splitlines()[0]
+        return Trained(city, name, status, error=error)
     return Trained(city, name, "ok", model, scores.rmse, scores.mae, scores.r2, scores.n_test)
 
 
@@ -116,9 +118,13 @@ def train_by_group(
     models: dict[str, Estimator] | None = None,
     split_rows: Split = hash_split,
     parallelism: int = 4,
+    keep_going: Collection[str] = ("GBT",),
 ) -> list[Trained]:
     """Every model for every city.
 
+    The first failure is raised once all fits have ended, unless its model is named
+    in ``keep_going``; such a model's failure is a row of the result.
+
     ``frame`` should be a stored model frame with a folder per city, and per part
     if the split is stored too: each fit then reads its own rows only. The learners cache their own binned form of the
     rows, so the frame itself is not cached a second time. The driver threads
@@ -132,8 +138,12 @@ def train_by_group(
         jobs += [(e.copy(), train, test, city, name) for name, e in models.items()]
     # Each call gets its own inherited local properties (job group, scheduler pool).
     run = inheritable_thread_target(frame.sparkSession)(lambda job: train_and_evaluate(*job))
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(run, jobs, chunksize=1)
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        results = pool.map(run, jobs, chunksize=1)
+    for result in results:
+        if result.error is not None and result.name not in keep_going:
+            raise result.error
+    return results
 
 
 def metrics_frame(spark: SparkSession, results: Sequence[Trained]) -> DataFrame:

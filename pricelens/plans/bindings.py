@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens import constants
-from pricelens.operators.joins import hot_keys, spread_join
 
 LISTING_COLUMNS = (
     "id",
@@ -45,12 +44,11 @@ def listings(
     """Typed listings with the given columns.
 
     Order lines are summed per order before the join, so only one narrow row per
-    order and task is shuffled. Customers are joined first, with the customers
-    that placed very many orders split over several tasks; the last shuffle is
-    then on the unique order key and leaves the rows evenly spread. Both sides of
-    that join grow with the data, so it is a merge join at any size. The
-    orders-per-host count costs a shuffle of its own and is planned only where
-    it is asked for.
+    order and task is shuffled. Customers are joined first; a customer with very
+    many orders is split by the engine's adaptive skew join. The last shuffle is
+    then on the unique order key and leaves the rows evenly spread. Join types are
+    the engine's choice by measured sizes. The orders-per-host count costs a
+    shuffle of its own and is planned only where it is asked for.
     """
     orders = table(spark, sf_dir, "orders")
     hosts = table(spark, sf_dir, "customer")
@@ -69,26 +67,11 @@ def listings(
             F.round(F.sum("l_extendedprice"), 2).alias("price"),
         )
     )
-    hosted = spread_join(
-        orders, hosts, "o_custkey", "c_custkey", "o_orderkey", hot_hosts(spark, sf_dir)
-    )
-    joined = hosted.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    hosted = orders.join(hosts, F.col("o_custkey") == F.col("c_custkey"))
+    joined = hosted.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.select(*[_column(c).alias(c) for c in LISTING_COLUMNS if c in columns])
 
 
-_hot_hosts: dict[str, tuple] = {}
-
-
-def hot_hosts(spark: SparkSession, sf_dir: str) -> tuple:
-    """Customers to split in the join, looked up once per table folder.
-
-    A stale answer would cost balance, never rows.
-    """
-    if sf_dir not in _hot_hosts:
-        _hot_hosts[sf_dir] = hot_keys(table(spark, sf_dir, "orders"), "o_custkey")
-    return _hot_hosts[sf_dir]
-
-
 def _column(name: str) -> Column:
     in_la = F.col("c_nationkey") % 2 == 0
     (la_lat, la_lon), (ny_lat, ny_lon) = (constants.CITY_CENTERS[c] for c in ("LA", "NY"))

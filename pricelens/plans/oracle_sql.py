@@ -271,14 +271,99 @@ predicted AS (
   FROM test t LEFT JOIN by_group USING (city, neighbourhood_group)),
 metrics AS (
   SELECT city, model, sqrt(avg((p - y) * (p - y))) AS rmse, avg(abs(p - y)) AS mae,
-    1 - sum((p - y) * (p - y)) / (var_pop(y) * count(p)) AS r2, count(p) AS n_test
+    1 - sum((p - y) * (p - y)) / sum((y - m) * (y - m)) AS r2, count(*) AS n_test
+  FROM (SELECT *, avg(y) OVER (PARTITION BY city, model) AS m FROM predicted WHERE p IS NOT NULL)
+  GROUP BY city, model),
+unscored AS (
+  SELECT city, model, count(*) FILTER (WHERE p IS NULL OR y IS NULL) AS n_unscored
   FROM predicted GROUP BY city, model)
 """
 METRICS_OUTPUT = (
-    f"city, model, {r('rmse', 4)} AS rmse, {r('mae', 4)} AS mae, {r('r2', 4)} AS r2, n_test"
+    f"city, model, {r('rmse', 4)} AS rmse, {r('mae', 4)} AS mae, {r('r2', 4)} AS r2, n_test, n_unscored"
 )
 
+PARTS = f""",
+train AS (SELECT *, log_price AS y FROM derived WHERE {BUCKET} % 100 < 80),
+test AS (SELECT *, log_price AS y FROM derived WHERE {BUCKET} % 100 >= 80)"""
+SCORED = """,
+metrics AS (
+  SELECT city, sqrt(avg((p - y) * (p - y))) AS rmse, avg(abs(p - y)) AS mae,
+    1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2
+  FROM predicted GROUP BY city)"""
+# Penalty 0.1, half of it absolute and half squared, over the label's deviation.
+ELASTIC = (
+    PARTS
+    + """,
+moments AS (
+  SELECT city, avg(y) AS my, avg(number_of_reviews) AS mx, stddev_pop(y) AS sy,
+    stddev_pop(number_of_reviews) AS sx, corr(number_of_reviews, y) AS rho
+  FROM train GROUP BY city),
+fitted AS (
+  SELECT city, mx, my, sign(rho) * greatest(abs(rho) - 0.05 / sy, 0) / (1 + 0.05 / sy) * sy / sx AS w
+  FROM moments),
+predicted AS (
+  SELECT test.city, y, my + w * (number_of_reviews - mx) AS p FROM test JOIN fitted USING (city))"""
+    + SCORED
+)
+_GAINS = """
+  SELECT s.city, s.level, s1, s0, n1, n0, s1 / n1 AS m1, s0 / n0 AS m0,
+    s1 * s1 / n1 + s0 * s0 / n0 - (s1 + s0) * (s1 + s0) / (n1 + n0) AS gain,
+    row_number() OVER (PARTITION BY s.city ORDER BY s1 * s1 / n1 + s0 * s0 / n0 DESC) AS place
+  FROM (SELECT a.city, a.level, a.s AS s1, t.s - a.s AS s0, a.n AS n1, t.n - a.n AS n0
+        FROM {sums} a JOIN (SELECT city, sum(s) AS s, sum(n) AS n FROM {sums} GROUP BY city) t
+        USING (city) WHERE t.n > a.n) s"""
+SPLITS = (
+    level_index("derived")
+    + PARTS
+    + """,
+sums AS MATERIALIZED (
+  SELECT city, room_type AS level, sum(y) AS s, CAST(count(*) AS double) AS n FROM train GROUP BY ALL),
+one AS MATERIALIZED (SELECT * FROM ("""
+    + _GAINS.format(sums="sums")
+    + """) WHERE place = 1),
+left_over AS MATERIALIZED (
+  SELECT sums.city, sums.level, n,
+    2 * (s - n * CASE WHEN sums.level = one.level THEN m1 ELSE m0 END) AS s
+  FROM sums JOIN one USING (city)),
+two AS MATERIALIZED (SELECT * FROM ("""
+    + _GAINS.format(sums="left_over")
+    + """) WHERE place = 1),
+named AS (SELECT level, 'room_type_ohe_' || idx AS feature FROM levels WHERE "column" = 'room_type')"""
+)
+FITTED_OUTPUT = f"{r('rmse', 5)} AS rmse, {r('mae', 5)} AS mae, {r('r2', 5)} AS r2"
+
 ORACLES: dict[str, str] = {
+    "fit_elastic_one": derived(
+        ELASTIC
+        + f" SELECT city, {r('w', 5)} AS coefficient, {r('my - w * mx', 5)} AS intercept, "
+        + f"{FITTED_OUTPUT} FROM metrics JOIN fitted USING (city)"
+    ),
+    "fit_one_split": derived(
+        SPLITS
+        + """,
+predicted AS (
+  SELECT test.city, y, CASE WHEN room_type = level THEN m1 ELSE m0 END AS p
+  FROM test JOIN one USING (city))"""
+        + SCORED
+        + " SELECT city, feature, 1.0E0 AS importance, "
+        + f"{FITTED_OUTPUT} FROM metrics JOIN one USING (city) JOIN named USING (level)"
+    ),
+    "fit_two_rounds": derived(
+        SPLITS
+        + """,
+predicted AS (
+  SELECT test.city, y, CASE WHEN room_type = one.level THEN one.m1 ELSE one.m0 END
+    + 0.1 * CASE WHEN room_type = two.level THEN two.m1 ELSE two.m0 END AS p
+  FROM test JOIN one USING (city) JOIN two USING (city))"""
+        + SCORED
+        + """,
+used AS (
+  SELECT city, feature, sum(gain) / sum(sum(gain)) OVER (PARTITION BY city) AS importance
+  FROM (SELECT city, level, gain FROM one UNION ALL SELECT city, level, gain FROM two)
+  JOIN named USING (level) GROUP BY city, feature)"""
+        + f" SELECT city, feature, {r('importance', 5)} AS importance, "
+        + f"{FITTED_OUTPUT} FROM metrics JOIN used USING (city)"
+    ),
     "row_counts": derived(
         "SELECT 'raw' AS stage, count(*) AS n FROM raw "
         "UNION ALL SELECT 'clean', count(*) FROM clean "
@@ -290,7 +375,7 @@ ORACLES: dict[str, str] = {
     "model_frame_table": derived(
         f"{level_index('derived')} SELECT id, city, {r('log_price', 6)} AS log_price, "
         "CAST(9 + (SELECT count(*) FROM levels) AS integer) AS width, "
-        f"{r('dist_to_center', 6)} AS dist_to_center FROM derived WHERE city = 'NY'"
+        f"{r('dist_to_center', 6)} AS dist_to_center FROM derived"
     ),
     "report_csv": derived(RANKED + RANKED_OUTPUT),
     "keep_numeric_ids": raw("SELECT id, city FROM raw WHERE regexp_matches(id, '^[0-9]+$')"),
@@ -430,12 +515,12 @@ ORACLES: dict[str, str] = {
     ),
     "feature_index_map": derived(INDEX_MAP + "SELECT * FROM index_map"),
     "evaluate_regression": listing(
-        TRAINED + f"SELECT {METRICS_OUTPUT} FROM metrics WHERE model = 'RoomTypeMean'"
+        TRAINED + f"SELECT {METRICS_OUTPUT} FROM metrics JOIN unscored USING (city, model) WHERE model = 'RoomTypeMean'"
     ),
     "best_model": listing(
         TRAINED
         + f"SELECT {METRICS_OUTPUT} FROM (SELECT *, row_number() OVER ("
-        "PARTITION BY city ORDER BY rmse, model) AS place FROM metrics) WHERE place = 1"
+        "PARTITION BY city ORDER BY rmse, model) AS place FROM metrics JOIN unscored USING (city, model)) WHERE place = 1"
     ),
     "named_importance": derived(
         INDEX_MAP

@@ -114,20 +114,19 @@ def csv_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text out to one CSV folder per city, read back, cleaned and united."""
     path = scratch_path(spark, "listings")
     write_csv(bindings.raw_listings(spark, sf_dir, CLEAN_OUTPUT), path, partition_by=CITY)
+    written = bindings.raw_listings(spark, sf_dir, ["city"]).select("city").distinct().collect()
     frames = {
-        city: clean_listings(read_listings(spark, f"{path}/city={city}"))
-        for city in constants.CITY_CENTERS
+        r.city: clean_listings(read_listings(spark, f"{path}/city={r.city}")) for r in written
     }
     return column_ops.union_sources(frames).select(*CLEAN_OUTPUT)
 
 
 def model_frame_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model frame written by city and one city read back (its folder only)."""
+    """Model frame written by city and read back."""
     frame, _ = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
     path = scratch_path(spark, "model_frame")
     write_model_frame(frame, path)
-    stored = rows.only(read_model_frame(spark, path), city="NY")
-    return stored.select(
+    return read_model_frame(spark, path).select(
         "id",
         "city",
         rounded(F.col("log_price"), 6).alias("log_price"),
@@ -387,9 +386,8 @@ def staged_model_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 def fit_report(spark: SparkSession, sf_dir: str, models: dict[str, Estimator]) -> DataFrame:
     """Metrics and named importances of every model and city, in long form."""
     frame, index_map = staged_model_frame(spark, sf_dir)
-    results = train.train_by_group(
-        frame, list(constants.CITY_CENTERS), models, train.stored_split
-    )
+    cities = [r.city for r in frame.select("city").distinct().orderBy("city").collect()]
+    results = train.train_by_group(frame, cities, models, train.stored_split)
     metrics = (
         train.metrics_frame(spark, results)
         .withColumn("kind", F.lit("metric"))
@@ -418,6 +416,71 @@ def fit_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_report(spark, sf_dir, {"GBT": train.gradient_boosting()})
 
 
+def simple_fits(
+    spark: SparkSession,
+    sf_dir: str,
+    estimator: Estimator,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+) -> tuple[list[train.Trained], dict[int, str]]:
+    """One model per city on few features, and the features' names by position."""
+    derived = stored_features(spark, sf_dir)
+    if categorical:
+        encoder = encode.fit_encoder(derived, numeric, categorical)
+        named = encode.feature_index_map(spark, encoder).collect()
+        names = {r.feature_index: r.feature for r in named}
+        frame = encoder.transform(derived)
+    else:
+        names = dict(enumerate(numeric))
+        frame = encode.assemble(numeric).transform(derived)
+    folders = [*CITY, "part"]
+    parts = train.mark_parts(frame.select("id", "city", "log_price", "features"))
+    stored = stage_table(train.stable_layout(parts, "id", folders), "simple_frame", folders)
+    cities = [r.city for r in stored.select("city").distinct().orderBy("city").collect()]
+    return train.train_by_group(stored, cities, {"model": estimator}, train.stored_split), names
+
+
+def fit_elastic_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elastic net on one feature, whose solution is a closed form."""
+    results, _ = simple_fits(
+        spark, sf_dir, train.linear_regression(), ["number_of_reviews"], []
+    )
+    fitted = [
+        (r.city, float(r.model.coefficients[0]), float(r.model.intercept), r.rmse, r.mae, r.r2)
+        for r in results
+    ]
+    names = ("coefficient", "intercept", "rmse", "mae", "r2")
+    schema = "city string, " + ", ".join(f"{n} double" for n in names)
+    return round_columns(spark.createDataFrame(fitted, schema), 5, *names)
+
+
+def tree_fits(spark: SparkSession, sf_dir: str, estimator: Estimator) -> DataFrame:
+    """Test metrics of a tree model on the room types, and the features it split on."""
+    results, names = simple_fits(spark, sf_dir, estimator, [], ["room_type"])
+    fitted = [
+        (r.city, names[i], score, r.rmse, r.mae, r.r2)
+        for r in results
+        for i, score in enumerate(r.importances)
+        if score > 0
+    ]
+    schema = "city string, feature string, importance double, rmse double, mae double, r2 double"
+    return round_columns(
+        spark.createDataFrame(fitted, schema), 5, "importance", "rmse", "mae", "r2"
+    )
+
+
+def fit_one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of one tree with one split, on all rows and features."""
+    single = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    return tree_fits(spark, sf_dir, train.random_forest(**single))
+
+
+def fit_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of boosting with one split each, on all rows."""
+    rounds = {"maxIter": 2, "maxDepth": 1, "stepSize": 0.1, "subsamplingRate": 1.0}
+    return tree_fits(spark, sf_dir, train.gradient_boosting(**rounds))
+
+
 def mean_predictions(spark: SparkSession, sf_dir: str, predictors: dict[str, list[str]]) -> DataFrame:
     """Test rows scored by train means: ``city, model, log_price, prediction``.
 
@@ -471,10 +534,10 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_scores(derived: DataFrame) -> DataFrame:
     """A deterministic importance table: squared correlation with the label, as shares."""
     names = list(constants.NUMERIC_FEATURES)
-    matrix = profile.correlation(derived, [*names, "log_price"], CITY)
+    matrix = profile.correlation(derived, names, CITY, against=["log_price"])
     position = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("a")) - 1
     share = F.col("r") * F.col("r")
-    return matrix.filter((F.col("b") == "log_price") & (F.col("a") != "log_price")).select(
+    return matrix.select(
         "city",
         F.lit("SquaredCorrelation").alias("model"),
         position.cast("int").alias("feature_index"),
@@ -548,6 +611,9 @@ QUERIES: dict[str, Query] = {
     "fit_linear": fit_linear,
     "fit_forest": fit_forest,
     "fit_boosted": fit_boosted,
+    "fit_elastic_one": fit_elastic_one,
+    "fit_one_split": fit_one_split,
+    "fit_two_rounds": fit_two_rounds,
     "evaluate_regression": evaluate_regression,
     "best_model": best_model,
     "named_importance": named_importance,

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.sql import functions as F
 
 from pricelens.operators import encode
 
@@ -29,7 +30,12 @@ def test_indexer_agrees_with_the_built_in_fit(frame):
 
 def test_too_many_levels_is_an_error(frame):
     with pytest.raises(ValueError, match="levels"):
-        encode.fit_indexers(frame, ["room", "area"], max_levels=6)
+        encode.fit_indexers(frame, ["room", "area"], max_levels=3)
+
+
+def test_category_index_has_no_bound(spark):
+    wide = spark.range(10_001).select(F.concat(F.lit("v"), "id").alias("c"))
+    assert encode.category_index(wide, ["c"]).agg({"idx": "max"}).first()[0] == 10_000
 
 
 def test_encoder_vectors_and_unseen_levels(spark, frame):

@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import difference, open_oracle
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from pricelens.plans.oracle_sql import ORACLES
+from pricelens.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def oracle(sf_dir):
 def test_only_model_fits_have_no_sql():
     assert set(QUERIES) - set(ORACLES) == {"fit_linear", "fit_forest", "fit_boosted"}
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -1,8 +1,6 @@
-import pytest
 from pyspark.sql import functions as F
 
 from pricelens import session
-from pricelens.operators.joins import hot_keys, spread_join
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -49,34 +47,3 @@ def test_cached_releases_the_frame(spark):
     with session.cached(spark.range(10)) as kept:
         assert kept.count() == 10 and kept.is_cached
     assert not kept.is_cached
-
-
-@pytest.fixture
-def skewed(spark):
-    """Key 7 holds a third of the rows."""
-    return spark.range(30_000).select(
-        "id", F.when(F.col("id") < 10_000, 7).otherwise(100 + F.col("id") % 5000).alias("k")
-    )
-
-
-def test_hot_keys_are_found(skewed):
-    assert hot_keys(skewed, "k", min_rows=100) == (7,)
-    assert hot_keys(skewed, "k") == ()
-
-
-def test_spread_join_equals_the_plain_join_and_splits_the_hot_key(spark, skewed):
-    side = spark.range(6000).select(F.col("id").alias("key"), (F.col("id") * 3).alias("v"))
-    plain = spread_join(skewed, side, "k", "key", "id", ())
-    spread = spread_join(skewed, side, "k", "key", "id", (7,))
-    assert spread.columns == plain.columns
-    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        spread = spread_join(skewed, side, "k", "key", "id", (7,))
-        sizes = spread.groupBy(F.spark_partition_id()).count().collect()
-        assert max(r["count"] for r in sizes) < 10_000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -72,9 +72,11 @@ def test_a_failed_fit_is_reported_and_the_others_kept(spark, frame):
         "Bad": train.linear_regression().setFeaturesCol("absent"),
         "LinearRegression": train.linear_regression(regParam=0.01),
     }
-    bad, good = train.train_by_group(frame, ["LA"], models)
+    bad, good = train.train_by_group(frame, ["LA"], models, keep_going=["Bad"])
     assert bad.status.startswith("failed:") and bad.rmse is None and bad.importances == []
     assert good.status == "ok"
+    with pytest.raises(Exception, match="absent"):
+        train.train_by_group(frame, ["LA"], models)
 
 
 def test_random_split_can_replace_the_hash_split(frame):
