@@ -129,4 +129,4 @@ def test_evaluate_agrees_with_the_built_in_evaluator(spark):
             built_in = RegressionEvaluator(labelCol="log_price", metricName=metric).evaluate(part)
             assert r[metric] == pytest.approx(built_in)
     flat = spark.createDataFrame([(1.0, 1.5), (1.0, 0.5)], "log_price double, prediction double")
-    assert tuple(evaluate(flat).first()) == (0.5, 0.5, None, 2)
+    assert tuple(evaluate(flat).first()) == (0.5, 0.5, None, 2, 0)
