@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -29,6 +30,7 @@ def main() -> None:
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.ui.enabled", "false")
         .config("spark.scheduler.mode", "FAIR")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,11 +2,13 @@
 
 The built-in exact percentile keeps a map of every distinct value of a group in
 one task, which fails once a group is large. Here each order statistic that a
-percentile needs is found by narrowing a bracket around it: a sketch of the
-values inside proposes narrower ends, then a count of the rows before and inside
-them tells where the target lies. Once a bracket holds few rows they are ranked.
-The result is exact, as the sketch only proposes and the counts decide. Small
-inputs need no narrowing at all.
+percentile needs lies in a bracket of values that is narrowed round by round: the
+bracket is cut into cells of equal width, and one hash aggregation counts each
+cell's rows and keeps its least and greatest value. The cell that holds the target
+rank, from its least to its greatest value, is the next bracket. The two ends of a
+bracket are never in one cell, so every round makes progress, and a bracket with one
+value is an answer. All state is partial counts: a task sends ``cells`` short rows a
+bracket at most, however many rows a group holds.
 """
 
 from __future__ import annotations
@@ -17,11 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.operators.columns import long_values, name_at
-from pricelens.session import join_on, small_side
+from pricelens.session import join_on, stage_table
 
-RANKED_ROWS = 100_000
 CELLS = 1_000
-SKETCH_ACCURACY = 10_000
 
 
 def percentile_name(percentage: float) -> str:
@@ -34,23 +34,26 @@ def exact_percentiles(
     columns: Sequence[str],
     percentages: Sequence[float],
     by: Sequence[str] = (),
-    ranked_rows: int = RANKED_ROWS,
     cells: int = CELLS,
 ) -> DataFrame:
     """One row per group and column: ``n`` and one column per percentage.
 
-    ``ranked_rows`` bounds the rows that are ranked in one window group; it has
-    to be well above ``cells`` so that a cell is wider than the sketch error.
-    The input is read at least twice: hand in a stored or cached frame.
+    Infinities count as the values they are. The input is read once per round, about
+    four times for prices: hand in a stored or cached frame.
     """
-    if ranked_rows < 20 * cells:
-        raise ValueError("ranked_rows must be at least 20 times cells")
     keys = [*by, "position"]
     values = long_values(df, columns, by)
-    totals = small_side(values.groupBy(*keys).agg(F.count("value").alias("n")))
-    found = _order_statistics(values, _targets(totals, keys, percentages), keys, ranked_rows, cells)
+    totals = stage_table(
+        values.groupBy(*keys).agg(
+            F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        ),
+        "totals",
+    )
+    found = _order_statistics(
+        values.filter(F.col("value").isNotNull()), _targets(totals, keys, percentages), keys, cells
+    )
     by_rank = found.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+        F.map_from_entries(F.collect_list(F.struct("rank", "lo"))).alias("at")
     )
     return join_on(totals, by_rank, keys, "left").select(
         *by,
@@ -73,119 +76,45 @@ def _interpolate(percentage: float) -> Column:
 
 
 def _targets(totals: DataFrame, keys: Sequence[str], percentages: Sequence[float]) -> DataFrame:
-    """One row per order statistic, its bracket still open at both ends."""
+    """One row per order statistic, its bracket from the least to the greatest value."""
     ends = [end(_position(p)) for p in percentages for end in (F.floor, F.ceil)]
-    return totals.filter(F.col("n") > 0).select(
-        *keys,
-        F.explode(F.array_distinct(F.array(*ends))).alias("rank"),
-        F.lit(None).cast("double").alias("lo"),
-        F.lit(None).cast("double").alias("hi"),
-        F.lit(0).cast("bigint").alias("before"),
-        F.col("n").alias("inside"),
-        F.lit(None).cast("double").alias("value"),
-    )
+    rank = F.explode(F.array_distinct(F.array(*ends))).alias("rank")
+    before = F.lit(0).cast("bigint").alias("before")
+    return totals.filter(F.col("n") > 0).select(*keys, rank, "lo", "hi", before)
 
 
-def _strictly_inside(value: Column) -> Column:
-    above = F.col("lo").isNull() | (value > F.col("lo"))
-    below = F.col("hi").isNull() | (value < F.col("hi"))
-    return above & below
+def _cell(cells: int) -> Column:
+    """Place of a value in its bracket; the greatest value has a cell of its own."""
+    v, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    inner = F.least(F.floor(F.nanvl(share, F.lit(0.5)) * cells), F.lit(cells - 1))
+    return F.when(v == lo, -1).when(v == hi, cells).otherwise(inner).cast("int")
 
 
 def _order_statistics(
-    values: DataFrame, targets: DataFrame, keys: Sequence[str], ranked_rows: int, cells: int
-) -> DataFrame:
-    """``keys..., rank, value`` for every target."""
-    wide = F.col("value").isNull() & (F.col("inside") > ranked_rows)
-    targets = small_side(targets)
-    while not targets.filter(wide).isEmpty():
-        narrower = _tighten(values, targets.filter(wide), keys, cells)
-        measured = _measure(values, narrower, keys)
-        targets = small_side(targets.filter(~wide).unionByName(measured))
-    names = [*keys, "rank", "value"]
-    open_targets = targets.filter(F.col("value").isNull()).drop("value")
-    ranked = join_on(open_targets, _rank_inside(values, open_targets, keys), [*keys, "lo", "hi"])
-    resolved = ranked.filter(
-        (F.col("rank") >= F.col("before") + F.col("first"))
-        & (F.col("rank") < F.col("before") + F.col("last"))
-    )
-    settled = targets.filter(F.col("value").isNotNull())
-    return settled.select(*names).unionByName(resolved.select(*names))
-
-
-def _inside(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Values strictly inside each distinct bracket."""
-    brackets = small_side(targets.select(*keys, "lo", "hi").distinct())
-    return join_on(values, brackets, keys).filter(
-        F.col("value").isNotNull() & _strictly_inside(F.col("value"))
-    )
-
-
-def _tighten(
     values: DataFrame, targets: DataFrame, keys: Sequence[str], cells: int
 ) -> DataFrame:
-    """New bracket ends from a sketch of the values inside the old ones."""
-    bracket = [*keys, "lo", "hi"]
-    shares = [i / cells for i in range(cells + 1)]
-    cuts = small_side(
-        _inside(values, targets, keys)
-        .groupBy(*bracket)
-        .agg(F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts")),
-        max_rows=1_000_000 // cells,  # rows carry their cut points: bound the bytes
-    )
-    # cuts[i] is the value at share i / cells; the spare cell on either side of
-    # the target's own absorbs the sketch error.
-    offset = F.col("rank") - F.col("before")
-    cell = F.floor(offset * cells / F.col("inside")).cast("int")
-    lo = F.when(cell >= 2, F.get("cuts", cell - 1)).otherwise(F.col("lo"))
-    hi = F.when(cell + 2 < cells, F.get("cuts", cell + 2)).otherwise(F.col("hi"))
-    return small_side(
-        join_on(targets, cuts, bracket).select(*keys, "rank", lo.alias("lo"), hi.alias("hi"))
-    )
-
-
-def _measure(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Count the rows before and inside each bracket; a target at an end is found.
-
-    A target outside its bracket would mean that the sketch broke its error
-    bound; that fails the job.
-    """
+    """Targets with their brackets narrowed to one value."""
     bracket = [*keys, "lo", "hi"]
-    brackets = small_side(targets.select(*bracket).distinct())
-    v = F.col("value")
-    counts = small_side(
-        join_on(values, brackets, keys)
-        .filter(v.isNotNull())
-        .groupBy(*bracket)
-        .agg(
-            F.count_if(v < F.col("lo")).alias("below"),
-            F.count_if(v <= F.col("lo")).alias("before"),
-            F.count_if(_strictly_inside(v)).alias("inside"),
-            F.count_if(v > F.col("hi")).alias("above"),
-            F.count("*").alias("n"),
+    names = [*keys, "rank", "lo", "hi", "before"]
+    targets = stage_table(targets.select(*names), "targets")
+    while True:
+        is_open = F.col("lo") < F.col("hi")
+        if targets.filter(is_open).isEmpty():
+            return targets
+        brackets = stage_table(targets.filter(is_open).select(*bracket).distinct(), "brackets")
+        inside = join_on(values, brackets, keys).filter("value between lo and hi")
+        counted = inside.groupBy(*bracket, _cell(cells).alias("cell")).agg(
+            F.count("*").alias("rows"), F.min("value").alias("least"), F.max("value").alias("most")
         )
-    )
-    rank = F.col("rank")
-    missed = (rank < F.col("below")) | (rank >= F.col("n") - F.col("above"))
-    at_lo = rank < F.col("before")
-    at_hi = rank >= F.col("before") + F.col("inside")
-    value = (
-        F.when(missed, F.raise_error(F.lit("order statistic outside its bracket")).cast("double"))
-        .when(at_lo, F.col("lo"))
-        .when(at_hi, F.col("hi"))
-    )
-    return join_on(targets, counts, bracket).select(
-        *keys, "rank", "lo", "hi", "before", "inside", value.alias("value")
-    )
-
-
-def _rank_inside(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct values inside each open bracket with the rank range they cover."""
-    bracket = [*keys, "lo", "hi"]
-    counted = (
-        _inside(values, targets, keys).groupBy(*bracket, "value").agg(F.count("*").alias("copies"))
-    )
-    last = F.sum("copies").over(Window.partitionBy(*bracket).orderBy("value"))
-    return counted.withColumn("last", last).select(
-        *bracket, "value", (F.col("last") - F.col("copies")).alias("first"), "last"
-    )
+        until = F.sum("rows").over(Window.partitionBy(*bracket).orderBy("cell"))
+        placed = counted.withColumn("until", until)
+        met = join_on(targets.filter(is_open), placed, bracket).filter(
+            (F.col("rank") < F.col("before") + F.col("until"))
+            & (F.col("rank") >= F.col("before") + F.col("until") - F.col("rows"))
+        )
+        narrowed = met.select(
+            *keys, "rank", F.col("least").alias("lo"), F.col("most").alias("hi"),
+            (F.col("before") + F.col("until") - F.col("rows")).alias("before"),
+        )
+        targets = stage_table(targets.filter(~is_open).unionByName(narrowed), "targets")

@@ -6,15 +6,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelens import constants
-from pricelens.operators import encode, profile, train
+from pricelens.functions.measures import log_target
+from pricelens.operators import encode, profile, report, rows, train
 from pricelens.operators.columns import union_sources
 from pricelens.plans.cleaning import clean_listings
 from pricelens.plans.modelling import Centers, build_model_frame
+from pricelens.schemas import IMPORTANCE
 from pricelens.sources.frames import read_table, write_table
 from pricelens.sources.listings import read_listings, write_csv
-from pricelens.sources.reports import write_report
+from pricelens.sources.reports import read_report, write_report
 
 
 def clean_files(
@@ -28,13 +31,22 @@ def clean_files(
         write_table(cleaned, target, partition_by=None)
 
 
-def profile_files(spark: SparkSession, sources: Mapping[str, str]) -> dict[str, DataFrame]:
-    """The profile tables of clean listings, all cities side by side."""
+def profile_files(
+    spark: SparkSession, sources: Mapping[str, str], target: str | None = None
+) -> dict[str, DataFrame]:
+    """The profile tables of clean listings, all cities side by side.
+
+    With ``target``, each table is stored in a folder of its name there and read back.
+    """
     listings = union_sources({city: read_table(spark, path) for city, path in sources.items()})
     by = ["city"]
     numeric = [c for c in constants.DOUBLE_COLUMNS if c in listings.columns]
     correlated = [c for c in constants.CORRELATION_COLUMNS if c in listings.columns]
-    return {
+    priced = rows.positive(listings, "price")
+    logged = priced.withColumn("log_price", log_target(F.col("price")))
+    capped = rows.cap_range(listings, "price", *constants.PRICE_CAP)
+    texts = [c for c, kind in listings.dtypes if kind in ("string", "date") and c not in by]
+    tables = {
         "null_counts": profile.null_counts(
             listings, [c for c in listings.columns if c not in by], by
         ),
@@ -42,8 +54,41 @@ def profile_files(spark: SparkSession, sources: Mapping[str, str]) -> dict[str,
         "quartiles": profile.quartiles(listings, numeric, constants.QUARTILE_PERCENTAGES, by),
         "price_tail": profile.tail_profile(listings, "price", constants.TAIL_PERCENTAGES, by),
         "price_histogram": profile.histogram(listings, ["price"], constants.HISTOGRAM_BINS, by),
+        "log_price_histogram": profile.histogram(logged, ["log_price"], constants.HISTOGRAM_BINS, by),
+        "price_range_capped": profile.range_of(capped, "price", by),
+        "geo_price_grid": profile.geo_grid(capped, "latitude", "longitude", "price", 0.01, 0.01, by),
+        "nights_vs_log_price": profile.binned_pair(logged, "minimum_nights", "log_price", by),
+        "describe_text": profile.describe_text_by(
+            listings.withColumns({c: F.col(c).cast("string") for c in texts}), texts, by
+        ),
         "correlation": profile.correlation(listings, correlated, by),
     }
+    if target is None:
+        return tables
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{target}/{name}")
+    return {name: spark.read.parquet(f"{target}/{name}") for name in tables}
+
+
+def report_files(
+    spark: SparkSession,
+    importance_path: str,
+    index_map: DataFrame,
+    target: str,
+    pair: tuple[str, str] = ("LA", "NY"),
+    top: int = 5,
+) -> dict[str, DataFrame]:
+    """Named, ranked, top and compared importances of a training run, stored as reports."""
+    importance = read_report(spark, importance_path, IMPORTANCE)
+    tables = {
+        "named": report.name_features(importance, index_map),
+        "ranked": report.rank_importance(importance),
+        "top": report.top_features(importance, top),
+        "compared": report.compare_drivers(importance, *pair),
+    }
+    for name, table in tables.items():
+        write_report(table, f"{target}/{name}")
+    return tables
 
 
 def build_features(

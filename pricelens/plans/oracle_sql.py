@@ -529,6 +529,7 @@ used AS (
         "source, level FROM score LEFT JOIN index_map USING (feature_index)"
     ),
     "rank_importance": derived(RANKED + RANKED_OUTPUT),
+    "importance_of_pair": derived(RANKED + RANKED_OUTPUT + " WHERE city = 'LA'"),
     "top_features": derived(RANKED + RANKED_OUTPUT + " WHERE rank <= 5"),
     "compare_drivers": derived(
         SCORES

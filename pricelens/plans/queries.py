@@ -559,6 +559,13 @@ def rank_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(ranked, 6, "importance")
 
 
+def importance_of_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importances of one city and model, highest first."""
+    scores = feature_scores(stored_features(spark, sf_dir))
+    one = rows.only(scores, city="LA", model="SquaredCorrelation")
+    return round_columns(report.rank_importance(one), 6, "importance")
+
+
 def top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = report.top_features(feature_scores(stored_features(spark, sf_dir)))
     return round_columns(top, 6, "importance")
@@ -618,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "best_model": best_model,
     "named_importance": named_importance,
     "rank_importance": rank_importance,
+    "importance_of_pair": importance_of_pair,
     "top_features": top_features,
     "compare_drivers": compare_drivers,
 }

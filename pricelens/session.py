@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -20,14 +21,14 @@ _local_scratch: str | None = None
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one disk, falls back
-    to a temporary folder; a cluster without the setting is an error.
+    Only a session whose driver runs the tasks itself falls back to a temporary
+    folder; a cluster without the setting is an error.
     """
     global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="pricelens-")

@@ -17,7 +17,9 @@ def test_from_dirty_files_to_reports(spark, sf_dir, tmp_path):
     kept = {city: spark.read.parquet(path).count() for city, path in clean.items()}
     assert spark.read.option("header", True).csv(str(tmp_path / "as_csv")).count() == kept["LA"]
 
-    tables = jobs.profile_files(spark, clean)
+    tables = jobs.profile_files(spark, clean, str(tmp_path / "profile"))
+    assert {p.name for p in (tmp_path / "profile").iterdir()} == set(tables)
+    assert all(table.count() for table in tables.values())
     counts = {r.city: r.n for r in tables["describe"].collect() if r.column == "price"}
     assert counts == kept
     assert tables["correlation"].count() == 2 * 81
@@ -40,3 +42,6 @@ def test_from_dirty_files_to_reports(spark, sf_dir, tmp_path):
     assert len(metrics) == 4 and all(m.status == "ok" for m in metrics)
     importance = read_report(spark, paths[1], IMPORTANCE)
     assert importance.count() == 2 * 19
+    reports = jobs.report_files(spark, paths[1], index_map, str(tmp_path / "reports"))
+    assert reports["named"].filter("feature is null").isEmpty() and reports["top"].count() == 2 * 5
+    assert {p.name for p in (tmp_path / "reports").iterdir()} == {"named", "ranked", "top", "compared"}

@@ -28,9 +28,9 @@ def skewed_frame(spark, skewed):
     return spark.createDataFrame(skewed).repartition(7).cache()
 
 
-@pytest.mark.parametrize(("ranked_rows", "cells"), [(1_000_000, 1000), (160, 8), (400, 20)])
-def test_exact_percentiles_match_brute_force(skewed, skewed_frame, ranked_rows, cells):
-    out = exact_percentiles(skewed_frame, ["v", "w"], PERCENTAGES, ["g"], ranked_rows, cells)
+@pytest.mark.parametrize("cells", [1000, 30])
+def test_exact_percentiles_match_brute_force(skewed, skewed_frame, cells):
+    out = exact_percentiles(skewed_frame, ["v", "w"], PERCENTAGES, ["g"], cells)
     rows = out.collect()
     assert len(rows) == 4
     for r in rows:
@@ -44,7 +44,7 @@ def test_many_groups_take_the_shuffle_path(spark, skewed_frame, monkeypatch):
     """With sides too large to broadcast the results stay the same."""
 
     def results():
-        percentiles = exact_percentiles(skewed_frame, ["v", "w"], [0.25, 0.9], ["g"], 160, 8)
+        percentiles = exact_percentiles(skewed_frame, ["v", "w"], [0.25, 0.9], ["g"])
         bins = profile.histogram(skewed_frame, ["v", "w"], 20, ["g"])
         return [sorted(map(str, df.collect())) for df in (percentiles, bins)]
 
@@ -77,9 +77,16 @@ def test_percentiles_without_groups(spark):
     assert exact_percentiles(df, ["v"], [0.1, 0.5]).first()[1:] == (101, 11.0, 51.0)
 
 
-def test_percentile_bracket_rule(spark):
-    with pytest.raises(ValueError, match="ranked_rows"):
-        exact_percentiles(spark.range(3), ["id"], [0.5], ranked_rows=10, cells=10)
+def test_percentiles_of_odd_values(spark):
+    inf = float("inf")
+    rows = [("same", 7.0)] * 500 + [("wide", x) for x in (-inf, -1e308, -5.0, -5e-324, 0.0, 1e-300, 3.0, 1e308, inf)]
+    rows += [("powers", 2.0**k) for k in range(-30, 31)] + [("ends", inf), ("ends", -inf)]
+    out = exact_percentiles(spark.createDataFrame(rows, "g string, v double"), ["v"], [0.0, 0.25, 0.5, 1.0], ["g"])
+    got = {r.g: tuple(r)[2:] for r in out.collect()}
+    assert got["same"] == (500, 7.0, 7.0, 7.0, 7.0)
+    assert got["wide"] == (9, -inf, -5.0, 0.0, inf)
+    assert got["powers"] == (61, 2.0**-30, 2.0**-15, 1.0, 2.0**30)
+    assert got["ends"][1] == -inf and got["ends"][4] == inf
 
 
 def test_approximate_percentiles_are_close_in_rank(skewed, skewed_frame):
