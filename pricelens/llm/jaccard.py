@@ -41,7 +41,7 @@ SHINGLE = 5
 PERCENT = 80
 FRAGMENTS = 8
 SMALL_BUCKET = 16
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 #: An n-gram is frequent if it occurs ``LOCAL`` times or more in some groups of about
 #: ``GROUP_BYTES`` bytes of text, and ``FREQUENT`` times in these together; of these, at
 #: most ``MOST_FREQUENT`` of the most frequent go last in the order. Any choice gives the
@@ -235,9 +235,6 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
         sizes.filter("n > 0").groupBy("c").agg(F.min("_id").alias("least"), F.min(F.struct("_id", "_k")).alias("_one")), "classes"
     )
     bucket = probes(prefix_rows(rows, global_order(rows, shingle), shingle, percent))
-    held = bucket.select(F.col("c").alias("_held")).distinct()
-    wanted = stage_table(classes.join(held, F.col("c") == F.col("_held"), "left_semi").select("_one.*", "c"), "candidates")
-    parts = segments(rows, wanted, shingle)
     links = tested = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
     for round_ in range(HUB_ROUNDS + 1):
@@ -259,7 +256,9 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
             pairs = two.join(other, across & (F.col("c1") < F.col("c2")))
             met = pairs if last else pairs.unionByName(met.filter(F.col("m") > SMALL_BUCKET).drop("m"))
         pairs = stage_table(ordered(met).join(tested, ["a", "b"], "left_anti"), "candidate_pairs")
-        links = links.unionAll(verified(pairs, parts, percent))
+        paired = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select("b")).distinct()
+        wanted = stage_table(classes.join(paired, F.col("c") == F.col("_p"), "left_semi").select("_one.*", "c"), "candidates")
+        links = links.unionAll(verified(pairs, segments(rows, wanted, shingle), percent))
         labels = components(links)
         if last:
             break
