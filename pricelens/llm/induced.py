@@ -18,7 +18,7 @@ from collections import deque
 import numpy as np
 
 MEMORY = 64 << 20
-BATCH = 1 << 20
+BATCH = 1 << 18
 
 
 class Queues:

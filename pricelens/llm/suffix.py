@@ -37,7 +37,7 @@ from pricelens.session import stage_table
 
 WIDTH = 200
 ANCHOR = 24
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BROADCAST_CELLS = 4_000_000
 
 
@@ -105,64 +105,110 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), ends[last].tolist(), strict=True))
 
 
-def repeated_spans(contexts: list[bytes], anchor: np.ndarray, text: np.ndarray, start: np.ndarray, width: int = WIDTH):
+def common_length(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle)
+    return low
+
+
+def longest_shared(parts: list[bytes]) -> list[int]:
+    """For each part the longest beginning that it shares with another one."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    best = [0] * len(parts)
+    for i, j in zip(order, order[1:], strict=False):
+        n = common_length(parts[i], parts[j])
+        best[i], best[j] = max(best[i], n), max(best[j], n)
+    return best
+
+
+def repeated_spans(contexts: list[bytes], anchor: np.ndarray, text: np.ndarray, at: np.ndarray, width: int = WIDTH):
     """(text, start, end) arrays of repeated strings in one shard's contexts.
 
-    Context i has the given anchor and starts at ``start[i]`` of text ``text[i]``.
+    Context i surrounds the anchor at ``at[i]`` of text ``text[i]``. A context is cut
+    down to what it shares on either side with any other one of its anchor; cut
+    contexts that are equal repeat each other as wholes. Only where some are left
+    single are the suffixes sorted.
     """
-    number: dict[tuple, int] = {}
-    own = np.array([number.setdefault((a, c), len(number)) for a, c in zip(anchor.tolist(), contexts, strict=True)], np.int64)
-    kinds = [c for _, c in number]
-    sizes = np.array([len(c) for c in kinds], np.int64)
-    _, text_no = np.unique(text, return_inverse=True)
-    place = (text_no << 34) | start
-    low, high = np.full(len(kinds), np.iinfo(np.int64).max), np.full(len(kinds), -1)
-    np.minimum.at(low, own, place)
-    np.maximum.at(high, own, place)
-    shared = low != high  # the whole context is elsewhere too
-    whole = shared[own]
-    spans = [(text[whole], start[whole], start[whole] + sizes[own][whole])]
-
-    anchor_of = np.zeros(len(kinds), np.int64)
-    anchor_of[own] = anchor
-    _, group, members = np.unique(anchor_of, return_inverse=True, return_counts=True)
-    chosen = np.flatnonzero(members[group] > 1)
-    if len(chosen):
-        first = np.zeros(len(kinds), np.int64)
-        first[own[::-1]] = np.arange(len(own))[::-1]
-        lengths = sizes[chosen]
-        begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        joined = np.zeros(int((lengths + 1).sum()), np.uint16)
-        filled = np.ones(len(joined), bool)
-        filled[begins + lengths] = False
-        joined[filled] = np.frombuffer(b"".join([kinds[i] for i in chosen]), np.uint8)
-        joined[filled] += 1
-        found_at, found_run, run = [], [], 0
-        for at, prefix in sorted_suffixes(joined, width):
-            runs = run + np.cumsum(prefix < width)
-            run = int(runs[-1])
-            owner = np.searchsorted(begins, at, side="right") - 1
-            fits = at - begins[owner] <= lengths[owner] - width
-            found_at.append(at[fits])
-            found_run.append(runs[fits])
-        at, runs = np.concatenate(found_at), np.concatenate(found_run)
-        if len(at):
-            owner = np.searchsorted(begins, at, side="right") - 1
-            kind, offset = chosen[owner], at - begins[owner]
-            places = place[first[kind]] + offset
-            edge = np.concatenate([[True], runs[1:] != runs[:-1]])
-            starts = np.flatnonzero(edge)
-            differs = np.minimum.reduceat(places, starts) != np.maximum.reduceat(places, starts)
-            differs |= np.maximum.reduceat(shared[kind].astype(np.int8), starts) > 0
-            hit = differs[np.cumsum(edge) - 1] & ~shared[kind]
-            kind, offset = kind[hit], offset[hit]
-            order = np.lexsort((offset, kind))
-            kind, offset = kind[order], offset[order]
-            new = np.concatenate([[True], (kind[1:] != kind[:-1]) | (offset[1:] > offset[:-1] + width)]) if len(kind) else np.zeros(0, bool)
-            last = np.concatenate([new[1:], [True]]) if len(kind) else new
-            row = first[kind[new]]
-            spans.append((text[row], start[row] + offset[new], start[row] + offset[last] + width))
-    return tuple(np.concatenate(x) for x in zip(*spans, strict=True))
+    start = np.maximum(0, at - (width - ANCHOR))
+    spans: list[tuple[int, int, int]] = []  # row, from, to within the context
+    to_sort: list[tuple[bytes, int, int, bool]] = []  # text, row, offset, repeated anyway
+    by_anchor = np.argsort(anchor, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(anchor[by_anchor]) != 0, [True]]))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        kinds: dict[tuple[bytes, int], list[int]] = {}
+        for row in by_anchor[a:b].tolist():
+            kinds.setdefault((contexts[row], int(at[row] - start[row])), []).append(row)
+        shared = [len({(text[r], at[r]) for r in rows}) > 1 for rows in kinds.values()]
+        for (context, _), rows, whole in zip(kinds, kinds.values(), shared, strict=True):
+            if whole:
+                spans += [(r, 0, len(context)) for r in rows]
+        if len(kinds) == 1 or all(shared):
+            continue
+        lefts = longest_shared([c[:o][::-1] for c, o in kinds])
+        rights = longest_shared([c[o + ANCHOR :] for c, o in kinds])
+        cut: dict[tuple[bytes, int], list[int]] = {}
+        for i, ((context, offset), left, right) in enumerate(zip(kinds, lefts, rights, strict=True)):
+            if left + ANCHOR + right >= width:
+                cut.setdefault((context[offset - left : offset + ANCHOR + right], left), []).append(i)
+        rows, offsets = [r[0] for r in kinds.values()], [o for _, o in kinds]
+        again = [len(members) > 1 or shared[members[0]] for members in cut.values()]
+        for (piece, left), members in cut.items():
+            if len(members) > 1:
+                spans += [(r, offsets[i] - left, offsets[i] - left + len(piece)) for i in members if not shared[i] for r in list(kinds.values())[i]]
+        if not all(again):
+            to_sort += [(piece, rows[m[0]], offsets[m[0]] - left, double) for ((piece, left), m), double in zip(cut.items(), again, strict=True)]
+    found = np.array(spans, np.int64).reshape(-1, 3)
+    sorted_ = sorted_spans(to_sort, text, start, width)
+    row = np.concatenate([found[:, 0], sorted_[0]])
+    return text[row], start[row] + np.concatenate([found[:, 1], sorted_[1]]), start[row] + np.concatenate([found[:, 2], sorted_[2]])
+
+
+def sorted_spans(pieces: list[tuple], text: np.ndarray, start: np.ndarray, width: int):
+    """Spans of repeated strings among pieces, by their suffix order: row, from, to."""
+    none = np.zeros(0, np.int64)
+    if not pieces:
+        return none, none, none
+    rows, shift = np.array([p[1] for p in pieces]), np.array([p[2] for p in pieces])
+    double = np.array([p[3] for p in pieces])
+    lengths = np.array([len(p[0]) for p in pieces])
+    begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+    joined = np.zeros(int((lengths + 1).sum()), np.uint16)
+    filled = np.ones(len(joined), bool)
+    filled[begins + lengths] = False
+    joined[filled] = np.frombuffer(b"".join([p[0] for p in pieces]), np.uint8)
+    joined[filled] += 1
+    _, number = np.unique(text[rows], return_inverse=True)
+    place = (number << 34) | (start[rows] + shift)
+    found_at, found_run, run = [], [], 0
+    for at, prefix in sorted_suffixes(joined, width):
+        runs = run + np.cumsum(prefix < width)
+        run = int(runs[-1])
+        owner = np.searchsorted(begins, at, side="right") - 1
+        fits = at - begins[owner] <= lengths[owner] - width
+        found_at.append(at[fits])
+        found_run.append(runs[fits])
+    at, runs = np.concatenate(found_at), np.concatenate(found_run)
+    owner = np.searchsorted(begins, at, side="right") - 1
+    offset = at - begins[owner]
+    edge = np.concatenate([[True], runs[1:] != runs[:-1]])
+    heads = np.flatnonzero(edge)
+    places = place[owner] + offset
+    differs = np.minimum.reduceat(places, heads) != np.maximum.reduceat(places, heads)
+    differs |= np.maximum.reduceat(double[owner].astype(np.int8), heads) > 0
+    hit = differs[np.cumsum(edge) - 1] & ~double[owner]
+    owner, offset = owner[hit], offset[hit]
+    if not len(owner):
+        return none, none, none
+    order = np.lexsort((offset, owner))
+    owner, offset = owner[order], offset[order]
+    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (offset[1:] > offset[:-1] + width)])
+    last = np.concatenate([new[1:], [True]])
+    return rows[owner[new]], shift[owner[new]] + offset[new], shift[owner[new]] + offset[last] + width
 
 
 # --- tables ------------------------------------------------------------------
@@ -191,23 +237,23 @@ def repeated(rows: DataFrame) -> DataFrame:
                         pa.array([m["h"] % shards for m in marks], pa.int64()),
                         pa.array([m["h"] for m in marks], pa.int64()),
                         pa.array([k] * len(marks), pa.int64()),
-                        pa.array(first, pa.int64()),
+                        pa.array([m["at"] for m in marks], pa.int64()),
                         pa.array([text[a : m["at"] + WIDTH] for a, m in zip(first, marks, strict=True)], pa.binary()),
                     ],
-                    ["shard", "h", "k", "first", "context"],
+                    ["shard", "h", "k", "at", "context"],
                 )
 
     def solve(batches):
         now, parts = None, []
 
         def answer():
-            h, k, first = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            spans = repeated_spans([c for p in parts for c in p[3]], h, k, first)
+            h, k, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            spans = repeated_spans([c for p in parts for c in p[3]], h, k, at)
             return pa.RecordBatch.from_arrays([pa.array(x) for x in spans], ["k", "first", "end"])
 
         for batch in batches:
             shard = batch.column("shard").to_numpy(zero_copy_only=False)
-            numbers = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "k", "first")]
+            numbers = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "k", "at")]
             edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if a == b:
@@ -220,7 +266,7 @@ def repeated(rows: DataFrame) -> DataFrame:
         if parts:
             yield answer()
 
-    routed = texts.mapInArrow(contexts, "shard long, h long, k long, first long, context binary")
+    routed = texts.mapInArrow(contexts, "shard long, h long, k long, at long, context binary")
     return routed.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(solve, "k long, first long, end long")
 
 
