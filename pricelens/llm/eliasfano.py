@@ -67,6 +67,17 @@ class EliasFano:
             rest = rest - np.where(beyond, part, 0)
         return word * 64 + place
 
+    def _next_clear(self, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Position of the rank-th clear bit, the first one from ``place`` on."""
+        word, shift = place >> 6, (place & 63).astype(np.uint64)
+        ahead = self.high[np.minimum(word + 1, len(self.high) - 1)] << ((np.uint64(64) - shift) & np.uint64(63))
+        clear = ~((self.high[word] >> shift) | np.where(shift > 0, ahead, np.uint64(0)))
+        found = place + np.bitwise_count((clear & (~clear + _ONE)) - _ONE)
+        far = np.flatnonzero(clear == 0)
+        if len(far):
+            found[far] = self._select(rank[far], False)
+        return found
+
     def _clear(self) -> np.ndarray:
         if not hasattr(self, "_zeros"):
             self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
@@ -92,7 +103,7 @@ class EliasFano:
         which = np.flatnonzero(inside)
         h = part[which].astype(np.int64)
         begin = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0) - h
-        end = self._select(h, False) - h
+        end = self._next_clear(begin + h, h) - h
         if first is not None:
             begin, end = np.maximum(begin, first[which]), np.minimum(end, last[which])
         low = x[which] & np.uint64((1 << self.bits) - 1)

@@ -1,20 +1,29 @@
 """Language-model scores from an Elias-Fano n-gram trie in memory-mapped levels.
 
-Spark counts words and word pairs of the training texts; tasks build the trie's
-levels into files of a shared folder; scoring tasks map those files and look up
-the pairs of their own documents, a batch of distinct pairs at a time.
+Spark counts words, word pairs and triples of the training texts; tasks build the
+trie's levels into files of a shared folder; scoring tasks map those files and look
+up what their own documents hold, a batch of distinct pairs or triples at a time.
 
 Level 1, in shards by word hash: sorted hashes and counts; a word's id is its place.
 Level 2, in shards by (context, block of following words): the contexts and the
 pointers to their followers are Elias-Fano sequences; the followers of all contexts
 form a third one, each context's ids raised by the last value of the context
 before. A pair is found by a successor search relative to its context. Its smoothed
-probability is stored in 8 bits, an index into the shard's table of levels.
+probability is stored in 8 bits, an index into the shard's table of levels; its
+count is a difference of a fourth sequence.
+
+Level 3, in shards by (middle word, blocks of both others): as level 2, but a context
+is a pair's number (its node). Shards are counted, written and committed a range at
+a time, so that the exchange of one range is on disk; ``ids`` of the training tokens
+are stored once and read by each range.
 
     p(w | u) = (c(u w) + MU p(w)) / (c(u) + MU),   p(w) = (c(w) + 1) / (N + V + 1)
+    p(w | t u) = (c(t u w) + MU p(w | u)) / (c(t u) + MU)
 
-An unseen pair takes MU p(w) / (c(u) + MU); an unknown context tells nothing. A text
-starts in the context of the end token. A context's followers are spread over many
+An unseen pair takes MU p(w) / (c(u) + MU), an unseen triple MU p(w | u) / (c(t u) + MU);
+an unknown context tells nothing. A text starts in the context of the end token; its
+first token has no triple. ``score`` sums p(w | u), ``score3`` p(w | t u), or p(w | u)
+where there is no pair before. A context's followers are spread over many
 shards, so that a word behind a third of all tokens is no one's burden. No level
 passes through the driver: it holds one manifest row per shard, and shards are at
 most ``MAX_SHARDS``.
@@ -27,6 +36,8 @@ An empty table gives an empty result. Only the named columns are read.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,10 +52,15 @@ MU = 4.0
 END = np.uint64(1)
 #: Tokens whose pairs are summed before they are shuffled.
 GATHERED = 1_000_000
+#: Bytes of text whose pairs and triples are looked up at once.
+SCORED = 2 << 20
 WORDS_PER_SHARD = 500_000
 PAIRS_PER_SHARD = 1_000_000
 MAX_SHARDS = 4096
 BLOCK_BITS = 12
+FIRST_BITS = 14
+#: Training tokens whose triples are exchanged at a time.
+TRIPLES_PER_RANGE = 32_000_000
 
 
 def held_out(id_col: Column) -> Column:
@@ -81,6 +97,12 @@ def pair_shard(context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray
     return (mix(spread) % np.uint64(shards)).astype(np.int64)
 
 
+def triple_shard(first: np.ndarray, context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
+    spread = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (word.astype(np.uint64) >> np.uint64(BLOCK_BITS))
+    spread += (first.astype(np.uint64) >> np.uint64(FIRST_BITS)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mix(spread) % np.uint64(shards)).astype(np.int64)
+
+
 class Trie:
     """The levels of a trained model; files are mapped when first used."""
 
@@ -91,6 +113,10 @@ class Trie:
         self.shift = 64 - (len(words).bit_length() - 1)
         self.pairs: dict[int, str] = {}
         self.pair_shards = 16
+        #: Number of each shard's first pair.
+        self.pair_starts: dict[int, int] = {}
+        self.triples: dict[int, str] = {}
+        self.triple_shards = 16
         self._open: dict[str, dict] = {}
 
     def __getstate__(self):
@@ -130,28 +156,47 @@ class Trie:
     def word_chance(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.kinds + 1)
 
-    def pair_scores(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Stored log10 probabilities of pairs of known ids; NaN for unseen ones."""
+    def followers(self, name: str, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+        """Which of the words follow their context in a file, their places there, and its arrays.
+
+        Equal nodes stand together, best in order: each is looked up once.
+        """
+        level = self._arrays(name)
+        if "_ready" not in level:
+            level["_ready"] = [EliasFano(level, f"{x}_") for x in ("context", "pointer", "word")]
+        context, pointer, word = level["_ready"]
+        new = np.concatenate([[True], nodes[1:] != nodes[:-1]])
+        node = context.find(nodes[new])
+        known = node >= 0
+        which = np.flatnonzero(known[np.cumsum(new) - 1])
+        if not len(which):
+            return which, which, level
+        node = node[known]
+        first, last = pointer.access(node).astype(np.int64), pointer.access(node + 1).astype(np.int64)
+        base = np.where(first > 0, word.access(np.maximum(first - 1, 0)), np.uint64(0))
+        own = (np.cumsum(known) - 1)[(np.cumsum(new) - 1)[which]]
+        at = word.find(base[own] + words[which].astype(np.uint64) + np.uint64(1), first[own], last[own])
+        return which[at >= 0], at[at >= 0], level
+
+    def pair_facts(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes, counts and stored log10 probabilities of pairs of known ids; -1, 0 and NaN for unseen ones."""
+        node, count, found = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64), np.full(len(words), np.nan)
+        for which, name, shard in by_file(pair_shard(contexts, words, self.pair_shards), self.pairs):
+            seen, at, level = self.followers(name, contexts[which], words[which])
+            if "_counts" not in level:
+                level["_counts"] = EliasFano(level, "count_")
+            which = which[seen]
+            node[which] = self.pair_starts[shard] + at
+            count[which] = (level["_counts"].access(at + 1) - level["_counts"].access(at)).astype(np.int64)
+            found[which] = level["levels"][level["chance"][at]]
+        return node, count, found
+
+    def triple_scores(self, firsts: np.ndarray, contexts: np.ndarray, words: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Stored log10 probabilities of words after pairs, whose nodes are given; NaN for unseen triples."""
         found = np.full(len(words), np.nan)
-        shards = pair_shard(contexts, words, self.pair_shards)
-        order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(self.pair_shards + 1))
-        for s, name in self.pairs.items():
-            which = order[cuts[s] : cuts[s + 1]]
-            if not len(which):
-                continue
-            level = self._arrays(name)
-            if "_ready" not in level:
-                level["_ready"] = [EliasFano(level, f"{x}_") for x in ("context", "pointer", "word")]
-            context, pointer, word = level["_ready"]
-            node = context.find(contexts[which])
-            which, node = which[node >= 0], node[node >= 0]
-            if not len(which):
-                continue
-            first, last = pointer.access(node).astype(np.int64), pointer.access(node + 1).astype(np.int64)
-            base = np.where(first > 0, word.access(np.maximum(first - 1, 0)), np.uint64(0))
-            at = word.find(base + words[which].astype(np.uint64) + np.uint64(1), first, last)
-            found[which[at >= 0]] = level["levels"][level["chance"][at[at >= 0]]]
+        for which, name, _ in by_file(triple_shard(firsts, contexts, words, self.triple_shards), self.triples):
+            seen, at, level = self.followers(name, nodes[which], words[which])
+            found[which[seen]] = level["levels"][level["chance"][at]]
         return found
 
     def score(self, texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -164,10 +209,33 @@ class Trie:
         logs = base + np.where(context >= 0, np.log10(MU / (seen + MU)), 0.0)
         both = np.flatnonzero((context >= 0) & (ids >= 0))
         keys, place = np.unique((context[both].astype(np.uint64) << np.uint64(32)) | ids[both].astype(np.uint64), return_inverse=True)
-        stored = self.pair_scores((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64))[place]
+        node, together, stored = (x[place] for x in self.pair_facts((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)))
         logs[both] = np.where(np.isnan(stored), logs[both], stored)
         total = lambda x: np.bincount(owner, x, minlength=len(texts))
-        return {"n_tokens": sizes, "n_known": total(counts > 0).astype(np.int64), "base_score": total(base), "score": total(logs)}
+        pair, pair_count = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+        pair[both], pair_count[both] = node, together
+        inside = np.ones(len(ids), bool)
+        inside[np.cumsum(sizes) - sizes] = False
+        at = np.flatnonzero(inside)
+        at = at[pair[at - 1] >= 0]
+        deep = logs.copy()
+        deep[at] += np.log10(MU / (pair_count[at - 1] + MU))
+        at = at[ids[at] >= 0]
+        rank = np.unique(pair[at - 1], return_inverse=True)[1].astype(np.uint64)
+        _, one, place = np.unique((rank << np.uint64(32)) | ids[at].astype(np.uint64), return_index=True, return_inverse=True)
+        one = at[one]
+        stored = self.triple_scores(context[one - 1], ids[one - 1], ids[one], pair[one - 1])[place]
+        deep[at] = np.where(np.isnan(stored), deep[at], stored)
+        return {"n_tokens": sizes, "n_known": total(counts > 0).astype(np.int64), "base_score": total(base), "score": total(logs), "score3": total(deep)}
+
+
+def by_file(shards: np.ndarray, files: dict[int, str]):
+    """(places, file, shard) of each shard that occurs and has a file."""
+    order = np.argsort(shards, kind="stable")
+    kinds, first = np.unique(shards[order], return_index=True)
+    for shard, which in zip(kinds.tolist(), np.split(order, first[1:]), strict=True) if len(order) else ():
+        if shard in files:
+            yield which, files[shard], shard
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,23 +248,42 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount(step, values, minlength=256) / np.maximum(n, 1), step
 
 
-def level_two(keys: np.ndarray, counts: np.ndarray, trie: Trie) -> dict[str, np.ndarray]:
-    """A shard's arrays from its distinct sorted pairs (context << 32 | word)."""
-    contexts, words = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def level_arrays(contexts: np.ndarray, words: np.ndarray, logs: np.ndarray) -> dict[str, np.ndarray]:
+    """A shard's arrays from distinct (context, word) in this order and their log10 probabilities."""
     nodes, first = np.unique(contexts, return_index=True)
-    last = np.append(first[1:], len(keys)) - 1
+    last = np.append(first[1:], len(words)) - 1
     raised = np.cumsum(words[last] + 1)
     offsets = np.concatenate([[0], raised[:-1]])
     followers = words + 1 + np.repeat(offsets, last - first + 1)
-    kinds, place = np.unique(words, return_inverse=True)
-    chance = trie.word_chance(trie.counts_of(kinds))[place]
-    total = np.repeat(trie.counts_of(nodes), last - first + 1)
-    levels, level = quantise(np.log10((counts + MU * chance) / (total + MU)))
-    parts = {"context": nodes, "pointer": np.append(first, len(keys)), "word": followers}
+    levels, level = quantise(logs)
+    parts = {"context": nodes, "pointer": np.append(first, len(words)), "word": followers}
     arrays = {f"{name}_{k}": v for name, values in parts.items() for k, v in encode(values).items()}
     return arrays | {"levels": levels, "chance": level}
 
 
+def level_two(keys: np.ndarray, counts: np.ndarray, trie: Trie) -> dict[str, np.ndarray]:
+    """A shard's arrays from its distinct sorted pairs (context << 32 | word)."""
+    contexts, words = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    kinds, place = np.unique(words, return_inverse=True)
+    chance = trie.word_chance(trie.counts_of(kinds))[place]
+    nodes, place = np.unique(contexts, return_inverse=True)
+    total = trie.counts_of(nodes)[place]
+    arrays = level_arrays(contexts, words, np.log10((counts + MU * chance) / (total + MU)))
+    return arrays | {f"count_{k}": v for k, v in encode(np.concatenate([[0], np.cumsum(counts)])).items()}
+
+
+def level_three(pairs: np.ndarray, words: np.ndarray, counts: np.ndarray, trie: Trie) -> dict[str, np.ndarray]:
+    """A shard's arrays from its distinct triples (pair's first << 32 | second, word)."""
+    low = np.uint64(0xFFFFFFFF)
+    kinds, place = np.unique(pairs, return_inverse=True)
+    node, total, _ = trie.pair_facts((kinds >> np.uint64(32)).astype(np.int64), (kinds & low).astype(np.int64))
+    node, total = node[place], total[place]
+    kinds, place = np.unique((pairs << np.uint64(32)) | words.astype(np.uint64), return_inverse=True)
+    chance = 10 ** trie.pair_facts((kinds >> np.uint64(32)).astype(np.int64), (kinds & low).astype(np.int64))[2][place]
+    order = np.lexsort((words, node))
+    return level_arrays(node[order], words[order], np.log10((counts + MU * chance) / (total + MU))[order])
+
+
 def by_shard(batches, columns: list[str]):
     """(shard, arrays) for rows that arrive sorted by shard."""
     now, parts = None, []
@@ -244,6 +331,24 @@ def train(texts: DataFrame) -> Trie:
 
     pair_shards = trie.pair_shards = shard_count(tokens, PAIRS_PER_SHARD)
 
+    def number(batches):
+        for batch in batches:
+            for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
+                ids = trie.lookup(tokens_of(group)[0])[0]
+                yield pa.RecordBatch.from_arrays([pa.array([ids.astype(np.uint32).tobytes()], pa.binary())], ["ids"])
+
+    # every training token is known, and every text is closed by the end token
+    numbered = stage_table(texts.select("_text").mapInArrow(number, "ids binary"), "lm_ids")
+
+    def groups(batches):
+        """Ids of whole texts, and those one and two places before them."""
+        end_id = trie.lookup(np.array([END]))[0].astype(np.uint64)
+        for batch in batches:
+            for data in batch.column("ids"):
+                ids = np.frombuffer(data.as_buffer(), np.uint32).astype(np.uint64)
+                padded = np.concatenate([end_id, end_id, ids])
+                yield ids, padded[1:-1], padded[:-2], end_id[0]
+
     def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
         shard = pair_shard((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), pair_shards)
@@ -252,16 +357,12 @@ def train(texts: DataFrame) -> Trie:
         return pa.RecordBatch.from_arrays(columns, ["shard", "k", "c"])
 
     def count_pairs(batches):
-        end_id = trie.lookup(np.array([END]))[0][0]
         parts: list[np.ndarray] = []
-        for batch in batches:
-            for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
-                found, sizes = tokens_of(group)
-                ids = trie.lookup(found)[0]
-                parts.append((before(ids, sizes, end_id).astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64))
-                if sum(map(len, parts)) >= GATHERED:
-                    yield packed(parts)
-                    parts = []
+        for ids, context, _, _ in groups(batches):
+            parts.append((context << np.uint64(32)) | ids)
+            if sum(map(len, parts)) >= GATHERED:
+                yield packed(parts)
+                parts = []
         if parts:
             yield packed(parts)
 
@@ -269,27 +370,75 @@ def train(texts: DataFrame) -> Trie:
         for shard, (k, c) in by_shard(batches, ["k", "c"]):
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             arrays = level_two(k[first].view(np.uint64), np.add.reduceat(c.astype(np.int64), first), trie)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "file": [write_arrays(folder, arrays)]})
-
-    pairs = texts.select("_text").mapInArrow(count_pairs, "shard int, k long, c int")
-    written = pairs.repartition(pair_shards, "shard").sortWithinPartitions("shard", "k").mapInArrow(write_pairs, "shard long, file string")
-    trie.pairs = {r.shard: r.file for r in stage_table(written, "lm_level2").collect()}  # a row per shard
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "file": [write_arrays(folder, arrays)], "n": [len(first)]})
+
+    pairs = numbered.mapInArrow(count_pairs, "shard int, k long, c int")
+    written = pairs.repartition(pair_shards, "shard").sortWithinPartitions("shard", "k").mapInArrow(write_pairs, "shard long, file string, n long")
+    level = sorted(stage_table(written, "lm_level2").collect())  # a row per shard
+    trie.pairs = {r.shard: r.file for r in level}
+    trie.pair_starts = dict(zip(trie.pairs, np.cumsum([0] + [r.n for r in level]).tolist(), strict=False))
+    train_triples(numbered, groups, trie, shard_count(tokens, PAIRS_PER_SHARD))
     return trie
 
 
+def train_triples(numbered: DataFrame, groups, trie: Trie, shards: int) -> None:
+    """Level 3, a range of shards after the other."""
+    trie.triple_shards = shards
+    ranges = min(shards, 1 << max(0, -(-trie.tokens // TRIPLES_PER_RANGE) - 1).bit_length())
+    size = shards // ranges
+    jvm = numbered.sparkSession.sparkContext._jvm
+
+    def packed(parts: list[tuple]) -> pa.RecordBatch:
+        pair, word = (np.concatenate(x) for x in zip(*parts, strict=True))
+        kinds, place = np.unique(pair, return_inverse=True)
+        keys, counts = np.unique((place.astype(np.uint64) << np.uint64(32)) | word, return_counts=True)
+        pair, word = kinds[(keys >> np.uint64(32)).astype(np.int64)], keys & np.uint64(0xFFFFFFFF)
+        shard = triple_shard(pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF), word, shards)
+        columns = [pa.array(shard.astype(np.int32)), pa.array(pair.view(np.int64)), pa.array(word.view(np.int64)), pa.array(counts.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "k", "w", "c"])
+
+    def write(batches):
+        for shard, (k, w, c) in by_shard(batches, ["k", "w", "c"]):
+            first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])]))
+            arrays = level_three(k[first].view(np.uint64), w[first], np.add.reduceat(c.astype(np.int64), first), trie)
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "file": [write_arrays(trie.folder, arrays)]})
+
+    def count(batches, part: int):
+        parts: list[tuple] = []
+        for ids, context, first, end_id in groups(batches):
+            shard = triple_shard(first, context, ids, shards)
+            chosen = (shard // size == part) & (context != end_id)
+            parts.append(((first[chosen] << np.uint64(32)) | context[chosen], ids[chosen]))
+            if sum(len(p[0]) for p in parts) >= GATHERED:
+                yield packed(parts)
+                parts = []
+        if parts:
+            yield packed(parts)
+
+    files = {}
+    for part in range(ranges):
+        triples = numbered.mapInArrow(lambda batches, part=part: count(batches, part), "shard int, k long, w long, c int")
+        written = triples.repartition(max(16, size), "shard").sortWithinPartitions("shard", "k", "w").mapInArrow(write, "shard long, file string")
+        files |= {r.shard: r.file for r in stage_table(written, "lm_level3").collect()}  # a row per shard
+        del triples, written
+        gc.collect()
+        jvm.System.gc()  # the exchange goes when the driver no longer refers to it
+    trie.triples = files
+
+
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """Scores of a table with ``_id``, ``held_out`` and the binary ``_text``."""
-    names = ["n_tokens", "n_known", "base_score", "score"]
+    names = ["n_tokens", "n_known", "base_score", "score", "score3"]
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            parts = [trie.score(group) for group in chunks((x or b"" for x in batch.column("_text").to_pylist()))]
+            parts = [trie.score(group) for group in chunks((x or b"" for x in batch.column("_text").to_pylist()), SCORED)]
             columns = [pa.array(np.concatenate([p[n] for p in parts])) for n in names]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), *columns], ["_id", "held_out", *names])
 
     return docs.select("_id", "held_out", "_text").mapInArrow(
-        run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, score3 double"
     )
 
 
@@ -298,5 +447,5 @@ def report(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("_text"))
     trie = train(rows.filter(~F.col("held_out")))
     return score(rows, trie).select(
-        F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+        F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score", "score3"
     )

@@ -43,6 +43,35 @@ def test_scores_against_counts(spark, make_docs):
         assert abs(r["score"] - exact) < 0.02 * len(t)
 
 
+def test_triples_against_counts(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(lm, "TRIPLES_PER_RANGE", 300)  # several ranges
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(["a", "b", "c", "d", f"w{i}"], rng.integers(0, 30)))) for i in range(150)] + [(500, None), (501, "a b " * 20_000)]
+    tokens = [(i, (t or "").split() + [None]) for i, t in rows]
+    words, pairs, triples = Counter(), Counter(), Counter()
+    for i, t in tokens:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            words.update(t)
+            pairs.update(zip([None, *t], t, strict=False))
+            triples.update(zip([None, *t], t, t[1:], strict=False))
+    n, v = sum(words.values()), len(words)
+    by = {r["doc_id"]: r for r in lm.report(make_docs(rows)).collect()}
+    differs = 0
+    for i, t in tokens:
+        exact = 0.0
+        for place, w in enumerate(t):
+            p, u = (words[w] + 1) / (n + v + 1), t[place - 1] if place else None
+            if words[u]:
+                p = (pairs[u, w] + lm.MU * p) / (words[u] + lm.MU)
+            two = (t[place - 2] if place > 1 else None, u)
+            if place and pairs[two]:
+                p = (triples[(*two, w)] + lm.MU * p) / (pairs[two] + lm.MU)
+            exact += math.log10(p)
+        assert abs(by[i]["score3"] - exact) < 0.03 * len(t)
+        differs += abs(by[i]["score"] - exact) > 0.03 * len(t)
+    assert differs > 50
+
+
 def test_empty_parts(spark, make_docs):
     assert lm.report(make_docs([(1, "x")]).limit(0)).count() == 0
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
