@@ -9,6 +9,12 @@ within the first ``|B| - a + 1`` and ``|T| - a + 1`` of them. Length and positio
 filters cut candidates before the exact overlap is counted. All filters are exact,
 so no block that meets the threshold is lost.
 
+A notice that is wrapped over several lines is found in runs of words of the whole
+text: of a template's words (with repeats) divided by the threshold, so that the
+notice with as many words between may stand in one. Texts that hold enough of the
+template's words anywhere are candidates; a run starts at each such word, and its
+exact containment decides.
+
 Defined cases: a NULL or empty text has no words, blocks or labels. Repeated rows
 (same id and text) are reported once each. A document with equal labels from both
 parts lists them once. Empty tables give empty results. Only the id and the text
@@ -51,14 +57,19 @@ def needed(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
+def template_words(text: str) -> list[str]:
+    import re
+
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower())
+
+
 def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
     """Label and sorted word set of every template."""
-    import re
+    return [(label, sorted(set(template_words(text)))) for text, label in templates]
 
-    def words(text: str) -> set[str]:
-        return set(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower()))
 
-    return [(label, sorted(words(text))) for text, label in templates]
+def template_length(text: str) -> int:
+    return len(template_words(text))
 
 
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,6 +118,26 @@ def matching_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
     return found.groupBy(*KEY, "block", "label").agg(F.max(F.col("_shared") / F.col("t_size")).alias("containment"))
 
 
+def wrapped_notices(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every (text, template) pair with a run of words whose containment reaches ``threshold``.
+
+    Columns: ``_id``, the text key, ``label``, ``containment`` of the best run.
+    """
+    rows = []
+    for (text, _), (label, words) in zip(templates, template_sets(templates), strict=True):
+        rows.append((label, words, len(words), needed(len(words), threshold), math.ceil(template_length(text) / threshold - 1e-9)))
+    index = literal_rows(docs.sparkSession, rows, ["label", "t_words", "t_size", "t_least", "t_run"])
+    vocabulary = sorted({w for row in rows for w in row[1]})
+    k1, k2 = text_key(F.col(text_col))
+    texts = docs.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), alnum_words(F.col(text_col)).alias("_w"))
+    texts = texts.withColumn("_b", F.array_intersect(F.array(*map(F.lit, vocabulary)), F.col("_w"))).filter(F.size("_b") >= min(r[3] for r in rows))
+    pairs = texts.join(F.broadcast(index), F.size(F.array_intersect("_b", "t_words")) >= F.col("t_least"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_contains(F.col("t_words"), F.element_at("_w", i)))
+    runs = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("_w", i, F.col("t_run")), F.col("t_words"))))
+    found = pairs.select(*KEY, "label", "t_size", "t_least", F.array_max(runs).alias("_shared")).filter(F.col("_shared") >= F.col("t_least"))
+    return found.select(*KEY, "label", (F.col("_shared") / F.col("t_size")).alias("containment"))
+
+
 def phrase_places(words: Column, n: Column, joined: Column, phrase: str) -> Column:
     """Word positions, from 0, at which the phrase's words stand consecutively."""
     parts = phrase.split(" ")
@@ -120,8 +151,8 @@ def phrase_places(words: Column, n: Column, joined: Column, phrase: str) -> Colu
 def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: phrase places and labels, the join's labels and a score.
 
-    ``score`` is 1 with a phrase, else the highest containment reached by a block,
-    else 0.
+    ``score`` is 1 with a phrase, else the highest containment reached by a block
+    or a run of words, else 0.
     """
     k1, k2 = text_key(F.col(text_col))
     words = docs.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), alnum_words(F.col(text_col)).alias("_w"))
@@ -140,7 +171,8 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshol
         F.lit(None).cast("string").alias("label"),
         F.when(F.size(every) > 0, 1.0).otherwise(0.0).alias("score"),
     )
-    found = matching_blocks(docs, templates, threshold, id_col, text_col).select(
+    lines = matching_blocks(docs, templates, threshold, id_col, text_col).select(*KEY, "label", "containment")
+    found = lines.unionAll(wrapped_notices(docs, templates, threshold, id_col, text_col)).select(
         *KEY, *[F.lit(None).cast("long").alias(c) for c in ("n_words", "n_base", "first_word", "last_word")], F.lit(None).cast("array<string>").alias("base"), "label", F.col("containment").alias("score")
     )
     merged = base.unionAll(found).groupBy(*KEY).agg(

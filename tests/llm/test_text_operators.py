@@ -75,6 +75,24 @@ def test_license_join_is_exact(make_docs):
         assert found == want
 
 
+def test_wrapped_license_notices(make_docs):
+    docs = make_docs(
+        [
+            (1, "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
+            (2, "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that"),
+            (3, "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License"),
+            (4, "permission is hereby granted\n" + "and so on " * 40 + "\nfree of charge to any person\n" + "x " * 90 + "\nobtaining a copy of this software"),
+            (5, "Released\nunder the\n\nMIT License."),
+            (6, None),
+        ]
+    )
+    rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(docs).collect()}
+    assert rows[1][0] == "mit" and rows[2][0] == "bsd" and rows[3][0] == "gpl"
+    assert rows[1][1] == rows[2][1] == rows[3][1] == 1
+    assert rows[4] == ("", 0)  # all words of a notice, but scattered over the lines
+    assert rows[5][0] == "mit" and rows[6] == ("", 0)
+
+
 def test_quality_cases(spark, make_docs):
     rng = np.random.default_rng(1)
     good = [" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(40)) for _ in range(60)]
