@@ -147,6 +147,10 @@ def part_shares(part: np.ndarray, graph: np.ndarray, parts: int) -> np.ndarray:
     return shares
 
 
+def unit_length(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-300)
+
+
 def fit(rows: DataFrame, n_rows: int, fit_rows: int = FIT_ROWS, k: int = NEIGHBOURS) -> Router:
     """Partition, router and number of visits from at most ``fit_rows`` vectors."""
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("v").toPandas()["v"]
@@ -160,11 +164,12 @@ def fit(rows: DataFrame, n_rows: int, fit_rows: int = FIT_ROWS, k: int = NEIGHBO
     x = x / np.sqrt((x**2).sum(axis=1).mean())
     graph = neighbour_graph(x[:kept], k)
     part = balanced_parts(x[:kept], graph, parts)
-    router = Router(train_router(x[:kept], part_shares(part, graph, parts)), parts, parts, dimension)
-    home = router.chances(x[:kept]).argmax(axis=1)
+    unit = unit_length(x)  # what the router sees, here and in routed(); the graph stays on inner products
+    router = Router(train_router(unit[:kept], part_shares(part, graph, parts)), parts, parts, dimension)
+    home = router.chances(unit[:kept]).argmax(axis=1)
     near = np.argpartition(-(x[kept:] @ x[:kept].T), k - 1, axis=1)[:, :k]
     ranks = np.empty((len(near), parts), np.int64)
-    np.put_along_axis(ranks, np.argsort(-router.chances(x[kept:]), axis=1), np.arange(parts)[None, :], axis=1)
+    np.put_along_axis(ranks, np.argsort(-router.chances(unit[kept:]), axis=1), np.arange(parts)[None, :], axis=1)
     seen = np.take_along_axis(ranks, home[near], axis=1)
     recall = [(seen < m).mean() for m in range(1, parts + 1)]
     router.visits = 1 + int(np.argmax(np.array(recall) >= TARGET_RECALL))
@@ -183,8 +188,7 @@ def routed(rows: DataFrame, router: Router, visits: int) -> DataFrame:
             found = [np.array(v, np.float64) for v in batch.column("v").to_pylist()]
             good = np.array([len(v) == router.dimension for v in found], bool)
             x = np.array([v for v in found if len(v) == router.dimension]).reshape(-1, router.dimension)
-            norm = np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-300)
-            best = np.argsort(-router.chances(x / norm), axis=1, kind="stable")[:, :visits]
+            best = np.argsort(-router.chances(unit_length(x)), axis=1, kind="stable")[:, :visits]
             data = [v.tobytes() for v in x]
             yield pa.RecordBatch.from_arrays(
                 [

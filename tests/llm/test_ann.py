@@ -44,6 +44,20 @@ def test_router_leaves_parts_out():
     assert inside > 0.6
 
 
+def test_fit_routes_what_search_routes(spark, monkeypatch):
+    """Of vectors of widely differing lengths, fit shows the router the same as the search does."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 16))
+    x = centres[rng.integers(20, size=3000)] + 0.4 * rng.normal(size=(3000, 16))
+    x *= np.exp(rng.normal(size=(3000, 1)))
+    seen, chances = [], ann.Router.chances
+    monkeypatch.setattr(ann.Router, "chances", lambda self, v: seen.append(v) or chances(self, v))
+    rows = ann.vectors(table(spark, [row(i, v.tolist()) for i, v in enumerate(x)]), "vec_id", "embedding")
+    router = ann.fit(rows, 3000)
+    assert router.parts > 1 and seen
+    assert all(np.allclose(np.linalg.norm(v, axis=1), 1) for v in seen)
+
+
 def test_cases(spark):
     rows = [row(0, [1.0, 0.0]), row(20, [0.0, 2.0]), row(3, [1.0, 0.0]), row(2, [1.0, 0.0]), row(2, [1.0, 0.0]), row(5, None), row(6, [0.0, 0.0]), row(7, [None, 1.0]), row(8, [float("nan"), 1.0]), row(9, [float("inf"), 1.0]), row(None, [1.0, 1.0]), row(40, [])]
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.report(table(spark, rows)).collect()]
