@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import ann, decontaminate, jaccard, licenses, lm, packing, quality, suffix, toxicity, warc
+from pricelens.llm import align, ann, decontaminate, jaccard, licenses, lines, lm, merkle, packing, quality, suffix, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_learned_partitions": op1_learned_partitions,
     "op2_jaccard_join": op2_jaccard_join,
@@ -66,4 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_alignment": op12_alignment,
+    "op13_merkle": op13_merkle,
 }
