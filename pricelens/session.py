@@ -1,42 +1,19 @@
-"""Session helpers: shared scratch storage, checked small sides, reuse."""
+"""Session helpers: stored tables, checked small sides, NULL-safe joins."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_SIDE_ROWS = 20_000
-
-_local_scratch: str | None = None
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a session whose driver runs the tasks itself falls back to a temporary
-    folder; a cluster without the setting is an error.
-    """
-    global _local_scratch
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="pricelens-")
-    return _local_scratch
+from pricelens.storage import owner, scratch_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder that goes with the ``storage`` block it is asked for in."""
+    return owner(spark).path(name)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -49,24 +26,17 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     """Write ``df`` to shared storage and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and not a re-run of
-    everything upstream.
+    everything upstream. The table goes with the ``storage`` block it is made in.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return owner(df.sparkSession).stage(df, name, partition_by)
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise a side that is expected to be small and mark it for broadcast.
+def small_side(df: DataFrame) -> DataFrame:
+    """Store a side that is expected to be small, so that its size in bytes is known.
 
-    The broadcast happens only once the row count has been seen to be within
-    ``max_rows`` (``SMALL_SIDE_ROWS`` unless given). A larger side is staged and
-    joined by shuffle instead.
+    No hint: the engine broadcasts a stored table within its own byte threshold and
+    shuffles a larger one. Either way the side is computed once.
     """
-    max_rows = SMALL_SIDE_ROWS if max_rows is None else max_rows
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     return stage_table(df, "side")
 
 
@@ -79,13 +49,3 @@ def join_on(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inn
     return df.join(renamed, condition, how).select(
         *df.columns, *[c for c in side.columns if c not in keys]
     )
-
-
-@contextmanager
-def cached(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a frame for several actions, then release it."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

@@ -18,22 +18,26 @@ def test_stage_table_cuts_the_lineage(spark):
     assert sorted(df.columns) == ["city", "id"]
 
 
-def broadcasts(df):
-    return "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_side_is_broadcast_only_within_its_bound(spark):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_small_side_is_broadcast_by_its_stored_bytes(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    threshold = spark.conf.get(name)
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    side = session.small_side(spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")))
+    plans = []
     try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        side = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-        within = session.join_on(big, session.small_side(side, 50), ["k"])
-        beyond = session.join_on(big, session.small_side(side, 49), ["k"])
-        assert broadcasts(within) and not broadcasts(beyond)
-        assert within.count() == beyond.count() == 50
+        for bound in ("1m", "1"):
+            spark.conf.set(name, bound)
+            joined = session.join_on(big, side, ["k"])
+            plans.append(plan_of(joined))
+            assert joined.count() == 50
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set(name, threshold)
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+    assert all("Range (0, 50" not in p for p in plans)
 
 
 def test_join_on_matches_null_keys(spark):
@@ -41,9 +45,3 @@ def test_join_on_matches_null_keys(spark):
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")
     got = {(r.k, r.x, r.y) for r in session.join_on(left, right, ["k"], "left").collect()}
     assert got == {(None, 1, 10), ("a", 2, 20), ("b", 3, None)}
-
-
-def test_cached_releases_the_frame(spark):
-    with session.cached(spark.range(10)) as kept:
-        assert kept.count() == 10 and kept.is_cached
-    assert not kept.is_cached
