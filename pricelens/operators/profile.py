@@ -7,14 +7,16 @@ per task and group, however many rows a group holds.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricelens.functions.casts import finite, nan_as_null
 from pricelens.operators.columns import long_values, name_at
-from pricelens.operators.percentiles import exact_percentiles, percentile_name
+from pricelens.operators.moments import Moments, grouped_moments
+from pricelens.operators.percentiles import approximate_percentiles, exact_percentiles, percentile_name
 from pricelens.operators.rows import points
 from pricelens.session import join_on, small_side
 
@@ -24,24 +26,47 @@ def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return df.groupBy(*by).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
+def _summary(c: str) -> Column:
+    v = F.col(c)
+    return F.struct(
+        F.lit(c).alias("column"),
+        F.count(v).alias("n"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("stddev"),
+        F.min(v).cast("double").alias("min"),
+        F.max(v).cast("double").alias("max"),
+    )
+
+
 def describe_by(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample deviation, min and max of numeric columns, in long form."""
 
-    def summary(c: str) -> Column:
-        v = F.col(c)
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.count(v).alias("n"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("stddev"),
-            F.min(v).cast("double").alias("min"),
-            F.max(v).cast("double").alias("max"),
-        )
-
-    wide = df.groupBy(*by).agg(*[summary(c).alias(c) for c in columns])
+    wide = df.groupBy(*by).agg(*[_summary(c).alias(c) for c in columns])
     return wide.select(*by, F.inline(F.array(*[F.col(c) for c in columns])))
 
 
+def summaries(
+    df: DataFrame, numeric: Sequence[str], columns: Sequence[str], value: str, cap: tuple[float, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Null counts, numeric summaries and the capped range of ``value`` in one pass.
+
+    One row per group: ``nulls`` a struct by column, ``described`` the rows of
+    ``describe_by``, ``capped`` those of ``range_of`` after ``cap_range``.
+    """
+    v = F.when((F.col(value) > cap[0]) & (F.col(value) <= cap[1]), F.col(value))
+    wide = df.groupBy(*by).agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)],
+        *[_summary(c).alias(f"_summary_{i}") for i, c in enumerate(numeric)],
+        F.min(v).alias("_min"), F.max(v).alias("_max"), F.count(v).alias("_n"),
+    )
+    return wide.select(
+        *by,
+        F.struct(*[F.col(f"_null_{i}").alias(c) for i, c in enumerate(columns)]).alias("nulls"),
+        F.array(*[F.col(f"_summary_{i}") for i in range(len(numeric))]).alias("described"),
+        F.struct(F.col("_min").alias("min"), F.col("_max").alias("max"), F.col("_n").alias("n")).alias("capped"),
+    )
+
+
 def describe_text_by(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, min and max of text columns, in long form.
 
@@ -72,17 +97,8 @@ def quartiles(
     by: Sequence[str] = (),
     approx: bool = False,
 ) -> DataFrame:
-    """Interpolated percentiles per group and column; ``approx`` takes one sketch pass."""
-    if not approx:
-        return exact_percentiles(df, columns, percentages, by)
-
-    def sketch(c: str) -> Column:
-        cuts = F.percentile_approx(F.col(c).cast("double"), list(percentages))
-        named = [cuts[i].alias(percentile_name(p)) for i, p in enumerate(percentages)]
-        return F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), *named)
-
-    wide = df.groupBy(*by).agg(*[sketch(c).alias(c) for c in columns])
-    return wide.select(*by, F.inline(F.array(*[F.col(c) for c in columns])))
+    """Interpolated percentiles per group and column; ``approx`` takes one pass with sketches."""
+    return (approximate_percentiles if approx else exact_percentiles)(df, columns, percentages, by)
 
 
 def tail_profile(
@@ -179,37 +195,23 @@ def correlation(
     With ``against``, only the pairs of a column in ``columns`` (``a``) and one in
     ``against`` (``b``).
 
-    One pass. Each row is met once per pair of columns, and the pairs are told
-    apart by number, so the running sums of a task are one short row per group
-    and pair; an aggregate per pair would need a row too wide for generated
-    code. A constant column correlates with nothing, itself included (NULL).
+    One pass: tasks reduce batches to the co-moments of all pairs, which are merged per
+    group. A constant column correlates with nothing, itself included (NULL).
     """
-    if against:
-        names = [*columns, *against]
-        pairs = [(i, len(columns) + j) for i in range(len(columns)) for j in range(len(against))]
-    else:
-        names = list(columns)
-        pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    first = name_at([names[i] for i, _ in pairs], F.col("pair"))
-    second = name_at([names[j] for _, j in pairs], F.col("pair"))
-
-    def side(position: int) -> Column:
-        return F.get("values", F.get(F.array(*[F.lit(p[position]) for p in pairs]), F.col("pair")))
-
-    spread_x, spread_y = F.regr_sxx("y", "x"), F.regr_syy("y", "x")
-    share = F.regr_sxy("y", "x") / F.sqrt(spread_x * spread_y)
-    r = (
-        df.select(*by, F.array(*[nan_as_null(F.col(c)) for c in names]).alias("values"))
-        .select(*by, "values", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
-        .select(*by, "pair", side(0).alias("x"), side(1).alias("y"))
-        .groupBy(*by, "pair")
-        .agg(F.when((spread_x > 0) & (spread_y > 0), finite(share)).alias("r"))
-        .select(*by, first.alias("a"), second.alias("b"), "r")
-    )
-    if against:
-        return r
-    cell = F.struct(F.col("a"), F.col("b"), F.col("r"))
-    mirrored = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("r"))
-    unit = F.struct(F.col("a"), F.col("b"), F.when(F.col("r").isNotNull(), 1.0).alias("r"))
-    cells = F.when(F.col("a") == F.col("b"), F.array(unit)).otherwise(F.array(cell, mirrored))
-    return r.select(*by, F.inline(cells))
+    names = [*columns, *against]
+    first, second = (range(len(columns)), range(len(columns), len(names))) if against else (range(len(names)),) * 2
+    pairs = [(i, j) for i in first for j in second]
+
+    def matrix(found: Moments) -> dict[str, list]:
+        spread = found.squares * found.squares.T
+        r = found.products / np.sqrt(np.where(spread > 0, spread, np.nan))
+        r[np.diag_indices(len(names))] = np.where(np.diagonal(found.squares) > 0, 1.0, np.nan)
+        values = [float(r[i, j]) if np.isfinite(r[i, j]) else None for i, j in pairs]
+        return {
+            "a": pa.array([names[i] for i, _ in pairs], pa.string()),
+            "b": pa.array([names[j] for _, j in pairs], pa.string()),
+            "r": pa.array(values, pa.float64()),
+        }
+
+    out = T.StructType().add("a", "string").add("b", "string").add("r", "double")
+    return grouped_moments(df, [F.col(c) for c in names], by, matrix, out)

@@ -1,12 +1,14 @@
 import math
+import struct
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from pricelens import session
-from pricelens.operators import profile
-from pricelens.operators.percentiles import exact_percentiles, percentile_name
+from pricelens.functions.bits import order_key
+from pricelens.operators import percentiles, profile
+from pricelens.operators.percentiles import approximate_percentiles, exact_percentiles, percentile_name
 
 PERCENTAGES = [0, 0.01, 0.25, 1 / 3, 0.5, 0.75, 0.95, 0.99, 0.999, 1.0]
 
@@ -28,9 +30,10 @@ def skewed_frame(spark, skewed):
     return spark.createDataFrame(skewed).repartition(7).cache()
 
 
-@pytest.mark.parametrize("cells", [1000, 30])
-def test_exact_percentiles_match_brute_force(skewed, skewed_frame, cells):
-    out = exact_percentiles(skewed_frame, ["v", "w"], PERCENTAGES, ["g"], cells)
+@pytest.mark.parametrize("bits", [11, 5])
+def test_exact_percentiles_match_brute_force(skewed, skewed_frame, monkeypatch, bits):
+    monkeypatch.setattr(percentiles, "RADIX_BITS", bits)
+    out = exact_percentiles(skewed_frame, ["v", "w"], PERCENTAGES, ["g"])
     rows = out.collect()
     assert len(rows) == 4
     for r in rows:
@@ -40,7 +43,7 @@ def test_exact_percentiles_match_brute_force(skewed, skewed_frame, cells):
         assert got == pytest.approx(np.quantile(values, PERCENTAGES).tolist(), rel=1e-12)
 
 
-def test_many_groups_take_the_shuffle_path(spark, skewed_frame, monkeypatch):
+def test_many_groups_take_the_shuffle_path(spark, skewed_frame):
     """With sides too large to broadcast the results stay the same."""
 
     def results():
@@ -49,7 +52,6 @@ def test_many_groups_take_the_shuffle_path(spark, skewed_frame, monkeypatch):
         return [sorted(map(str, df.collect())) for df in (percentiles, bins)]
 
     broadcast = results()
-    monkeypatch.setattr(session, "SMALL_SIDE_ROWS", 1)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -89,6 +91,46 @@ def test_percentiles_of_odd_values(spark):
     assert got["ends"][1] == -inf and got["ends"][4] == inf
 
 
+def test_order_keys_are_the_bits(spark):
+    """All exponents, the doubles beside powers of two, both ends of the format."""
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308]
+    for e in range(-1074, 1024, 7):
+        power = math.ldexp(1.0, e)
+        values += [power, -power, math.nextafter(power, 0), math.nextafter(power, math.inf)]
+    values += [math.nextafter(math.ldexp(1.0, -1021), 0)]
+
+    def bits(x):
+        number = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        return -number if x < 0 else number
+
+    found = spark.createDataFrame([(x,) for x in values], "v double").select("v", order_key(F.col("v")).alias("k")).collect()
+    assert [r.k for r in found] == [bits(r.v) for r in found]
+
+
+def test_percentile_rounds_are_bounded(spark, monkeypatch):
+    """400 values over 120 decades of both signs, and 400 neighbours in the last bits."""
+    staged = []
+    plain = percentiles.stage_table
+    monkeypatch.setattr(percentiles, "stage_table", lambda df, name: staged.append(name) or plain(df, name))
+    wide = [(-1) ** i * 10.0 ** (i * 0.3 - 60) for i in range(400)]
+    close = [1.0 + i * 2.0**-52 for i in range(400)]
+    df = spark.createDataFrame([("wide", x) for x in wide] + [("close", x) for x in close], "g string, v double")
+    marks = [0.1, 0.37, 0.5, 0.9]
+    for r in exact_percentiles(df, ["v"], marks, ["g"]).collect():
+        want = np.quantile(wide if r.g == "wide" else close, marks)
+        assert [r[percentile_name(p)] for p in marks] == pytest.approx(want.tolist(), rel=1e-15)
+    assert staged.count("targets") <= 7 and staged.count("survivors") == 1
+
+
+def test_sketches_are_merged_in_two_levels(spark, skewed, skewed_frame):
+    out = approximate_percentiles(skewed_frame, ["v", "w"], [0.5], ["g"], slices=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("kll_sketch_agg_double") and plan.count("kll_merge_agg_double") and plan.count("Exchange") >= 2
+    for r in out.collect():
+        values = skewed[skewed.g == r.g][r.column].dropna().to_numpy()
+        assert r.n == len(values) and (values < r.p50).mean() - 0.02 <= 0.5 <= (values <= r.p50).mean() + 0.02
+
+
 def test_approximate_percentiles_are_close_in_rank(skewed, skewed_frame):
     out = profile.quartiles(skewed_frame, ["v"], [0.25, 0.9], ["g"], approx=True)
     for r in out.collect():
