@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.operators.columns import name_at
+from pricelens.operators.ranking import sums_before
 from pricelens.schemas import FEATURE_INDEX
+from pricelens.session import join_on
 from pricelens.sources.reports import rows_to_frame
+from pricelens.storage import storage
 
 MAX_LEVELS = 10_000
 
@@ -43,18 +46,26 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, level, n, idx``: 0 for the most frequent level, ties by name.
 
-    A plan like any other: levels are counted with partial sums and ranked per
-    column, however many there are.
+    Levels are counted with partial sums, cut into ranges of that order, and numbered
+    from the sizes of the ranges: no task holds all levels of a column.
     """
-    order = Window.partitionBy("column").orderBy(F.desc("n"), "level")
-    return level_counts(df, columns).withColumn("idx", F.row_number().over(order) - 1)
+    with storage(df.sparkSession) as own:
+        counted = level_counts(df, columns).withColumns({"_fewer": -F.col("n"), "_one": F.lit(1)})
+        placed = sums_before(counted, ["column", "_fewer", "level"], "_one", "_place")
+        first = placed.groupBy("column").agg(F.min("_place").alias("_first"))
+        idx = (F.col("_place") - F.col("_first")).cast("int").alias("idx")
+        return own.result(join_on(placed, first, ["column"]).select("column", "level", "n", idx), "levels")
 
 
 def _labels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str, list[str]]:
-    """Ranked levels for MLlib, which holds them on the driver: at most ``max_levels`` a column."""
-    ranked = category_index(df, columns).filter(F.col("idx") <= max_levels)
+    """Ranked levels for MLlib, which holds them on the driver: at most ``max_levels`` a column.
+
+    Tasks pass on their own first levels only, so the window is as short as the result.
+    """
+    order = Window.partitionBy("column").orderBy(F.desc("n"), "level")
+    ranked = level_counts(df, columns).withColumn("place", F.row_number().over(order))
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in ranked.orderBy("column", "idx").collect():
+    for row in sorted(ranked.filter(F.col("place") <= max_levels + 1).collect(), key=lambda r: r.place):
         found[row["column"]].append(row.level)
     wide = [c for c, levels in found.items() if len(levels) > max_levels]
     if wide:
@@ -65,6 +76,32 @@ def _labels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str,
     return found
 
 
+def long_features(
+    df: DataFrame, keys: Sequence[str], numeric: Sequence[str], categorical: Sequence[str]
+) -> DataFrame:
+    """``keys, position, value``: the entries of the feature vector that are not zero.
+
+    Positions are those of ``fit_encoder``: numeric columns first, then a block per
+    category column. Levels stay in a table, so a column may have any number of them;
+    neither the driver nor a row holds them. A NULL level has no entry. ``df`` is read
+    three times: hand in a stored frame.
+    """
+    index = category_index(df, categorical)
+    sizes = index.groupBy("column").agg(F.count("*").alias("size"))
+    place = F.array_position(F.array(*map(F.lit, categorical)), F.col("column"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    offset = len(numeric) + F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    offsets = sizes.select("column", offset.alias("offset"))  # a row per column
+    positions = join_on(index, offsets, ["column"]).select(
+        F.col("column").alias("_column"), F.col("level").alias("_level"), (F.col("offset") + F.col("idx")).cast("int").alias("position")
+    )
+    stacked = df.select(*keys, F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("position", "value"))
+    levels = df.select(*keys, F.posexplode(F.array(*categorical)).alias("_number", "_level"))
+    levels = levels.withColumn("_column", name_at(categorical, F.col("_number"))).filter(F.col("_level").isNotNull())
+    ones = levels.join(positions, ["_column", "_level"]).select(*keys, "position", F.lit(1.0).alias("value"))
+    return stacked.filter(F.col("value") != 0).unionByName(ones)
+
+
 def fit_indexers(
     df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS
 ) -> PipelineModel:

@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions.measures import hash_bucket
 
 
+def numeric_id(column: Column) -> Column:
+    return column.rlike("^[0-9]+$")
+
+
 def keep_numeric_ids(df: DataFrame, column: str = "id") -> DataFrame:
     """NULL, empty and non-digit ids all fail the match."""
-    return df.filter(F.col(column).rlike("^[0-9]+$"))
+    return df.filter(numeric_id(F.col(column)))
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str] = ("price",)) -> DataFrame:
@@ -51,6 +55,20 @@ def scatter_sample(df: DataFrame, key: str, per_mille: int, seed: int) -> DataFr
     return df.filter(_in_share(key, per_mille, 1000, seed))
 
 
+def sample_points(df: DataFrame, key: str, k: int, by: Sequence[str] = (), seed: int = 0) -> DataFrame:
+    """``k`` rows per group at most, for a chart that draws so many points: those of the smallest key hashes.
+
+    The choice depends on keys and seed, not on the layout, and a larger ``k`` adds rows
+    to those of a smaller one. Every task keeps its own ``k`` smallest per group, so that
+    is all that is shuffled. NULL keys are not in it; rows of one key follow their values.
+    """
+    spread = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    others = [c for c in df.columns if c not in (key, *by)]
+    order = Window.partitionBy(*by).orderBy("_spread", key, *others)
+    ranked = df.filter(F.col(key).isNotNull()).withColumn("_spread", spread).withColumn("_place", F.row_number().over(order))
+    return ranked.filter(F.col("_place") <= k).drop("_spread", "_place")
+
+
 def _in_share(key: str, share: int, buckets: int, seed: int) -> Column:
     return F.coalesce(hash_bucket(F.col(key), seed, buckets) < share, F.lit(False))
 

@@ -12,6 +12,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricelens import constants
 from pricelens.operators.evaluate import evaluate
@@ -22,6 +23,10 @@ from pricelens.sources.reports import rows_to_frame
 
 log = logging.getLogger(__name__)
 
+LEAST_FILES = 8
+ROWS_PER_FILE = 1_000_000
+SPLIT_BYTES = "1g"
+
 Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
@@ -83,15 +88,38 @@ def stored_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return only(df, part="train"), only(df, part="test")
 
 
-def stable_layout(df: DataFrame, key: str = "id", partition_by: Sequence[str] = ()) -> DataFrame:
-    """Spread rows evenly by key and fix their order inside each partition.
+def layout_files(rows: int) -> int:
+    """Files of a layout: a number that depends on the data alone."""
+    return max(LEAST_FILES, -(-rows // ROWS_PER_FILE))
+
+
+def stable_layout(df: DataFrame, key: str = "id", partition_by: Sequence[str] = (), files: int = LEAST_FILES) -> DataFrame:
+    """Deal rows by key to a stated number of partitions and fix their order inside each.
 
     Tree learners draw samples per partition, so a model is repeatable only if
-    the layout is. Apply it once, to the frame that is stored; the fits then
-    read the same layout every time and need no shuffle of their own. Folder
-    columns lead the sort, as the writer would otherwise sort again by them.
+    the layout is. The number is stated, so neither the session's shuffle partitions nor
+    adaptive coalescing has a say. Folder columns lead the sort, as the writer would
+    otherwise sort again by them.
     """
-    return df.repartition(F.col(key)).sortWithinPartitions(*partition_by, key)
+    return df.repartition(files, F.col(key)).sortWithinPartitions(*partition_by, key)
+
+
+def read_layout(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored layout read with one partition per file, whatever the cluster's size.
+
+    The reader otherwise packs files by the number of cores. The settings belong to a
+    session of the frame's own, so no other query sees them.
+    """
+    session = spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(name, SPLIT_BYTES)
+    return session.read.schema(schema).parquet(path)
+
+
+def store_layout(df: DataFrame, path: str, folders: Sequence[str], rows: int, key: str = "id") -> DataFrame:
+    """Write a frame once in its layout and read it back: all fits and repeats share it."""
+    stable_layout(df, key, folders, layout_files(rows)).write.mode("overwrite").partitionBy(*folders).parquet(path)
+    return read_layout(df.sparkSession, path, df.schema)
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

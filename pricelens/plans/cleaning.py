@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens import constants
 from pricelens.functions.casts import clean_currency, safe_date, safe_double
-from pricelens.operators.rows import fill_defaults, keep_numeric_ids, require_not_null
+from pricelens.operators.rows import fill_defaults, keep_numeric_ids, numeric_id, require_not_null
 
 
 def type_listings(df: DataFrame, strip: str = "$,", finite_only: bool = True) -> DataFrame:
@@ -35,6 +35,15 @@ def clean_listings(
     Every step is row-wise, so this runs map-side over any number of files and
     accepts a streaming frame as well.
     """
-    typed = type_listings(keep_numeric_ids(df), strip, finite_only)
-    filled = fill_defaults(typed, constants.REVIEW_DEFAULTS)
-    return require_not_null(filled, ["price"]).drop(*drop_columns)
+    typed = typed_listings(keep_numeric_ids(df), strip, finite_only)
+    return require_not_null(typed, ["price"]).drop(*drop_columns)
+
+
+def typed_listings(df: DataFrame, strip: str = "$,", finite_only: bool = True) -> DataFrame:
+    """Every raw listing with typed fields and review gaps filled; none is dropped."""
+    return fill_defaults(type_listings(df, strip, finite_only), constants.REVIEW_DEFAULTS)
+
+
+def clean_row(typed: DataFrame) -> Column:
+    """Whether a typed listing is one that ``clean_listings`` keeps."""
+    return F.coalesce(numeric_id(typed["id"]) & typed["price"].isNotNull(), F.lit(False))

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens import constants
 from pricelens.functions.measures import distance_to_center, log_target
 from pricelens.operators.columns import present_columns, require_columns
 from pricelens.operators.encode import MAX_LEVELS, fit_encoder
-from pricelens.operators.rows import drop_incomplete, positive
+from pricelens.plans.cleaning import clean_row, typed_listings
 
 Centers = Mapping[str, tuple[float, float]]
 
@@ -32,14 +33,32 @@ def derive_features(
     distance = distance_to_center(
         F.col("latitude"), F.col("longitude"), F.col("city"), centers, fallback_city
     )
-    numeric = present_columns(df, constants.NUMERIC_FEATURES, "numeric feature")
-    categorical = present_columns(df, constants.CATEGORICAL_FEATURES, "categorical feature")
-    usable = drop_incomplete(positive(df, "price"), ["price", *numeric, *categorical])
-    if fallback_city is None:
-        usable = usable.filter(F.col("city").isin(*centers))
+    usable = df.filter(usable_row(df, centers, fallback_city))
     return usable.withColumns({"log_price": log_target(F.col("price")), "dist_to_center": distance})
 
 
+def usable_row(df: DataFrame, centers: Centers = constants.CITY_CENTERS, fallback_city: str | None = None) -> Column:
+    """Whether a clean listing can be an example: every input is there and the price positive."""
+    numeric, categorical = feature_columns(df)
+    tests = [F.col("price") > 0, *[F.col(c).isNotNull() for c in ("price", *numeric, *categorical)]]
+    tests += [~F.isnan(c) for c in ("price", *numeric)]
+    if fallback_city is None:
+        tests.append(F.col("city").isin(*centers))
+    return reduce(lambda a, b: a & b, tests)
+
+
+def stage_counts(raw: DataFrame, centers: Centers = constants.CITY_CENTERS) -> DataFrame:
+    """``stage, n``: raw listings, clean ones and examples, counted in one pass over the raw ones."""
+    require_columns(raw, constants.REQUIRED_COLUMNS)
+    typed = typed_listings(raw)
+    counts = typed.select(clean_row(typed).alias("clean"), usable_row(typed, centers).alias("usable")).agg(
+        F.count("*").alias("raw"),
+        F.count_if(F.col("clean")).alias("clean"),
+        F.count_if(F.col("clean") & F.col("usable")).alias("model"),
+    )
+    return counts.unpivot([], ["raw", "clean", "model"], "stage", "n")
+
+
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     return (
         present_columns(df, constants.NUMERIC_FEATURES, "numeric feature"),

@@ -305,6 +305,25 @@ predicted AS (
   SELECT test.city, y, my + w * (number_of_reviews - mx) AS p FROM test JOIN fitted USING (city))"""
     + SCORED
 )
+ELASTIC_GROUPS = (
+    PARTS
+    + """,
+moments AS (
+  SELECT city, room_type, avg(y) AS my, avg(number_of_reviews) AS mx, stddev_pop(y) AS sy,
+    stddev_pop(number_of_reviews) AS sx, corr(number_of_reviews, y) AS rho, count(*) AS n_train
+  FROM train GROUP BY city, room_type),
+fitted AS (
+  SELECT city, room_type, mx, my, n_train,
+    sign(rho) * greatest(abs(rho) - 0.05 / sy, 0) / (1 + 0.05 / sy) * sy / sx AS w
+  FROM moments),
+predicted AS (
+  SELECT city, room_type, y, my + w * (number_of_reviews - mx) AS p
+  FROM test JOIN fitted USING (city, room_type)),
+metrics AS (
+  SELECT city, room_type, sqrt(avg((p - y) * (p - y))) AS rmse, avg(abs(p - y)) AS mae,
+    1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2, count(*) AS n_test
+  FROM predicted GROUP BY city, room_type)"""
+)
 _GAINS = """
   SELECT s.city, s.level, s1, s0, n1, n0, s1 / n1 AS m1, s0 / n0 AS m0,
     s1 * s1 / n1 + s0 * s0 / n0 - (s1 + s0) * (s1 + s0) / (n1 + n0) AS gain,
@@ -364,6 +383,23 @@ used AS (
         + f" SELECT city, feature, {r('importance', 5)} AS importance, "
         + f"{FITTED_OUTPUT} FROM metrics JOIN used USING (city)"
     ),
+    "fit_linear_groups": derived(
+        ELASTIC_GROUPS
+        + f" SELECT city, room_type, {r('w', 5)} AS coefficient, {r('my - w * mx', 5)} AS intercept, "
+        + f"n_train, {FITTED_OUTPUT}, n_test FROM metrics JOIN fitted USING (city, room_type)"
+    ),
+    "training_reports": derived(
+        SPLITS
+        + """,
+predicted AS (
+  SELECT test.city, y, CASE WHEN room_type = level THEN m1 ELSE m0 END AS p
+  FROM test JOIN one USING (city))"""
+        + SCORED
+        + ", tested AS (SELECT city, count(*) AS n_test FROM predicted GROUP BY city)"
+        + " SELECT city, 'RandomForest' AS model, feature, 1.0E0 AS importance, "
+        + f"{FITTED_OUTPUT}, n_test, 'ok' AS status "
+        + "FROM metrics JOIN one USING (city) JOIN named USING (level) JOIN tested USING (city)"
+    ),
     "row_counts": derived(
         "SELECT 'raw' AS stage, count(*) AS n FROM raw "
         "UNION ALL SELECT 'clean', count(*) FROM clean "
@@ -478,6 +514,10 @@ used AS (
     "scatter_sample": listing(
         f"SELECT id, city, latitude, longitude, price FROM listing WHERE {BUCKET} % 1000 < 50"
     ),
+    "scatter_points": listing(
+        "SELECT id, city, latitude, longitude, price FROM (SELECT *, row_number() OVER (PARTITION BY city "
+        "ORDER BY md5(concat(CAST(id AS varchar), ':42')), id) AS place FROM listing) WHERE place <= 200"
+    ),
     "price_correlation": clean(correlation_matrix()),
     "union_cities": listing(
         "SELECT id, 'LA' AS city, price, room_type FROM listing WHERE city = 'LA' "
@@ -513,6 +553,18 @@ used AS (
             for c in CATEGORICAL
         )
     ),
+    "model_frame_long": derived(
+        INDEX_MAP
+        + " UNION ALL ".join(
+            f"SELECT id, city, CAST({i} AS integer) AS position, {r(c, 6)} AS value FROM derived WHERE {c} <> 0"
+            for i, c in enumerate(NUMERIC)
+        )
+        + " UNION ALL "
+        + " UNION ALL ".join(
+            f"SELECT id, city, feature_index, 1.0E0 FROM derived JOIN index_map ON source = '{c}' AND index_map.level = {c}"
+            for c in CATEGORICAL
+        )
+    ),
     "feature_index_map": derived(INDEX_MAP + "SELECT * FROM index_map"),
     "evaluate_regression": listing(
         TRAINED + f"SELECT {METRICS_OUTPUT} FROM metrics JOIN unscored USING (city, model) WHERE model = 'RoomTypeMean'"

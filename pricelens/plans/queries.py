@@ -7,7 +7,6 @@ keys of ``QUERIES`` are those of ``oracle_sql.ORACLES``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
@@ -18,16 +17,17 @@ from pricelens import constants
 from pricelens.functions.casts import clean_currency, safe_date, safe_double
 from pricelens.functions.measures import distance_to_center, log_target
 from pricelens.operators import columns as column_ops
-from pricelens.operators import encode, profile, report, rows, train
+from pricelens.operators import encode, linear, profile, report, rows, train
 from pricelens.operators.evaluate import evaluate
-from pricelens.plans import bindings
+from pricelens.plans import bindings, jobs
 from pricelens.plans.cleaning import clean_listings
-from pricelens.plans.modelling import build_model_frame, derive_features, feature_columns
+from pricelens.plans.modelling import build_model_frame, derive_features, feature_columns, stage_counts
 from pricelens.schemas import IMPORTANCE
 from pricelens.session import join_on, scratch_path, small_side, stage_table
 from pricelens.sources.frames import read_model_frame, write_model_frame
 from pricelens.sources.listings import read_listings, write_csv
 from pricelens.sources.reports import read_report, write_report
+from pricelens.storage import Storage, share, storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,31 +60,33 @@ def clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame
     return clean_listings(bindings.raw_listings(spark, sf_dir, wanted))
 
 
+def source_files(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """What tells one set of listings from another: the files they are made from."""
+    names = ("orders", "customer", "lineitem")
+    return tuple(sorted(f for n in names for f in bindings.table(spark, sf_dir, n).inputFiles()))
+
+
 def stored_clean(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
-    """Clean listings written out: the input of profiles and features.
+    """Columns of the clean listings, written out once per source: the input of profiles and features.
 
-    The joins and casts behind them then run once however often the columns are
-    referred to, price filters reach the scan, and a pass that is repeated after
-    a lost executor starts from the stored columns.
+    The joins and casts behind them then run once however many queries follow and
+    however often a column is referred to, price filters reach the scan, and a pass that
+    is repeated after a lost executor starts from the stored columns.
     """
-    return stage_table(clean(spark, sf_dir, columns), "clean")
+    stored = share(
+        spark,
+        ("clean", *source_files(spark, sf_dir)),
+        lambda home: home.stage(clean(spark, sf_dir, bindings.LISTING_COLUMNS), "clean"),
+    )
+    wanted = {"id", "price", *columns}
+    return stored.select(*[c for c in stored.columns if c in wanted])
 
 
 # --- sources and sinks -------------------------------------------------------
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_clean(spark, sf_dir, MODEL_COLUMNS)
-    frames = {
-        "raw": bindings.raw_listings(spark, sf_dir, ["id"]),
-        "clean": stored,
-        "model": derive_features(stored),
-    }
-    counts = [
-        df.agg(F.count("*").alias("n")).select(F.lit(stage).alias("stage"), "n")
-        for stage, df in frames.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return stage_counts(bindings.raw_listings(spark, sf_dir, MODEL_COLUMNS))
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,16 +159,16 @@ def require_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positive_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.positive(clean(spark, sf_dir, ["city"]))
+    return rows.positive(stored_clean(spark, sf_dir, ["city"]))
 
 
 def price_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.cap_range(clean(spark, sf_dir, ["city"]), "price", *VIEW_PRICE_CAP)
+    return rows.cap_range(stored_clean(spark, sf_dir, ["city"]), "price", *VIEW_PRICE_CAP)
 
 
 def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     needed = ["latitude", "minimum_nights", "room_type"]
-    return rows.drop_incomplete(clean(spark, sf_dir, needed), needed)
+    return rows.drop_incomplete(stored_clean(spark, sf_dir, needed), needed)
 
 
 def fill_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,14 +201,14 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = rows.positive(clean(spark, sf_dir, ["city"]))
+    priced = rows.positive(stored_clean(spark, sf_dir, ["city"]))
     return priced.select(
         "id", "city", rounded(log_target(F.col("price")), 6).alias("log_price")
     )
 
 
 def dist_to_center(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = clean(spark, sf_dir, ["city", "latitude", "longitude"])
+    place = stored_clean(spark, sf_dir, ["city", "latitude", "longitude"])
     distance = distance_to_center(
         F.col("latitude"), F.col("longitude"), F.col("city"), constants.CITY_CENTERS
     )
@@ -229,7 +231,7 @@ def describe_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def describe_text_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["room_type", "neighbourhood_group", "host_name"]
-    return profile.describe_text_by(clean(spark, sf_dir, ["city", *names]), names, CITY)
+    return profile.describe_text_by(stored_clean(spark, sf_dir, ["city", *names]), names, CITY)
 
 
 def quartiles_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,13 +276,13 @@ def geo_price_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = clean(spark, sf_dir, ["city", "latitude", "longitude"])
+    place = stored_clean(spark, sf_dir, ["city", "latitude", "longitude"])
     capped = rows.cap_range(place, "price", *VIEW_PRICE_CAP)
     return rows.points(capped, ["latitude", "longitude", "price"], CITY)
 
 
 def nights_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = rows.positive(clean(spark, sf_dir, ["city", "minimum_nights"]))
+    priced = rows.positive(stored_clean(spark, sf_dir, ["city", "minimum_nights"]))
     logged = priced.withColumn("log_price", log_target(F.col("price")))
     return round_columns(rows.points(logged, ["minimum_nights", "log_price"], CITY), 6, "log_price")
 
@@ -297,6 +299,12 @@ def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.scatter_sample(place, "id", per_mille=50, seed=constants.SPLIT_SEED)
 
 
+def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 200 points per city."""
+    place = bindings.listings(spark, sf_dir, ["id", "city", "latitude", "longitude", "price"])
+    return rows.sample_points(place, "id", 200, CITY, constants.SPLIT_SEED)
+
+
 def price_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(constants.CORRELATION_COLUMNS)
     matrix = profile.correlation(stored_clean(spark, sf_dir, ["city", *names]), names, CITY)
@@ -307,14 +315,13 @@ def price_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two single-city frames with one private column each."""
+    """One frame per city, every other one with a private column of its own kind."""
     names = ["id", "city", "price", "room_type", "neighbourhood_group", "host_id"]
     listings = stage_table(bindings.listings(spark, sf_dir, names), "listings", CITY)
+    cities = [r.city for r in listings.select("city").distinct().orderBy("city").collect()]
+    private = ("host_id", "neighbourhood_group")
     return column_ops.union_sources(
-        {
-            "LA": rows.only(listings, city="LA").drop("city", "host_id"),
-            "NY": rows.only(listings, city="NY").drop("city", "neighbourhood_group"),
-        }
+        {c: rows.only(listings, city=c).drop("city", private[i % 2]) for i, c in enumerate(cities)}
     )
 
 
@@ -331,7 +338,7 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = list(constants.CATEGORICAL_FEATURES)
-    return encode.category_index(clean(spark, sf_dir, names), names)
+    return encode.category_index(stored_clean(spark, sf_dir, names), names)
 
 
 def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,6 +373,13 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_frame_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vectors as one row per entry that is not zero."""
+    derived = stored_features(spark, sf_dir)
+    long = encode.long_features(derived, ["id", "city"], *feature_columns(derived))
+    return round_columns(long, 6, "value")
+
+
 def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = stored_features(spark, sf_dir)
     return encode.feature_index_map(spark, encode.fit_encoder(derived, *feature_columns(derived)))
@@ -375,12 +389,16 @@ def feature_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A stored model frame, a folder per city and part, and its feature index map."""
-    frame, encoder = build_model_frame(stored_clean(spark, sf_dir, MODEL_COLUMNS))
-    folders = [*CITY, "part"]
-    laid_out = train.stable_layout(train.mark_parts(frame), "id", folders)
-    stored = stage_table(laid_out, "model_frame", folders)
-    return stored, encode.feature_index_map(spark, encoder)
+    """The model frame, stored once per source in a folder per city and part, and its feature index map."""
+
+    def make(home: Storage) -> tuple[DataFrame, DataFrame]:
+        listings = stored_clean(spark, sf_dir, MODEL_COLUMNS)
+        frame, encoder = build_model_frame(listings)
+        path, folders = home.path("model_frame"), [*CITY, "part"]
+        stored = train.store_layout(train.mark_parts(frame), path, folders, listings.count())
+        return stored, encode.feature_index_map(spark, encoder)
+
+    return share(spark, ("model_frame", *source_files(spark, sf_dir)), make)
 
 
 def fit_report(spark: SparkSession, sf_dir: str, models: dict[str, Estimator]) -> DataFrame:
@@ -433,18 +451,19 @@ def simple_fits(
     else:
         names = dict(enumerate(numeric))
         frame = encode.assemble(numeric).transform(derived)
-    folders = [*CITY, "part"]
     parts = train.mark_parts(frame.select("id", "city", "log_price", "features"))
-    stored = stage_table(train.stable_layout(parts, "id", folders), "simple_frame", folders)
+    path = scratch_path(spark, "simple_frame")
+    stored = train.store_layout(parts, path, [*CITY, "part"], derived.count())
     cities = [r.city for r in stored.select("city").distinct().orderBy("city").collect()]
     return train.train_by_group(stored, cities, {"model": estimator}, train.stored_split), names
 
 
 def fit_elastic_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elastic net on one feature, whose solution is a closed form."""
-    results, _ = simple_fits(
-        spark, sf_dir, train.linear_regression(), ["number_of_reviews"], []
-    )
+    with storage(spark):
+        results, _ = simple_fits(
+            spark, sf_dir, train.linear_regression(), ["number_of_reviews"], []
+        )
     fitted = [
         (r.city, float(r.model.coefficients[0]), float(r.model.intercept), r.rmse, r.mae, r.r2)
         for r in results
@@ -456,7 +475,8 @@ def fit_elastic_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tree_fits(spark: SparkSession, sf_dir: str, estimator: Estimator) -> DataFrame:
     """Test metrics of a tree model on the room types, and the features it split on."""
-    results, names = simple_fits(spark, sf_dir, estimator, [], ["room_type"])
+    with storage(spark):
+        results, names = simple_fits(spark, sf_dir, estimator, [], ["room_type"])
     fitted = [
         (r.city, names[i], score, r.rmse, r.mae, r.r2)
         for r in results
@@ -481,6 +501,42 @@ def fit_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_fits(spark, sf_dir, train.gradient_boosting(**rounds))
 
 
+def grouped_label(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test examples of the grouped fit."""
+    derived = stored_features(spark, sf_dir)
+    return train.hash_split(derived.select("id", "city", "room_type", "number_of_reviews", "log_price"))
+
+
+def fit_linear_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An elastic net per city and room type, all fitted in one job, with its test metrics."""
+    by, features = ["city", "room_type"], ["number_of_reviews"]
+    in_train, in_test = grouped_label(spark, sf_dir)
+    models = stage_table(linear.fit_linear_by(in_train, features, by), "grouped_models")
+    scores = evaluate(linear.predict_by(in_test, models, features, by), by)
+    named = models.select(*by, F.get("coefficients", F.lit(0)).alias("coefficient"), "intercept", "n_train")
+    joined = join_on(named, scores.drop("n_unscored"), by)
+    return round_columns(joined, 5, "coefficient", "intercept", "rmse", "mae", "r2")
+
+
+def training_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and importances as files, named from files alone, as a later session would."""
+    with storage(spark) as own:
+        derived = stored_features(spark, sf_dir)
+        encoder = encode.fit_encoder(derived, [], ["room_type"])
+        frame = encoder.transform(derived).select("id", "city", "log_price", "features")
+        folder = own.path("training")
+        single = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+        jobs.store_frame(spark, frame, encoder, f"{folder}/frame", derived.count())
+        jobs.train_models(
+            spark, f"{folder}/frame", None, f"{folder}/metrics", f"{folder}/importance",
+            {"RandomForest": train.random_forest(**single)},
+        )
+        run = jobs.read_run(spark, f"{folder}/metrics", f"{folder}/importance", f"{folder}/frame")
+        scored = run["importance"].filter("importance > 0").select("city", "model", "feature", "importance")
+        joined = scored.join(run["metrics"].select("city", "model", "rmse", "mae", "r2", "n_test", "status"), ["city", "model"])
+        return own.result(round_columns(joined, 5, "importance", "rmse", "mae", "r2"), "training_reports")
+
+
 def mean_predictions(spark: SparkSession, sf_dir: str, predictors: dict[str, list[str]]) -> DataFrame:
     """Test rows scored by train means: ``city, model, log_price, prediction``.
 
@@ -607,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "nights_points": nights_points,
     "nights_vs_log_price": nights_vs_log_price,
     "scatter_sample": scatter_sample,
+    "scatter_points": scatter_points,
     "price_correlation": price_correlation,
     "union_cities": union_cities,
     "split_by_key": split_by_key,
@@ -614,6 +671,7 @@ QUERIES: dict[str, Query] = {
     "category_index": category_index,
     "one_hot_long": one_hot_long,
     "model_frame": model_frame,
+    "model_frame_long": model_frame_long,
     "feature_index_map": feature_index_map,
     "fit_linear": fit_linear,
     "fit_forest": fit_forest,
@@ -621,6 +679,8 @@ QUERIES: dict[str, Query] = {
     "fit_elastic_one": fit_elastic_one,
     "fit_one_split": fit_one_split,
     "fit_two_rounds": fit_two_rounds,
+    "fit_linear_groups": fit_linear_groups,
+    "training_reports": training_reports,
     "evaluate_regression": evaluate_regression,
     "best_model": best_model,
     "named_importance": named_importance,

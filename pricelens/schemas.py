@@ -19,6 +19,9 @@ MODEL_FRAME = StructType(
     ]
 )
 
+# A stored model frame: a folder per city and part.
+STORED_FRAME = StructType([*MODEL_FRAME.fields, StructField("part", StringType())])
+
 METRICS = StructType(
     [
         StructField("city", StringType()),

@@ -74,3 +74,29 @@ def test_feature_index_map_survives_saving(spark, frame, tmp_path):
         (7, "area_ohe_2", "area", "c"),
     ]
     assert loaded.transform(frame).first().features == model.transform(frame).first().features
+
+
+def test_category_index_is_ranked_in_many_tasks(spark):
+    """No window over a column's levels: each range of them is numbered by itself."""
+    wide = spark.range(0, 60_000, 1, 6).select((F.col("id") % 40_000).cast("string").alias("c"), F.lit("one").alias("d"))
+    found = encode.category_index(wide, ["c", "d"]).toPandas()
+    c = found[found.column == "c"].sort_values("idx")
+    want = sorted(range(40_000), key=lambda i: (-(2 if i < 20_000 else 1), str(i)))
+    assert c.level.tolist() == [str(i) for i in want] and c.idx.tolist() == list(range(40_000))
+    assert found[found.column == "d"][["n", "idx"]].values.tolist() == [[60_000, 0]]
+
+
+def test_long_features_are_the_vectors_entries(spark, frame):
+    keyed = frame.withColumn("id", F.monotonically_increasing_id())
+    encoder = encode.fit_encoder(keyed, ["x"], ["room", "area"])
+    vectors = encoder.transform(keyed).select("id", "features").collect()
+    want = {(r.id, int(i), float(v)) for r in vectors for i, v in enumerate(r.features.toArray()) if v}
+    assert {tuple(r) for r in encode.long_features(keyed, ["id"], ["x"], ["room", "area"]).collect()} == want
+
+
+def test_long_features_of_many_levels(spark):
+    wide = spark.range(12_000).select("id", (F.col("id") % 3).cast("double").alias("x"), F.concat(F.lit("v"), "id").alias("c"))
+    long = encode.long_features(wide, ["id"], ["x"], ["c"])
+    assert long.filter("position = 0").count() == 8_000
+    found = long.filter("position > 0").agg(F.countDistinct("position"), F.min("position"), F.max("position")).first()
+    assert tuple(found) == (12_000, 1, 12_000)

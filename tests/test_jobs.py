@@ -1,7 +1,8 @@
 """Files to reports, the way a user runs it."""
 
+from pricelens import storage
 from pricelens.operators import train
-from pricelens.plans import bindings, jobs
+from pricelens.plans import bindings, jobs, queries
 from pricelens.schemas import IMPORTANCE, METRICS
 from pricelens.sources.listings import write_csv
 from pricelens.sources.reports import read_report
@@ -42,6 +43,36 @@ def test_from_dirty_files_to_reports(spark, sf_dir, tmp_path):
     assert len(metrics) == 4 and all(m.status == "ok" for m in metrics)
     importance = read_report(spark, paths[1], IMPORTANCE)
     assert importance.count() == 2 * 19
-    reports = jobs.report_files(spark, paths[1], index_map, str(tmp_path / "reports"))
+    reports = jobs.report_files(spark, paths[1], frame, str(tmp_path / "reports"), chart=("LA", "RandomForest"))
     assert reports["named"].filter("feature is null").isEmpty() and reports["top"].count() == 2 * 5
-    assert {p.name for p in (tmp_path / "reports").iterdir()} == {"named", "ranked", "top", "compared"}
+    assert {p.name for p in (tmp_path / "reports").iterdir()} == {"named", "ranked", "top", "compared", "chart"}
+    assert [r.rank for r in reports["chart"].orderBy("rank").collect()] == list(range(1, 20))
+    run = jobs.read_run(spark, *paths, frame)
+    assert sorted(map(str, jobs.read_index_map(spark, frame).collect())) == sorted(map(str, index_map.collect()))
+    assert run["importance"].filter("feature is null").isEmpty() and run["metrics"].count() == 4
+
+
+def test_jobs_leave_no_stored_tables(spark, sf_dir, tmp_path, monkeypatch):
+    """Three fits share one frame; nothing that a job has stored is left."""
+    scratch = tmp_path / "scratch"
+    scratch.mkdir()
+    monkeypatch.setattr(storage, "scratch_dir", lambda session: str(scratch))
+
+    def stored(kind):
+        return [p for p in scratch.iterdir() if p.name.startswith(kind)]
+
+    models = ({"LinearRegression": train.linear_regression()}, {"RandomForest": train.random_forest(numTrees=3, maxDepth=2)},
+              {"GBT": train.gradient_boosting(maxIter=2, maxDepth=2)})
+    with storage.storage(spark):
+        for one in models:
+            assert {r.status for r in queries.fit_report(spark, sf_dir, one).collect()} == {"ok"}
+        assert len(stored("model_frame")) == 1 and len(stored("clean")) == 1
+        for name in ("quartiles_by_city", "price_tail", "category_index", "price_correlation", "training_reports"):
+            assert queries.QUERIES[name](spark, sf_dir).count()
+        left = {p.name.rsplit("-", 1)[0] for p in scratch.iterdir()}
+        assert left == {"model_frame", "clean", "percentiles", "levels", "training_reports", "side"}
+    assert not any(scratch.iterdir())
+    clean = str(tmp_path / "clean")
+    queries.clean(spark, sf_dir, bindings.LISTING_COLUMNS).filter("city = 'LA'").drop("city").write.parquet(clean)
+    assert jobs.profile_files(spark, {"LA": clean}, str(tmp_path / "profile"))["describe"].count() == 9
+    assert not any(scratch.iterdir())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricelens.operators import train
 from pricelens.operators.evaluate import evaluate
 from pricelens.operators.rows import random_split
-from pricelens.session import stage_table
+from pricelens.session import scratch_path
 
 CITIES = ["LA", "NY"]
 
@@ -27,7 +27,7 @@ def frame(spark):
         "id", (label + 0.1 * F.col("noise")).alias("log_price"),
         array_to_vector("x").alias("features"), "city",
     )
-    return stage_table(train.stable_layout(df, "id", ["city"]), "planted", ["city"])
+    return train.store_layout(df, scratch_path(spark, "planted"), ["city"], 3000)
 
 
 @pytest.fixture(scope="module")
@@ -58,13 +58,23 @@ def test_importances_are_shares_and_find_the_signal(spark, results):
         assert max(scores, key=scores.get) == 0 and min(scores, key=scores.get) == 3
 
 
-def test_training_is_repeatable_from_any_row_order(spark, frame, results):
-    shuffled = train.stable_layout(frame.repartition(5).orderBy(F.rand(3)), "id", ["city"])
-    again = train.train_by_group(
-        stage_table(shuffled, "again", ["city"]), ["LA"], {"RandomForest": train.random_forest(numTrees=20, maxDepth=6)}
-    )[0]
+@pytest.mark.parametrize("partitions", [4, 8, 13])
+def test_a_model_does_not_depend_on_the_session(spark, frame, results, tmp_path, partitions):
+    """Another row order, shuffle width and reader settings give the same files, partitions and model."""
+    names = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.files.maxPartitionBytes": f"{partitions}k"}
+    before = {n: spark.conf.get(n) for n in names}
+    shuffled = spark.createDataFrame(frame.toPandas(), frame.schema).repartition(5).orderBy(F.rand(3))
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        again = train.store_layout(shuffled, str(tmp_path / "again"), ["city"], 3000)
+        assert again.filter("city = 'LA'").rdd.getNumPartitions() == train.layout_files(3000)
+        fits = train.train_by_group(again, ["LA"], {"RandomForest": train.random_forest(numTrees=20, maxDepth=6)})[0]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
     first = next(r for r in results if (r.city, r.name) == ("LA", "RandomForest"))
-    assert again.importances == pytest.approx(first.importances) and again.rmse == pytest.approx(first.rmse)
+    assert fits.importances == pytest.approx(first.importances, rel=1e-12) and fits.rmse == pytest.approx(first.rmse, rel=1e-12)
 
 
 def test_a_failed_fit_is_reported_and_the_others_kept(spark, frame):
