@@ -33,9 +33,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,111 +49,221 @@ from pricelens.llm.mph import SHARD_KEYS, Arrays, Index, build_shards, places, s
 from pricelens.llm.packing import byte_letters, tokenizer_file
 from pricelens.session import scratch_path, stage_table
 
-SLICE_ROWS = 2_000_000
+SLICE_ROWS = 500_000
 FAN = 16
-MAX_WORDS = 400_000
+MAX_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
+TOGETHER = 50_000
 PAIR_BASE = 1 << 32
+# Fixed value: the pattern by which byte-level tokenizer A cuts a text before its merges.
+PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE = "▁"
 
 
-class Aligned:
-    """Tokens of one word (or text): ids of both sides in groups, and the links' pairs."""
+class Units:
+    """Aligned pieces of text of a task, numbered: words with what stands before them, or whole texts.
 
-    __slots__ = ("n_a", "n_b", "n_groups", "spelled", "pairs", "looked")
-
-    def __init__(self, n_a: int, n_b: int, n_groups: int, spelled: bytes, pairs: np.ndarray):
-        self.n_a, self.n_b, self.n_groups, self.spelled, self.pairs = n_a, n_b, n_groups, spelled, pairs
-        self.looked: tuple[int, int] | None = None
-
-
-class Aligner:
-    """Both tokenizers of a task, and the words it has met."""
+    A unit starts with the space or line break before it. New units are tokenised and
+    aligned together, as one long run of bytes in which every unit's end is an end of
+    both sides. Simple words of A go through a faster library with the ranks of A's own
+    vocabulary, which a test compares; all else goes to A's tokenizer itself.
+    """
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a or tokenizer_file("byte_bpe_50k.json"))
         self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or tokenizer_file("piece_bpe_32k.model"))
         byte_of = {letter: byte for byte, letter in byte_letters().items()}
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or tokenizer_file("piece_bpe_32k.model"))
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for entry, number in vocabulary.items():
             self.bytes_a[number] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
+        ranks = {x: i for i, x in enumerate(self.bytes_a) if x and i not in self.a.get_added_tokens_decoder()}
+        self.bpe = tiktoken.Encoding("side_a", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
         self.bytes_b = [self._bytes_b(i) for i in range(self.b.vocab_size())]
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.words: dict[str, Aligned | None] = {}
+        self.sizes = [np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b)]
+        # An id as text with the sign behind it: inside its part of a group, and at the part's end.
+        self.signed = [
+            [np.array([f"{i}{sign}" for i in range(len(side))], object) for sign in ("," + end)]
+            for side, end in ((self.bytes_a, "|"), (self.bytes_b, ";"))
+        ]
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.unlike: set[int] = set()
+        self.spelled: list[bytes | None] = []
+        self.tokens = np.zeros((0, 3), np.int64)  # of A, of B, groups
+        self.starts = np.zeros(1, np.int64)
+        self.pairs = np.zeros(0, np.int64)
+        self.looked = np.zeros((0, 2), np.int64)  # sum of counts, highest ones
 
     def _bytes_b(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace(SPACE, " ").encode()
 
-    def ids_a(self, text: str) -> list[int]:
-        return self.a.encode(text, add_special_tokens=False).ids
-
-    def whole(self, text: str) -> Aligned | None:
-        """Alignment of a text that follows a space; None if a side does not render it."""
-        return self.align(self.ids_a(" " + text), self.b.encode(text, num_threads=1), (" " + text).encode())
-
-    def word(self, unit: str) -> Aligned | None:
-        """Alignment of a word with the space before it, or of a line break with the word behind it."""
-        if unit[0] == " ":
-            return self.align(self.ids_a(unit), self.b.encode(unit[1:], num_threads=1), unit.encode())
-        # B puts a space before every text; behind it the line break is a byte of its own.
-        return self.align(self.ids_a(unit), self.b.encode(unit, num_threads=1)[1:], unit.encode())
-
-    def align(self, a: list[int], b: list[int], text: bytes) -> Aligned | None:
-        if b"".join([self.bytes_a[i] for i in a]) != text or b"".join([self.bytes_b[i] for i in b]) != text:
-            return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.union1d(ends_a, ends_b)
-        of_a, of_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        return Aligned(len(a), len(b), len(shared), self.spell(a, b, ends_a, ends_b, shared), a[of_a] * PAIR_BASE + b[of_b])
+    def ids_a(self, unit: str) -> list[int]:
+        return self.a.encode(unit, add_special_tokens=False).ids
+
+    def ids_b(self, units: list[str]) -> list[list[int]]:
+        """B puts a space before every text; behind it a line break is a byte of its own."""
+        found = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        return [ids if u[0] == " " else ids[1:] for u, ids in zip(units, found, strict=True)]
+
+    def add(self, units: list[str]) -> None:
+        """Number and align units that are not known yet."""
+        if not units:
+            return
+        self.chars += sum(map(len, units))
+        simple, others = [], []
+        for unit in units:
+            (simple if self._is_simple(unit) else others).append(unit)
+        simple.sort(key=lambda unit: unit[0] != " ")
+        for at in range(0, len(simple), TOGETHER):
+            some = simple[at : at + TOGETHER]
+            found = self._together(some)
+            if found is None:
+                others += some
+            else:
+                self._align(some, *found, [True] * len(some))
+        if others:
+            ids = list(zip(map(self.ids_a, others), self.ids_b(others), strict=True))
+            whole = self._rendered(others, ids)
+            kept = [x if ok else ([], []) for x, ok in zip(ids, whole, strict=True)]
+            sides = [np.array([i for x in kept for i in x[side]], np.int64) for side in (0, 1)]
+            n = [np.array([len(x[side]) for x in kept], np.int64) for side in (0, 1)]
+            self._align(others, sides, n, whole)
 
     @staticmethod
-    def spell(a, b, ends_a, ends_b, shared) -> bytes:
-        """``a1,a2|b1;a3|b2``: ids by group, each followed by the sign that ends its part."""
-        signs_a = np.where(np.isin(ends_a, shared), "|", ",").tolist()
-        signs_b = np.where(np.isin(ends_b, shared), ";", ",").tolist()
-        parts = [f"{i}{s}" for i, s in zip([*a.tolist(), *b.tolist()], [*signs_a, *signs_b], strict=True)]
-        group = np.concatenate([2 * np.searchsorted(shared, ends_a), 2 * np.searchsorted(shared, ends_b) + 1])
-        return "".join([parts[i] for i in np.argsort(group, kind="stable").tolist()])[:-1].encode()
+    def _is_simple(unit: str) -> bool:
+        """A word of characters whose classes are the same in every library, behind a space or line break."""
+        word = unit[1:]
+        return word.isprintable() and " " not in word and max(word, default="") < "\u2000"
+
+    def _together(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+        """Ids of simple units in one run, and how many each has; those behind a space come first.
+
+        None if a unit's end is not an end of a token, or a side does not render the run.
+        """
+        text = "".join(units)
+        data = text.encode()
+        first = text[0] == " "
+        b = self.b.encode(text[1:] if first else text, num_threads=1)
+        sides = [self.bpe.encode_ordinary(text), b if first else b[1:]]
+        if any(b"".join([spelt[i] for i in ids]) != data for spelt, ids in zip((self.bytes_a, self.bytes_b), sides, strict=True)):
+            return None
+        sides = [np.array(ids, np.int64) for ids in sides]
+        stops = np.cumsum([len(u) for u in units] if len(text) == len(data) else [len(u.encode()) for u in units])
+        n = []
+        for size, ids in zip(self.sizes, sides, strict=True):
+            ends = np.cumsum(size[ids])
+            at = np.searchsorted(ends, stops)
+            if not (ends[at] == stops).all():
+                return None
+            n.append(np.diff(at, prepend=-1))
+        return sides, n
+
+    def _align(self, units: list[str], sides: list[np.ndarray], n: list[np.ndarray], whole: list[bool]) -> None:
+        """Number units whose tokens follow each other, and align them."""
+        self.number.update({u: i for i, u in enumerate(units, len(self.spelled))})
+        self.unlike.update(self.number[u] for u, ok in zip(units, whole, strict=True) if not ok)
+        ends = [np.cumsum(size[side]) for size, side in zip(self.sizes, sides, strict=True)]
+        all_ends = np.union1d(*ends)
+        shared = np.intersect1d(*ends, assume_unique=True)
+        of_a, of_b = (np.searchsorted(e, all_ends) for e in ends)
+        owner = np.repeat(np.arange(len(units)), n[0])
+        n_links = np.bincount(owner[of_a], minlength=len(units))
+        n_groups = np.bincount(owner[np.searchsorted(ends[0], shared)], minlength=len(units))
+        self.tokens = np.concatenate([self.tokens, np.column_stack([*n, n_groups])])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n_links)])
+        self.pairs = np.concatenate([self.pairs, sides[0][of_a] * PAIR_BASE + sides[1][of_b]])
+        self._spell(sides, ends, shared, n[0] + n[1], whole)
+
+    def _rendered(self, units: list[str], ids: list[tuple[list[int], list[int]]]) -> list[bool]:
+        """Whether both sides' bytes are the unit's; all units are compared in one go if they can be."""
+
+        def same(text: str, a: Iterable[int], b: Iterable[int]) -> bool:
+            data = text.encode()
+            return b"".join([self.bytes_a[i] for i in a]) == data and b"".join([self.bytes_b[i] for i in b]) == data
+
+        def lengths(side: int) -> np.ndarray:
+            flat = self.sizes[side][np.array([i for x in ids for i in x[side]], np.int64)]
+            ends = np.concatenate([[0], np.cumsum(flat)])[np.cumsum([0, *[len(x[side]) for x in ids]])]
+            return np.diff(ends)
+
+        together = same("".join(units), (i for x in ids for i in x[0]), (i for x in ids for i in x[1]))
+        if together and (lengths(0) == lengths(1)).all():
+            return [True] * len(units)
+        return [same(u, *x) for u, x in zip(units, ids, strict=True)]
+
+    def _spell(self, sides, ends, shared, sizes, whole) -> None:
+        """``a1,a2|b1;a3|b2`` of each unit; None for one that a side does not render."""
+        parts = np.concatenate([
+            np.where(np.isin(e, shared, assume_unique=True), last[ids], inner[ids])
+            for (inner, last), ids, e in zip(self.signed, sides, ends, strict=True)
+        ])
+        group = np.concatenate([2 * np.searchsorted(shared, e) + side for side, e in enumerate(ends)])
+        ordered = parts[np.argsort(group, kind="stable")].tolist()
+        at = 0
+        for size, ok in zip(sizes.tolist(), whole, strict=True):
+            self.spelled.append("".join(ordered[at : at + size])[:-1].encode() if ok else None)
+            at += size
 
     @staticmethod
-    def units(text: str) -> list[str] | None:
+    def cut(text: str) -> list[str] | None:
         """Words with the space or line break before them; None if the text has to be taken whole."""
         lines = text.split("\n")
         if "  " in text or SPACE in text or not all(x.isprintable() and x[:1] not in ("", " ") and x[-1] != " " for x in lines):
             return None
         found = []
         for i, line in enumerate(lines):
-            words = line.split(" ")
-            found.append(("\n" if i else " ") + words[0])
-            found += [" " + w for w in words[1:]]
+            first, *rest = line.split(" ")
+            found.append(("\n" if i else " ") + first)
+            found += [" " + w for w in rest]
         return found
 
-    def document(self, text: str | None) -> list[Aligned]:
-        """Alignments that make up a text; empty if it has no tokens."""
-        if not text:
-            return []
-        units = self.units(text)
-        if units is not None:
-            if len(self.words) > MAX_WORDS:
-                self.words.clear()
-            found = []
-            for unit in units:
-                if unit not in self.words:
-                    self.words[unit] = self.word(unit)
-                found.append(self.words[unit])
-            if all(x is not None for x in found):
-                return found
-        found = self.whole(text)
-        return [] if found is None else [found]
+    def documents(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Unit numbers of all texts in a row, and where each text's begin; none for a text without tokens."""
+        if self.chars > MAX_CHARS:
+            self.clear()
+        cut = [(self.cut(t) or [" " + t]) if t else [] for t in texts]
+        self._meet(chain.from_iterable(cut))
+        known = [list(map(self.number.__getitem__, units)) for units in cut]
+        if self.unlike:
+            for i, numbers in enumerate(known):
+                if len(numbers) > 1 and not self.unlike.isdisjoint(numbers):
+                    self._meet([" " + texts[i]])
+                    known[i] = [self.number[" " + texts[i]]]
+            known = [x if self.unlike.isdisjoint(x) else [] for x in known]
+        return np.array(list(chain.from_iterable(known)), np.int64), np.cumsum([0, *map(len, known)])
+
+    def _meet(self, units: Iterable[str]) -> None:
+        self.add([u for u in dict.fromkeys(units) if u not in self.number])
+
+    def sums(self, values: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Sum of a value of the units over each text."""
+        total = np.concatenate([[0], np.cumsum(values[numbers])])
+        return total[starts[1:]] - total[starts[:-1]]
+
+
+def text_groups(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a group holds about ``GROUP_CHARS`` bytes of text, a longer text alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for i, size in enumerate(sizes.tolist()):
+            if i > start and held + size > GROUP_CHARS:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if batch.num_rows > start:
+            yield batch.slice(start)
 
 
 # --- counts ------------------------------------------------------------------
@@ -164,23 +277,19 @@ def pair_counts(docs: DataFrame, path_a: str | None, path_b: str | None, text_co
     """``h1, h2, n``: links of a pair (``h2``) in a batch of documents; ``h1`` spreads pairs."""
 
     def count(batches):
-        aligner = Aligner(path_a, path_b)
-        for batch in batches:
-            times: dict[int, list] = {}
-            for text in batch.column(0):
-                for x in aligner.document(text.as_py()):
-                    entry = times.get(id(x))
-                    if entry is None:
-                        times[id(x)] = [x, 1]
-                    else:
-                        entry[1] += 1
-            if not times:
+        units = Units(path_a, path_b)
+        for batch in text_groups(batches, text_col):
+            numbers, _ = units.documents(batch.column(text_col).to_pylist())
+            times = np.bincount(numbers, minlength=len(units.spelled))
+            links = np.diff(units.starts)
+            weights = np.repeat(times, links)
+            pairs, weights = units.pairs[weights > 0], weights[weights > 0]
+            if len(pairs) == 0:
                 continue
-            pairs = np.concatenate([x.pairs for x, _ in times.values()])
-            weights = np.repeat([n for _, n in times.values()], [len(x.pairs) for x, _ in times.values()])
-            distinct, at = np.unique(pairs, return_inverse=True)
-            sums = np.zeros(len(distinct), np.int64)
-            np.add.at(sums, at, weights)
+            order = np.argsort(pairs, kind="stable")
+            pairs, weights = pairs[order], weights[order]
+            first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+            distinct, sums = pairs[first], np.add.reduceat(weights, first)
             yield pa.RecordBatch.from_arrays([pa.array(pair_hash(distinct)), pa.array(distinct), pa.array(sums)], ["h1", "h2", "n"])
 
     return docs.select(text_col).mapInArrow(count, "h1 long, h2 long, n long")
@@ -286,15 +395,20 @@ class PairCounts:
             found[rows[known]] = self.loaded[number][at[known]]
         return found
 
-    def sums(self, x: Aligned) -> tuple[int, int]:
-        """Sum of the counts of an alignment's links, and how many are the highest of their B id."""
-        if x.looked is None:
-            if -1 not in self.loaded:
-                self.loaded[-1] = map_arrays(self.index.folder, self.best)["best"]
-            counts = self.look_up(x.pairs)
-            best = self.loaded[-1][x.pairs % PAIR_BASE]
-            x.looked = int(counts.sum()), int((counts == best).sum())
-        return x.looked
+    def look_up_units(self, units: Units) -> None:
+        """Counts of the links of units that have none yet."""
+        done = len(units.looked)
+        if done == len(units.spelled):
+            return
+        if -1 not in self.loaded:
+            self.loaded[-1] = map_arrays(self.index.folder, self.best)["best"] if self.best else np.zeros(1, np.int64)
+        pairs = units.pairs[units.starts[done] :]
+        distinct, at = np.unique(pairs, return_inverse=True)
+        counts = self.look_up(distinct)
+        best = counts == self.loaded[-1][distinct % PAIR_BASE] if len(distinct) else counts > 0
+        starts = units.starts[done:] - units.starts[done]
+        totals = [np.concatenate([[0], np.cumsum(x[at])]) for x in (counts, best.astype(np.int64))]
+        units.looked = np.concatenate([units.looked, np.column_stack([t[starts[1:]] - t[starts[:-1]] for t in totals])])
 
 
 def count_pairs(
@@ -315,25 +429,24 @@ def count_pairs(
 def aligned(docs: DataFrame, counts: PairCounts, path_a: str | None = None, path_b: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Second pass: per document, tokens, groups, links, their counts, and the groups spelled out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def align(batches):
-        aligner = Aligner(path_a, path_b)
-        for batch in batches:
-            table, digests = [], []
-            for text in batch.column("text"):
-                found = aligner.document(text.as_py())
-                looked = [counts.sums(x) for x in found]
-                table.append((
-                    sum(x.n_a for x in found), sum(x.n_b for x in found), sum(x.n_groups for x in found),
-                    sum(len(x.pairs) for x in found), sum(n for _, n in looked), sum(n for n, _ in looked),
-                ))
-                digests.append(hashlib.sha256(b";".join([x.spelled for x in found])).hexdigest() if found else "")
-            columns = [pa.array([r[i] for r in table], pa.int64()) for i in range(len(numbers))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns, pa.array(digests, pa.string())], ["id", *numbers, "groups_sha256"])
+        units = Units(path_a, path_b)
+        for batch in text_groups(batches, "text"):
+            numbers, starts = units.documents(batch.column("text").to_pylist())
+            counts.look_up_units(units)
+            links = np.diff(units.starts)
+            values = [*units.tokens.T, links, units.looked[:, 1], units.looked[:, 0]]
+            columns = [pa.array(units.sums(v, numbers, starts)) for v in values]
+            digests = []
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                spelled = b";".join([units.spelled[i] for i in numbers[a:b].tolist()])
+                digests.append(hashlib.sha256(spelled).hexdigest() if b > a else "")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns, pa.array(digests, pa.string())], ["id", *names, "groups_sha256"])
 
     out = T.StructType([rows.schema["id"]])
-    for name in numbers:
+    for name in names:
         out = out.add(name, "long")
     return rows.mapInArrow(align, out.add("groups_sha256", "string")).withColumnRenamed("id", id_col)
 
