@@ -1,19 +1,23 @@
 """Licence scan: phrases, and an exact set-similarity join with notice templates.
 
-A block is a line of a text. Its word set is reduced to the words that occur in
-any template, in the global order from the rarest to the most frequent over all
-blocks. A block meets a template if it holds at least ``ceil(threshold * |T|)``
-of the template's words (containment). Candidates come from an equi-join of block
-prefix and template prefix words: two sets that share ``a`` words share one
-within the first ``|B| - a + 1`` and ``|T| - a + 1`` of them. Length and position
-filters cut candidates before the exact overlap is counted. All filters are exact,
-so no block that meets the threshold is lost.
-
-A notice that is wrapped over several lines is found in runs of words of the whole
-text: of a template's words (with repeats) divided by the threshold, so that the
-notice with as many words between may stand in one. Texts that hold enough of the
-template's words anywhere are candidates; a run starts at each such word, and its
-exact containment decides.
+Texts are cut into words once. A text can hold a notice only if it holds enough of one
+template's words; the few that do are stored with what was found so far, and the join
+reads those alone.
+
+A block is a line of at most ``BLOCK_WORDS`` words. Its word set is reduced to the words
+that occur in any template, in the global order from the rarest to the most frequent
+over the blocks. A block meets a template if it holds at least
+``ceil(threshold * |T|)`` of the template's words (containment). Candidates come from
+an equi-join of block prefix and template prefix words: two sets that share ``a`` words
+share one within the first ``|B| - a + 1`` and ``|T| - a + 1`` of them. Length and
+position filters cut candidates before the exact overlap is counted. All filters are
+exact, so no block that meets the threshold is lost.
+
+A notice that is wrapped over several lines, or stands in a longer line, is found in
+runs of words of the whole text: as many as the template has (with repeats) divided by
+the threshold, so that the notice with some words between may stand in one. A run starts
+at each of the template's words, and its exact containment decides. Words that are
+scattered more widely are no notice.
 
 Defined cases: a NULL or empty text has no words, blocks or labels. Repeated rows
 (same id and text) are reported once each. A document with equal labels from both
@@ -24,11 +28,13 @@ column are read, so extra columns cannot clash.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.text import alnum_words, literal_rows, text_key
+from pricelens.session import stage_table
 
 # Phrases and their labels.
 PHRASES = (
@@ -49,6 +55,8 @@ TEMPLATES = (
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
 )
 THRESHOLD = 0.9
+#: Words of the longest line that counts as a block; longer ones are searched by runs alone.
+BLOCK_WORDS = 60
 KEY = ["_id", "_k1", "_k2"]
 
 
@@ -91,6 +99,7 @@ def matching_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
     vocabulary = sorted({w for _, words in sets for w in words})
     least = min(needed(len(words), threshold) for _, words in sets)
     lines = blocks(docs, id_col, text_col)
+    lines = lines.filter(F.size("_bw") <= BLOCK_WORDS)
     used = F.array_intersect(F.array(*map(F.lit, vocabulary)), F.col("_bw"))
     counted = lines.select(used.alias("_b")).filter(F.size("_b") >= least).select(F.explode("_b").alias("w")).groupBy("w").count().collect()  # a row per template word at most
     often = {r.w: r["count"] for r in counted}
@@ -123,21 +132,35 @@ def wrapped_notices(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
 
     Columns: ``_id``, the text key, ``label``, ``containment`` of the best run.
     """
-    rows = []
-    for (text, _), (label, words) in zip(templates, template_sets(templates), strict=True):
-        rows.append((label, words, len(words), needed(len(words), threshold), math.ceil(template_length(text) / threshold - 1e-9)))
-    index = literal_rows(docs.sparkSession, rows, ["label", "t_words", "t_size", "t_least", "t_run"])
-    vocabulary = sorted({w for row in rows for w in row[1]})
     k1, k2 = text_key(F.col(text_col))
     texts = docs.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), alnum_words(F.col(text_col)).alias("_w"))
-    texts = texts.withColumn("_b", F.array_intersect(F.array(*map(F.lit, vocabulary)), F.col("_w"))).filter(F.size("_b") >= min(r[3] for r in rows))
-    pairs = texts.join(F.broadcast(index), F.size(F.array_intersect("_b", "t_words")) >= F.col("t_least"))
+    kinds = []
+    for (text, _), (label, words) in zip(templates, template_sets(templates), strict=True):
+        cells = {"label": label, "t_size": len(words), "t_least": needed(len(words), threshold), "t_run": math.ceil(template_length(text) / threshold - 1e-9)}
+        kinds.append(F.struct(F.array(*map(F.lit, words)).alias("t_words"), *[F.lit(v).alias(k) for k, v in cells.items()]))
+    own = vocabulary_words(F.col("_w"), templates)
+    pairs = texts.withColumn("_b", own).select(
+        *KEY, "_w", F.explode(F.filter(F.array(*kinds), lambda t: F.size(F.array_intersect(F.col("_b"), t["t_words"])) >= t["t_least"])).alias("t")
+    )
+    pairs = pairs.select(*KEY, "_w", "t.*")
     starts = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_contains(F.col("t_words"), F.element_at("_w", i)))
     runs = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("_w", i, F.col("t_run")), F.col("t_words"))))
     found = pairs.select(*KEY, "label", "t_size", "t_least", F.array_max(runs).alias("_shared")).filter(F.col("_shared") >= F.col("t_least"))
     return found.select(*KEY, "label", (F.col("_shared") / F.col("t_size")).alias("containment"))
 
 
+def vocabulary_words(words: Column, templates=TEMPLATES) -> Column:
+    """The words of any template that are among ``words``."""
+    vocabulary = sorted({w for _, own in template_sets(templates) for w in own})
+    return F.array_intersect(F.array(*map(F.lit, vocabulary)), words)
+
+
+def may_hold(found: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """Whether these words of the templates suffice for one of them."""
+    tests = [F.size(F.array_intersect(found, F.array(*map(F.lit, own)))) >= needed(len(own), threshold) for _, own in template_sets(templates)]
+    return reduce(lambda a, b: a | b, tests)
+
+
 def phrase_places(words: Column, n: Column, joined: Column, phrase: str) -> Column:
     """Word positions, from 0, at which the phrase's words stand consecutively."""
     parts = phrase.split(" ")
@@ -155,11 +178,18 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshol
     or a run of words, else 0.
     """
     k1, k2 = text_key(F.col(text_col))
-    words = docs.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), alnum_words(F.col(text_col)).alias("_w"))
-    words = words.select(*KEY, "_w", F.size("_w").alias("_n"), F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")).alias("_s"))
-    places = words.select(
-        *KEY, "_n", *[phrase_places(F.col("_w"), F.col("_n"), F.col("_s"), p).alias(f"_p{i}") for i, (p, _) in enumerate(phrases)]
+    words = docs.select(
+        F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), F.col(text_col).alias("_text"), alnum_words(F.col(text_col)).alias("_w")
     )
+    words = words.select(
+        *KEY, "_text", "_w", F.size("_w").alias("_n"), F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")).alias("_s"),
+        vocabulary_words(F.col("_w"), templates).alias("_b"),
+    )
+    places = words.select(
+        *KEY, "_n", F.when(may_hold(F.col("_b"), templates, threshold), F.col("_text")).alias("_text"),
+        *[phrase_places(F.col("_w"), F.col("_n"), F.col("_s"), p).alias(f"_p{i}") for i, (p, _) in enumerate(phrases)],
+    )
+    places = stage_table(places, "license_words")
     every = F.concat(*[f"_p{i}" for i in range(len(phrases))])
     base = places.select(
         *KEY,
@@ -171,8 +201,9 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshol
         F.lit(None).cast("string").alias("label"),
         F.when(F.size(every) > 0, 1.0).otherwise(0.0).alias("score"),
     )
-    lines = matching_blocks(docs, templates, threshold, id_col, text_col).select(*KEY, "label", "containment")
-    found = lines.unionAll(wrapped_notices(docs, templates, threshold, id_col, text_col)).select(
+    candidates = places.filter(F.col("_text").isNotNull()).select("_id", "_text")
+    lines = matching_blocks(candidates, templates, threshold, "_id", "_text").select(*KEY, "label", "containment")
+    found = lines.unionAll(wrapped_notices(candidates, templates, threshold, "_id", "_text")).select(
         *KEY, *[F.lit(None).cast("long").alias(c) for c in ("n_words", "n_base", "first_word", "last_word")], F.lit(None).cast("array<string>").alias("base"), "label", F.col("containment").alias("score")
     )
     merged = base.unionAll(found).groupBy(*KEY).agg(
