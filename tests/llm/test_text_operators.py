@@ -2,6 +2,8 @@
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from pricelens.llm import decontaminate, licenses, quality, toxicity
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
@@ -39,6 +41,28 @@ def test_decontamination_in_blocks_and_empty(spark, make_docs, monkeypatch):
     assert decontaminate.report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontamination_of_a_copied_benchmark(spark, make_docs):
+    """Ten thousand copies of an item: the window table stays small, the items are still listed."""
+    words = " ".join(f"w{i}" for i in range(12))
+    copies = spark.range(10_000).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit(words).alias("text"))
+    docs = make_docs([(1, f"a {words} b"), (2, "clean text"), (None, words)])
+    found = {r["doc_id"]: r for r in decontaminate.contamination(docs, copies).collect()}
+    assert len(found[1]["items"]) == len(found[None]["items"]) == 10_000 and found[2]["items"] == []
+    assert (found[1]["n_hit"], found[None]["n_hit"], found[2]["n_hit"]) == (12, 12, 0)
+    hits = decontaminate.window_hits(docs, copies)
+    assert "item" not in hits.columns and hits.filter("pos > 0").count() == 6
+
+
+def test_cut_spans_with_clashing_columns(spark, make_docs):
+    words = " ".join(f"w{i}" for i in range(10))
+    docs = make_docs([(1, f"a {words} b"), (2, "Clean"), (None, None)])
+    docs = docs.withColumns({c: F.lit("own") for c in ("spans", "_words", "_id", "_k1", "row", "clean")})
+    bench = spark.createDataFrame([("x", words)], "item_id string, text string")
+    rows = {r["doc_id"]: r for r in decontaminate.cut_spans(docs, bench).collect()}
+    assert rows[1]["clean_words"] == ["a", "b"] and rows[2]["clean_words"] == ["clean"] and rows[None]["clean_words"] == []
+    assert all(r["spans"] == r["row"] == r["_id"] == "own" for r in rows.values())
+
+
 def test_license_cases(make_docs):
     docs = make_docs(
         [
@@ -84,6 +108,8 @@ def test_wrapped_license_notices(make_docs):
             (4, "permission is hereby granted\n" + "and so on " * 40 + "\nfree of charge to any person\n" + "x " * 90 + "\nobtaining a copy of this software"),
             (5, "Released\nunder the\n\nMIT License."),
             (6, None),
+            (7, " ".join(x for w in licenses.template_words(licenses.TEMPLATES[1][0]) for x in [w, *["far"] * 60])),
+            (8, "prose " * 200 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software" + " prose" * 200),
         ]
     )
     rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(docs).collect()}
@@ -91,6 +117,8 @@ def test_wrapped_license_notices(make_docs):
     assert rows[1][1] == rows[2][1] == rows[3][1] == 1
     assert rows[4] == ("", 0)  # all words of a notice, but scattered over the lines
     assert rows[5][0] == "mit" and rows[6] == ("", 0)
+    assert rows[7] == ("", 0)  # and over one long line
+    assert rows[8] == ("mit", 1)
 
 
 def test_quality_cases(spark, make_docs):
@@ -148,3 +176,24 @@ def test_toxicity_cases(spark, make_docs):
     assert not by[1000]["toxic"] and by[1000]["n_words"] == 0 and all(0 <= r["severity"] <= 2 for r in found)
     assert toxicity.report(docs, labels.limit(0)).count() == 404
     assert toxicity.report(docs.limit(0), labels).count() == 0
+
+
+def test_rare_toxic_words_with_few_labels(spark, make_docs):
+    """A word of five flagged texts has a weight; thousands of plain words do not drown it."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(30)) for _ in range(120)]
+    docs = make_docs([(i, t + (" rarevile" if i < 10 else "")) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 1, int(i < 5)) for i in range(5)] + [(i, 1, 0) for i in range(10, 100)], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["toxic"] for r in toxicity.report(docs, labels).collect()}
+    assert all(found[i] == (i < 10) for i in range(120))
+
+
+def test_held_out_flags(spark):
+    """Half of the labels are for the fit, the others for the figures."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = toxicity.fit(docs, labels.filter(half))
+    scored = toxicity.score(docs, model).join(labels.filter(~half).withColumnRenamed("toxic", "flag"), "doc_id").toPandas()
+    flagged = scored["flag"] > 0
+    assert flagged.sum() > 5 and scored[flagged]["toxic"].mean() >= 0.65 and scored[~flagged]["toxic"].mean() <= 0.02
