@@ -22,8 +22,8 @@ are stored once and read by each range.
 
 An unseen pair takes MU p(w) / (c(u) + MU), an unseen triple MU p(w | u) / (c(t u) + MU);
 an unknown context tells nothing. A text starts in the context of the end token; its
-first token has no triple. ``score`` sums p(w | u), ``score3`` p(w | t u), or p(w | u)
-where there is no pair before. A context's followers are spread over many
+first token has no triple. ``score`` sums p(w | t u), or p(w | u) where there is no
+pair before; ``score2`` sums p(w | u) alone. A context's followers are spread over many
 shards, so that a word behind a third of all tokens is no one's burden. No level
 passes through the driver: it holds one manifest row per shard, and shards are at
 most ``MAX_SHARDS``.
@@ -57,6 +57,8 @@ SCORED = 2 << 20
 WORDS_PER_SHARD = 500_000
 PAIRS_PER_SHARD = 1_000_000
 MAX_SHARDS = 4096
+#: Words that ids of 32 bits tell apart; more are refused.
+MOST_WORDS = (1 << 32) - 1
 BLOCK_BITS = 12
 FIRST_BITS = 14
 #: Training tokens whose triples are exchanged at a time.
@@ -226,7 +228,7 @@ class Trie:
         one = at[one]
         stored = self.triple_scores(context[one - 1], ids[one - 1], ids[one], pair[one - 1])[place]
         deep[at] = np.where(np.isnan(stored), deep[at], stored)
-        return {"n_tokens": sizes, "n_known": total(counts > 0).astype(np.int64), "base_score": total(base), "score": total(logs), "score3": total(deep)}
+        return {"n_tokens": sizes, "n_known": total(counts > 0).astype(np.int64), "base_score": total(base), "score": total(deep), "score2": total(logs)}
 
 
 def by_file(shards: np.ndarray, files: dict[int, str]):
@@ -316,6 +318,8 @@ def train(texts: DataFrame) -> Trie:
     counts = texts.select("_text").mapInArrow(count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     counts = stage_table(counts, "lm_words")
     kinds, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    if kinds > MOST_WORDS:
+        raise ValueError(f"{kinds} different words: ids of this trie have 32 bits")
     shards = shard_count(kinds, WORDS_PER_SHARD)
     shift = 64 - (shards.bit_length() - 1)
 
@@ -428,7 +432,7 @@ def train_triples(numbered: DataFrame, groups, trie: Trie, shards: int) -> None:
 
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """Scores of a table with ``_id``, ``held_out`` and the binary ``_text``."""
-    names = ["n_tokens", "n_known", "base_score", "score", "score3"]
+    names = ["n_tokens", "n_known", "base_score", "score", "score2"]
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def run(batches):
@@ -438,7 +442,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), *columns], ["_id", "held_out", *names])
 
     return docs.select("_id", "held_out", "_text").mapInArrow(
-        run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, score3 double"
+        run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, score2 double"
     )
 
 
@@ -447,5 +451,5 @@ def report(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("_text"))
     trie = train(rows.filter(~F.col("held_out")))
     return score(rows, trie).select(
-        F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score", "score3"
+        F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score", "score2"
     )
