@@ -5,8 +5,11 @@ all thresholds t_1 < t_2 < ..., which are kept in order by adding up positive
 gaps. Features are words and word beginnings (``PREFIXES`` letters and a star) whose
 presence differs between graded and clean labelled texts, so that inflected forms
 share a weight; a feature is 1 + ln(count). The fit reads a bounded sample of labelled
-texts (``SAMPLE_ROWS``, taken by a hash of the id) and at most ``MAX_FEATURES``
-words; scoring reads whole texts of all documents, row by row, without a shuffle.
+texts (``SAMPLE_ROWS``, taken by a hash of the id). Every term of it that is in
+``LEAST_TEXTS`` texts or more, and whose presence differs by more than chance would
+(``LEAST_G2``: one term in ten thousand), is a feature, however many there are; a word
+in five flagged texts and no clean one is, unless half of all texts are flagged. Scoring
+reads whole texts of all documents, row by row, without a shuffle.
 
 ``labels`` has a flag, not a grade. ``report`` grades flagged texts by the marks
 they hold, a mark being a use of a word that flagged texts hold far more often
@@ -34,11 +37,10 @@ from pricelens.llm.text import alnum_words
 from pricelens.session import stage_table
 
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 500
 PREFIXES = (4, 5)
 LEAST_TEXTS = 5
 #: Least likelihood-ratio statistic of a word's presence against the flag.
-LEAST_G2 = 30.0
+LEAST_G2 = 15.0
 #: Log-odds of presence from which a word counts as a mark.
 MARK_LOG_ODDS = 3.0
 SEVERE_MARKS = 3
@@ -104,11 +106,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str,
     return stage_table(once.drop("_k"), "toxicity_sample")
 
 
-def telling_words(sample: DataFrame, most: int) -> list[tuple[str, float]]:
-    """Words by how much their presence tells about the flag, with log-odds.
-
-    At most ``most`` rows reach the driver.
-    """
+def telling_words(sample: DataFrame) -> list[tuple[str, float]]:
+    """Terms of the bounded sample by how much their presence tells about the flag, with log-odds."""
     flagged, n = sample.agg(F.coalesce(F.sum("_flag"), F.lit(0)), F.count("*")).first()
     if flagged in (0, n):
         return []
@@ -127,7 +126,7 @@ def telling_words(sample: DataFrame, most: int) -> list[tuple[str, float]]:
 
     g2 = 2 * (part(a, a + c, F.lit(flagged)) + part(b, b + d, F.lit(flagged)) + part(c, a + c, F.lit(n - flagged)) + part(d, b + d, F.lit(n - flagged)))
     scored = per_word.select("w", odds.alias("odds"), g2.alias("g2")).filter(F.col("g2") >= LEAST_G2)
-    return [(r.w, r.odds) for r in scored.orderBy(F.desc("g2"), "w").limit(most).collect()]
+    return [(r.w, r.odds) for r in scored.orderBy(F.desc("g2"), "w").collect()]
 
 
 # --- fit ---------------------------------------------------------------------
@@ -163,10 +162,10 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades:
     return free[:n_features], free[n_features] + np.concatenate([[0], np.cumsum(np.exp(free[n_features + 1 :]))])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """Learn words, marks, grades and the ordinal model from the labelled sample."""
     sample = labelled_sample(docs, labels, sample_rows, id_col, label_col)
-    chosen = telling_words(sample, max_features)
+    chosen = telling_words(sample)
     place = {w: i for i, (w, _) in enumerate(chosen)}
     marks = {i for i, (_, odds) in enumerate(chosen) if odds >= MARK_LOG_ODDS}
 
