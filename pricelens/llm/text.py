@@ -28,6 +28,12 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
+def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id``, a 64-bit key ``_k`` of the text, and its bytes ``_text``; NULL counts as empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_k"), text.cast("binary").alias("_text"))
+
+
 def literal_rows(spark, rows: list[tuple], names: list[str]) -> DataFrame:
     """A few fixed rows as a table made of literals."""
 

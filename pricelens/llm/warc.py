@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm.files import open_folder
 from pricelens.session import scratch_path, stage_table
 
 MIN_REVISIT = 100
@@ -184,10 +185,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     return joined.select("id", "url", "payload", "digest", F.when(repeats, F.col("first_id")).alias("refers"))
 
 
-def open_folder(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows one at a time, so that one payload is held as an object."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)}
 
 
 def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -198,7 +199,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
         store.create_dir(base, recursive=True)
         out, name, count, size = None, "", 0, 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 if out is None:
                     name, count, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
