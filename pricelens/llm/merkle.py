@@ -26,8 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.llm.prefix import sums_before
+from pricelens.operators.ranking import sums_before
 from pricelens.session import join_on, stage_table
+from pricelens.storage import storage
 
 ARITY = 3
 DEPTH = 7
@@ -288,27 +289,29 @@ def fold(path: Column, leaf: Column) -> Column:
 
 def manifest(docs: DataFrame) -> DataFrame:
     """Per document: leaf, subroot, root, proof, the root its (tampered) text folds to, and whether that is the root."""
-    marked = stage_table(leaves(docs), "leaves")
-    nodes = placed_leaves(marked).withColumnRenamed("leaf", "h")
-    nodes = stage_table(nodes.select("tree", "i", "n", "h", "doc_id", "tampered"), "nodes")
-    arrays = reduced(nodes, rounds(nodes), "levels", "doc_id", "tampered")
-    tops = stage_table(source_tops(stage_table(roots(arrays), "roots")), "tops")
-    down = paths_down(arrays, tops, "subroot", "root")
-
-    def with_path(s: Column) -> Column:
-        return F.struct(s.alias("s"), F.concat(path_in(s["slot"]), F.col("up")).alias("path"))
-
-    def checked(x: Column) -> Column:
-        s = x["s"]
-        return F.struct(
-            s["doc_id"].alias("doc_id"),
-            s["h"].alias("leaf"),
-            proof_of(x["path"]).alias("proof_sha256"),
-            fold(x["path"], F.coalesce(s["tampered"], s["h"])).alias("folded_root"),
-        )
-
-    entries = down.select("subroot", "root", F.explode(F.transform(F.transform("slots", with_path), checked)).alias("s"))
-    return entries.select(
-        "s.doc_id", "s.leaf", "subroot", "root", "s.proof_sha256", "s.folded_root",
-        (F.col("s.folded_root") == F.col("root")).alias("verified"),
-    )
+    with storage(docs.sparkSession) as own:
+        marked = stage_table(leaves(docs), "leaves")
+        nodes = placed_leaves(marked).withColumnRenamed("leaf", "h")
+        nodes = stage_table(nodes.select("tree", "i", "n", "h", "doc_id", "tampered"), "nodes")
+        arrays = reduced(nodes, rounds(nodes), "levels", "doc_id", "tampered")
+        tops = stage_table(source_tops(stage_table(roots(arrays), "roots")), "tops")
+        down = paths_down(arrays, tops, "subroot", "root")
+
+        def with_path(s: Column) -> Column:
+            return F.struct(s.alias("s"), F.concat(path_in(s["slot"]), F.col("up")).alias("path"))
+
+        def checked(x: Column) -> Column:
+            s = x["s"]
+            return F.struct(
+                s["doc_id"].alias("doc_id"),
+                s["h"].alias("leaf"),
+                proof_of(x["path"]).alias("proof_sha256"),
+                fold(x["path"], F.coalesce(s["tampered"], s["h"])).alias("folded_root"),
+            )
+
+        entries = down.select("subroot", "root", F.explode(F.transform(F.transform("slots", with_path), checked)).alias("s"))
+        checks = entries.select(
+            "s.doc_id", "s.leaf", "subroot", "root", "s.proof_sha256", "s.folded_root",
+            (F.col("s.folded_root") == F.col("root")).alias("verified"),
+        )
+        return own.result(checks, "manifest")
