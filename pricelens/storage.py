@@ -48,25 +48,42 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch
 
 
-def delete_folder(uri: str) -> None:
-    """Delete a folder of the shared store; one that cannot be reached from here is left and told."""
+def _located(uri: str):
     from pyarrow import fs
 
+    return fs.FileSystem.from_uri(uri if re.match(r"[a-z0-9]+:", uri) else f"file://{uri}")
+
+
+def delete_folder(uri: str) -> None:
+    """Delete a folder of the shared store; one that cannot be reached from here is left and told."""
     try:
-        store, path = fs.FileSystem.from_uri(uri if re.match(r"[a-z0-9]+:", uri) else f"file://{uri}")
-        if store.get_file_info(path).type == fs.FileType.Directory:
+        if is_there(uri):
+            store, path = _located(uri)
             store.delete_dir(path)
     except Exception as error:
         log.warning("could not delete %s: %s", uri, error)
 
 
+def is_there(uri: str) -> bool:
+    store, path = _located(uri)
+    return store.get_file_info(path).type.name == "Directory"
+
+
+def _gone(uri: str) -> bool:
+    """Whether a folder was deleted by someone else; what cannot be looked at counts as there."""
+    try:
+        return not is_there(uri)
+    except Exception:
+        return False
+
+
 class Storage:
     """Folders written on behalf of one piece of work."""
 
     def __init__(self, spark: SparkSession, outer: Storage | None):
         self.spark, self.outer = spark, outer
         self.folders: list[str] = []
-        self.shared: dict[Hashable, object] = {}
+        self.shared: dict[Hashable, tuple[object, list[str]]] = {}
         self.lock = threading.RLock()
 
     def path(self, name: str) -> str:
@@ -116,7 +133,7 @@ def storage(spark: SparkSession) -> Iterator[Storage]:
 
 
 def share[T](spark: SparkSession, key: Hashable, make: Callable[[Storage], T]) -> T:
-    """What ``make`` returns, made once per key and outermost block.
+    """What ``make`` returns, made once per key and outermost block, and again if its folders were deleted.
 
     ``make`` stores its tables with the storage it is given, which outlives the blocks
     inside. The key has to tell sources apart: their files, columns and settings.
@@ -125,9 +142,11 @@ def share[T](spark: SparkSession, key: Hashable, make: Callable[[Storage], T]) -
     while home.outer is not None and home.outer.outer is not None:
         home = home.outer
     with home.lock:
-        if key not in home.shared:
-            home.shared[key] = make(home)
-        return home.shared[key]
+        if key not in home.shared or any(map(_gone, home.shared[key][1])):
+            before = len(home.folders)
+            value = make(home)
+            home.shared[key] = value, home.folders[before:]
+        return home.shared[key][0]
 
 
 def release(spark: SparkSession) -> None:

@@ -1,5 +1,6 @@
 """Who owns stored tables, and when they go."""
 
+import shutil
 from pathlib import Path
 
 import pytest
@@ -71,6 +72,16 @@ def test_one_table_per_key_in_the_outermost_block(spark, folders):
     assert len(made) == 3
 
 
+def test_a_shared_table_that_was_deleted_is_made_again(spark, folders, tmp_path):
+    make = lambda home: home.stage(spark.range(3), "shared")
+    with storage.storage(spark):
+        one = storage.share(spark, "k", make)
+        for path in tmp_path.iterdir():
+            shutil.rmtree(path)
+        two = storage.share(spark, "k", make)
+        assert two is not one and two.count() == 3 and storage.share(spark, "k", make) is two
+
+
 def test_an_unreachable_store_is_told_and_left(spark, caplog):
     storage.delete_folder("nosuchstore://x/y")
     assert "could not delete" in caplog.text
