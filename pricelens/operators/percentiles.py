@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.functions.bits import MANTISSA_BITS, order_key
+from pricelens.functions.bits import MANTISSA_BITS, with_order_key
 from pricelens.operators.columns import long_values, name_at
 from pricelens.session import join_on, stage_table
 from pricelens.storage import storage
@@ -49,12 +49,12 @@ def exact_percentiles(
     stored frame.
     """
     keys = [*by, "position"]
-    values = long_values(df, columns, by).withColumn("key", order_key(F.col("value")))
+    values = with_order_key(long_values(df, columns, by), "value", "key")
     with storage(df.sparkSession) as own:
-        cell = F.shiftright("key", FIRST_SHIFT)
+        cell = F.when(F.col("value").isNotNull(), F.shiftright("key", FIRST_SHIFT))
         cells = stage_table(_counted(values, keys, cell), "cells")
         totals = cells.groupBy(*keys).agg(F.sum("rows").alias("n"))
-        found = _order_statistics(values, cells, _ranks(totals, percentages), keys)
+        found = _order_statistics(values.filter(F.col("value").isNotNull()), cells, _ranks(totals, percentages), keys)
         by_rank = found.groupBy(*keys).agg(
             F.map_from_entries(F.collect_list(F.struct("rank", "least"))).alias("at")
         )
@@ -88,7 +88,7 @@ def _ranks(totals: DataFrame, percentages: Sequence[float]) -> DataFrame:
 def _counted(values: DataFrame, bracket: Sequence[str], cell: Column) -> DataFrame:
     """Rows and ends of each cell; a cell of its own holds the NULLs, and no rows."""
     return values.groupBy(*bracket, cell.alias("cell")).agg(
-        F.count("key").alias("rows"), F.min("key").alias("least_key"), F.max("key").alias("most_key"), F.min("value").alias("least")
+        F.count("value").alias("rows"), F.min("key").alias("least_key"), F.max("key").alias("most_key"), F.min("value").alias("least")
     )
 
 

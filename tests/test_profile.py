@@ -4,9 +4,8 @@ import struct
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
-from pricelens.functions.bits import order_key
+from pricelens.functions.bits import with_order_key
 from pricelens.operators import percentiles, profile
 from pricelens.operators.percentiles import approximate_percentiles, exact_percentiles, percentile_name
 
@@ -103,7 +102,7 @@ def test_order_keys_are_the_bits(spark):
         number = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
         return -number if x < 0 else number
 
-    found = spark.createDataFrame([(x,) for x in values], "v double").select("v", order_key(F.col("v")).alias("k")).collect()
+    found = with_order_key(spark.createDataFrame([(x,) for x in values], "v double"), "v", "k").collect()
     assert [r.k for r in found] == [bits(r.v) for r in found]
 
 
