@@ -7,14 +7,16 @@ one place drop out. Around each place of the others, the text from which a repea
 string with this anchor could come (its context, under 400 bytes) goes to the shard
 of the anchor. Equal contexts are one there.
 
-Induction. A shard orders the suffixes of its contexts, with common prefixes, by
-induced sorting over disk-backed queues (``induced``), so a shard may be larger than
-memory. Neighbours that share ``WIDTH`` bytes and stand at different places mark
-repeated strings.
+Induction. A shard holds its contexts in memory. Equal ones, and those that are equal
+once they are cut down to what they share, resolve each other; the suffixes of the
+others are ordered, with common prefixes, by induced sorting over queues that spill to
+disk (``induced``). Neighbours that share ``WIDTH`` bytes and stand at different places
+mark repeated strings. One anchor's contexts are one shard, so an anchor that very many
+texts share is one task's work and memory.
 
 Equal texts are treated as one, and as wholly repeated if they have ``WIDTH`` bytes.
-Texts are told apart by 64-bit hashes. Tables of marks are broadcast up to
-``BROADCAST_CELLS`` numbers and joined by shuffle beyond.
+Texts are told apart by 64-bit hashes. Tables of marks are joined to the texts by their
+stored size, as the engine sees it; the plan is the same at every size.
 
 Defined cases: a NULL or empty text has no bytes and nothing removed. Rows that
 agree in id and text are copies of each other. Overlapping repeats count. An empty
@@ -33,12 +35,12 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.hashing import prefix_sums, run_hashes
 from pricelens.llm.induced import sorted_suffixes
+from pricelens.llm.text import text_rows
 from pricelens.session import stage_table
 
 WIDTH = 200
 ANCHOR = 24
 SHARD_BYTES = 4 << 20
-BROADCAST_CELLS = 4_000_000
 
 
 # --- anchors -----------------------------------------------------------------
@@ -66,11 +68,6 @@ def anchors(text: bytes, width: int = WIDTH, size: int = ANCHOR) -> tuple[np.nda
     return at, hashes[at]
 
 
-def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_k"), text.cast("binary").alias("_text"))
-
-
 def anchor_rows(rows: DataFrame) -> DataFrame:
     """``h``, ``k``, ``at`` of every anchor; stored."""
 
@@ -225,8 +222,7 @@ def repeated(rows: DataFrame) -> DataFrame:
     shards = max(16, total * 2 * WIDTH // SHARD_BYTES)
     one = rows.filter(F.octet_length("_text") >= WIDTH).groupBy("_k").agg(F.min("_id").alias("_one"))
     chosen = stage_table(listed.join(one, F.col("k") == F.col("_k")).select("k", "_one", "marks"), "anchor_texts")
-    side = F.broadcast(chosen) if 2 * total <= BROADCAST_CELLS else chosen
-    texts = rows.join(side, (F.col("_k") == F.col("k")) & F.col("_id").eqNullSafe(F.col("_one"))).select("k", "_text", "marks")
+    texts = rows.join(chosen, (F.col("_k") == F.col("k")) & F.col("_id").eqNullSafe(F.col("_one"))).select("k", "_text", "marks")
 
     def contexts(batches):
         for batch in batches:
@@ -278,10 +274,8 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spans = repeated(rows).select("k", F.lit(1).cast("long").alias("n"), F.struct("first", "end").alias("span"))
     marks = copies.select(F.col("_k").alias("k"), F.col("_n").alias("n"), none.alias("span")).unionAll(spans)
     marks = stage_table(marks.groupBy(F.col("k").alias("_marked")).agg(F.max("n").alias("_copies"), F.collect_list("span").alias("_spans")), "repeat_marks")
-    cells = marks.agg(F.coalesce(F.sum(F.size("_spans") * 2 + 2), F.lit(0))).first()[0]
-    side = F.broadcast(marks) if cells <= BROADCAST_CELLS else marks
     key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(side, key == F.col("_marked"), "left").drop("_marked")
+    return docs.join(marks, key == F.col("_marked"), "left").drop("_marked")
 
 
 def without_spans(text: bytes, copies: int | None, spans: list | None) -> tuple[bytes, int]:
