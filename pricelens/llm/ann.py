@@ -10,8 +10,10 @@ a vector's neighbours. The number of parts to visit is the least that finds
 Index and search run on all rows: every vector goes to its most probable part, every
 query to its several most probable ones, and parts are reranked exactly. A part is
 cut into blocks of rows and of queries, so a part that holds a third of all rows is
-many groups of bounded size. Each group returns its best ``k`` per query; these are
-merged by query.
+many groups of bounded size. Parts are visited in waves, each ``WAVE`` times as wide as
+the one before: after a wave a query knows its ``k`` best so far, and later groups
+return only rows that reach its last score. So what a query receives grows with the
+number of waves and not with the number of parts; each wave's best are stored.
 
 Defined cases: vectors that are NULL, zero or hold NULL or non-finite components
 take no part, nor do rows without an id or of another dimension than most of the
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.session import stage_table
+from pricelens.storage import storage
 
 FIT_ROWS = 8192
 NEIGHBOURS = 20
@@ -41,6 +44,8 @@ HIDDEN = 128
 EPOCHS = 40
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 4_000
+#: Parts of the first wave, and the factor from wave to wave.
+FIRST_WAVE, WAVE = 4, 4
 
 
 @dataclass
@@ -180,7 +185,7 @@ def fit(rows: DataFrame, n_rows: int, fit_rows: int = FIT_ROWS, k: int = NEIGHBO
 
 
 def routed(rows: DataFrame, router: Router, visits: int) -> DataFrame:
-    """``id``, ``part`` and the vector's bytes, a row per visited part."""
+    """``id``, ``part``, its place ``nth`` among the visited ones and the vector's bytes, a row per visited part."""
 
     def route(batches):
         for batch in batches:
@@ -194,31 +199,35 @@ def routed(rows: DataFrame, router: Router, visits: int) -> DataFrame:
                 [
                     pa.array(np.repeat(ids[good], best.shape[1])),
                     pa.array(best.ravel().astype(np.int32)),
+                    pa.array(np.tile(np.arange(best.shape[1], dtype=np.int32), len(best))),
                     pa.array([v for v in data for _ in range(best.shape[1])], pa.binary()),
                 ],
-                ["id", "part", "v"],
+                ["id", "part", "nth", "v"],
             )
 
-    return rows.mapInArrow(route, "id long, part int, v binary")
+    return rows.mapInArrow(route, "id long, part int, nth int, v binary")
 
 
 def rerank(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Exact best ``k`` rows of ``right`` for every query of ``left``."""
+    """Exact best ``k`` rows of ``right`` for every query of ``left``, none below the query's ``floor``."""
     empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
     if not len(left) or not len(right):
         return empty
     q, x = (np.frombuffer(b"".join(t["v"]), np.float64).reshape(len(t), -1) for t in (left, right))
     query, ids = left["id"].to_numpy(), right["id"].to_numpy()
+    floor = left["floor"].fillna(-np.inf).to_numpy()
     parts = []
     for a in range(0, len(q), 256):
         scores = q[a : a + 256] @ x.T
         scores[query[a : a + 256, None] == ids[None, :]] = -np.inf
+        least = floor[a : a + 256]
         if scores.shape[1] > k:
-            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            i, j = np.nonzero((scores >= least[:, None] - 1e-9 * np.maximum(1, np.abs(least[:, None]))) & (scores > -np.inf))
-        else:
-            i, j = np.nonzero(scores > -np.inf)
+            least = np.maximum(least, np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k])
+        slack = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
+        i, j = np.nonzero((scores >= (least - slack)[:, None]) & (scores > -np.inf))
         exact = (q[a + i] * x[j]).sum(axis=1)  # the same sum for equal vectors, wherever they stand
+        reach = exact >= floor[a + i]
+        i, j, exact = i[reach], j[reach], exact[reach]
         order = np.lexsort((ids[j], -exact, i))
         i, j, exact = i[order], j[order], exact[order]
         first = np.searchsorted(i, np.arange(len(scores)))
@@ -233,26 +242,43 @@ def blocks_of(counts: DataFrame, size: int, name: str) -> DataFrame:
 
 def search(table: DataFrame, is_query, k: int = NEIGHBOURS, id_col: str = "vec_id", vector_col: str = "embedding", router: Router | None = None) -> DataFrame:
     """The ``k`` nearest found for every row that ``is_query`` (a condition on ``id``) selects."""
-    rows = stage_table(vectors(table, id_col, vector_col), "vectors")
-    router = router or fit(rows, rows.count(), k=k)
-    index = stage_table(routed(rows, router, 1), "ann_index")
-    queries = stage_table(routed(rows.filter(is_query), router, router.visits), "ann_queries")
-    # a row per part, MAX_PARTS at most
-    row_blocks = F.broadcast(blocks_of(index.groupBy("part").agg(F.count("*").alias("n")), BLOCK_ROWS, "n_rows"))
-    query_blocks = F.broadcast(blocks_of(queries.groupBy("part").agg(F.count("*").alias("n")), BLOCK_QUERIES, "n_queries"))
-
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+    with storage(table.sparkSession) as own:
+        rows = stage_table(vectors(table, id_col, vector_col), "vectors")
+        router = router or fit(rows, rows.count(), k=k)
+        index = stage_table(routed(rows, router, 1), "ann_index")
+        queries = stage_table(routed(rows.filter(is_query), router, router.visits), "ann_queries")
+        # a row per part, MAX_PARTS at most
+        row_blocks = F.broadcast(blocks_of(index.groupBy("part").agg(F.count("*").alias("n")), BLOCK_ROWS, "n_rows"))
+        found, start, width = None, 0, FIRST_WAVE
+        while start < router.visits:
+            wave = queries.filter(F.col("nth").between(start, start + width - 1))
+            found = stage_table(_visit(wave, index, row_blocks, found, k), "ann_found")
+            start, width = start + width, width * WAVE
+        return own.result(found, "neighbours")
+
+
+def _visit(wave: DataFrame, index: DataFrame, row_blocks: DataFrame, found: DataFrame | None, k: int) -> DataFrame:
+    """The ``k`` best of ``found`` and of the parts that a wave of queries visits."""
+    if found is None:
+        wave = wave.withColumn("floor", F.lit(None).cast("double"))
+    else:
+        last = found.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("floor"))
+        wave = wave.join(last, F.col("id") == F.col("_q"), "left").drop("_q")
+    query_blocks = F.broadcast(blocks_of(wave.groupBy("part").agg(F.count("*").alias("n")), BLOCK_QUERIES, "n_queries"))
+
+    def dealt(side: DataFrame, own: str, other: str, *more: str) -> DataFrame:
         """Each row in one block of its side, and with every block of the other."""
         sized = side.join(row_blocks, F.col("part") == F.col("_n_rows_part")).join(query_blocks, F.col("part") == F.col("_n_queries_part"))
         sized = sized.withColumn(f"{own}_block", F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
         sized = sized.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        return sized.select("part", "n_rows_block", "n_queries_block", "id", "v")
+        return sized.select("part", "n_rows_block", "n_queries_block", "id", "v", *more)
 
     keys = ["part", "n_rows_block", "n_queries_block"]
-    left, right = dealt(queries, "n_queries", "n_rows"), dealt(index, "n_rows", "n_queries")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda a, b: rerank(a, b, k), "query_id long, vec_id long, score double")
+    left, right = dealt(wave, "n_queries", "n_rows", "floor"), dealt(index, "n_rows", "n_queries")
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda a, b: rerank(a, b, k), "query_id long, vec_id long, score double")
+    every = near if found is None else near.unionByName(found.drop("rank"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def report(table: DataFrame) -> DataFrame:
