@@ -6,16 +6,27 @@ Documents with equal sets form a class; the join works on classes.
 Candidates. The global n-gram order goes by hash, with frequent n-grams moved to the
 end, the rarer first. Two sets with a Jaccard similarity of t or more share an
 n-gram among the first ``n - ceil(t n) + 1`` of each, whatever the order; so only
-these prefixes are compared, and n-grams in one class's prefix alone drop out. The
-first shared n-gram's places bound the overlap (position filter). Classes that share
-a prefix n-gram form a bucket. All pairs of a bucket of at most ``SMALL_BUCKET``
-classes are candidates. A larger one is first thinned by hubs: one member is paired
-with the others, and only pairs across the components found stay open. After
-``HUB_ROUNDS`` all pairs still open are generated, so that none is lost.
-
-Verification. The n-gram order is cut into ``FRAGMENTS`` vertical fragments, and
-every candidate's set into segments. Overlaps are counted fragment by fragment and
-summed per pair, which is exact.
+these prefixes are compared. Classes that share a prefix n-gram form a bucket. A task
+emits each class once, however many copies it meets, and sorted partitions are read as
+a stream: a bucket of one class drops out, one of at most ``SMALL_BUCKET`` classes
+gives its pairs there and then, distinct ones only, and rows of larger buckets pass
+through. The first shared n-gram's places bound the overlap (position filter).
+
+No pair need be tested within a component. So the pairs of small buckets are tested in
+rounds: in each of ``NEAREST_ROUNDS``, every class is paired with one neighbour in
+another component, the one of the least hash, which is the same for many classes; then
+come the pairs that are still open. A group of near copies is joined up by a few tests
+per class. Larger buckets are thinned by hubs: one member is paired with the others,
+and only pairs across the components found stay open. After ``HUB_ROUNDS`` all pairs
+still open are generated, so that none is lost.
+
+Verification. The n-gram order is cut into ``FRAGMENTS`` vertical fragments, and a
+candidate's set into segments. Overlaps are counted fragment by fragment and summed
+per pair, which is exact. The first fragment is counted alone: what it holds and what
+the others can add at most decides for most candidates, and only pairs that may still
+link have the other fragments cut and counted.
+
+Tables of a step go when the next one is stored.
 
 Defined cases: a text without words (NULL, empty or white space only) has the empty
 set and is linked with nothing. With fewer than ``SHINGLE`` words the whole sequence
@@ -27,14 +38,18 @@ are read.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.graph import components
 from pricelens.llm.hashing import chunks, mix, shingle_hashes, word_hashes
+from pricelens.llm.text import text_rows
 from pricelens.session import stage_table
+from pricelens.storage import storage
 
 SHINGLE = 5
 #: Similarity in hundredths, so that the test is exact in whole numbers.
@@ -42,6 +57,7 @@ PERCENT = 80
 FRAGMENTS = 8
 SMALL_BUCKET = 16
 HUB_ROUNDS = 2
+NEAREST_ROUNDS = 2
 #: An n-gram is frequent if it occurs ``LOCAL`` times or more in some groups of about
 #: ``GROUP_BYTES`` bytes of text, and ``FREQUENT`` times in these together; of these, at
 #: most ``MOST_FREQUENT`` of the most frequent go last in the order. Any choice gives the
@@ -93,26 +109,23 @@ class Order:
         return np.concatenate([plain, last[: size - len(plain)]])
 
 
-def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_k"), text.cast("binary").alias("_text"))
-
-
 def set_sizes(rows: DataFrame, shingle: int) -> DataFrame:
-    """``_id``, ``_k``, set size ``n`` and set key ``c`` of every row; stored."""
+    """``_id``, ``_k``, set size ``n``, set key ``c`` and the size ``first`` of the first fragment of every row; stored."""
+    edge = np.uint64((1 << 64) // FRAGMENTS)
 
     def sizes(batches):
         for batch in batches:
-            n, c = [], []
+            n, c, first = [], [], []
             for group in chunks(batch.column("_text").to_pylist()):
                 for found in shingle_sets(group, shingle):
                     n.append(len(found))
                     c.append(set_key(found))
-            columns = [batch.column("_id"), batch.column("_k"), pa.array(n, pa.int64()), pa.array(c, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "_k", "n", "c"])
+                    first.append(int(np.searchsorted(found, edge)))
+            columns = [batch.column("_id"), batch.column("_k"), *[pa.array(x, pa.int64()) for x in (n, c, first)]]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_k", "n", "c", "first"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long"), "set_sizes")
+    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long, first long"), "set_sizes")
 
 
 def global_order(rows: DataFrame, shingle: int) -> Order:
@@ -141,21 +154,24 @@ def global_order(rows: DataFrame, shingle: int) -> Order:
 
 
 def prefix_rows(rows: DataFrame, order: Order, shingle: int, percent: int) -> DataFrame:
-    """A row per text and prefix n-gram: ``g``, set key ``c``, set size ``n``, place ``i``."""
+    """A row per class and prefix n-gram: ``g``, set key ``c``, set size ``n``, place ``i``; a task tells a class once."""
     shared = rows.sparkSession.sparkContext.broadcast((order.hashes, order.rank))  # MOST_FREQUENT entries at most
 
     def lead(batches):
         order = Order([])
         order.hashes, order.rank = shared.value
+        told: set[int] = set()
         for batch in batches:
             for group in chunks(batch.column("_text").to_pylist()):
-                found = [x for x in shingle_sets(group, shingle) if len(x)]
+                found = {set_key(x): x for x in shingle_sets(group, shingle) if len(x)}
+                found = {c: x for c, x in found.items() if c not in told}
                 if not found:
                     continue
-                parts = [order.prefix(x, percent) for x in found]
+                told.update(found)
+                parts = [order.prefix(x, percent) for x in found.values()]
                 times = [len(p) for p in parts]
-                keys = np.repeat(np.array([set_key(x) for x in found], np.int64), times)
-                sizes = np.repeat(np.array([len(x) for x in found], np.int32), times)
+                keys = np.repeat(np.array(list(found), np.int64), times)
+                sizes = np.repeat(np.array([len(x) for x in found.values()], np.int32), times)
                 places = np.concatenate([np.arange(t, dtype=np.int32) for t in times])
                 columns = [pa.array(np.concatenate(parts).view(np.int64)), pa.array(keys), pa.array(sizes), pa.array(places)]
                 yield pa.RecordBatch.from_arrays(columns, ["g", "c", "n", "i"])
@@ -163,13 +179,78 @@ def prefix_rows(rows: DataFrame, order: Order, shingle: int, percent: int) -> Da
     return rows.select("_text").mapInArrow(lead, "g long, c long, n int, i int")
 
 
-def probes(leads: DataFrame) -> DataFrame:
-    """Prefix rows of n-grams that at least two classes hold there, once per class; stored."""
-    same = Window.partitionBy("g")
-    first = Window.partitionBy("g").orderBy("c")
-    marked = leads.withColumns({"_least": F.min("c").over(same), "_most": F.max("c").over(same), "_before": F.lag("c").over(first)})
-    shared = marked.filter("_least <> _most and (_before is null or _before <> c)")
-    return stage_table(shared.select("g", "c", "n", "i"), "probes")
+class Buckets:
+    """Reads rows ``g, c, n, i`` in the order of g and c: pairs of small buckets, rows of larger ones."""
+
+    def __init__(self, percent: int, small: int):
+        self.percent, self.small = percent, small
+        self.held = np.zeros((0, 4), np.int64)
+        self.large: int | None = None  # the n-gram of a larger bucket that is not over yet
+        self.last = 0
+
+    def read(self, rows: np.ndarray, over: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs ``c, n, c2, n2`` and rows of larger buckets that are settled; the last bucket may go on."""
+        rows = np.concatenate([self.held, rows])
+        same = np.zeros(len(rows), bool)
+        same[1:] = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] == rows[:-1, 1])
+        rows = rows[~same]
+        passed = rows[:0]
+        if self.large is not None:
+            on = rows[:, 0] == self.large
+            passed = rows[on & (rows[:, 1] != self.last)]
+            if len(passed):
+                self.last = int(passed[-1, 1])
+            if not on.all():
+                self.large = None
+            rows = rows[~on]
+        starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]])) if len(rows) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(starts, len(rows)))
+        self.held = rows[:0]
+        if len(sizes) and not over:
+            if sizes[-1] <= self.small:
+                self.held = rows[starts[-1] :].copy()
+                starts, sizes = starts[:-1], sizes[:-1]
+            else:
+                self.large, self.last = int(rows[-1, 0]), int(rows[-1, 1])
+        big = np.repeat(sizes > self.small, sizes)
+        found = [self._pairs(rows, starts[sizes == m], m) for m in range(2, self.small + 1) if (sizes == m).any()]
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
+        return pairs, np.concatenate([passed, rows[: len(big)][big]])
+
+    def _pairs(self, rows: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        left, right = np.triu_indices(size, 1)
+        one, two = rows[(starts[:, None] + left).ravel()], rows[(starts[:, None] + right).ravel()]
+        n1, n2, p = one[:, 2], two[:, 2], self.percent
+        needed = -(-(n1 + n2) * p // (100 + p))
+        most = np.minimum(n1 - one[:, 3], n2 - two[:, 3])
+        keep = (n1 * p <= n2 * 100) & (n2 * p <= n1 * 100) & (most >= needed)
+        return np.column_stack([one[keep, 1], n1[keep], two[keep, 1], n2[keep]])
+
+
+def buckets(leads: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``c, n, c2, n2`` of small buckets (``g`` NULL) and rows ``g, c, n, i`` of larger ones; stored."""
+
+    def sift(batches):
+        reader = Buckets(percent, SMALL_BUCKET)
+        for batch in chain(batches, [None]):
+            rows = np.zeros((0, 4), np.int64) if batch is None else np.column_stack([x.to_numpy().astype(np.int64) for x in batch.columns])
+            pairs, large = reader.read(rows, batch is None)
+            if len(pairs) + len(large):
+                none = [pa.nulls(len(pairs), pa.int64()), pa.nulls(len(large), pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([a, b])
+                        for a, b in zip(
+                            [none[0], *[pa.array(pairs[:, j]) for j in (0, 1)], none[0], *[pa.array(pairs[:, j]) for j in (2, 3)]],
+                            [*[pa.array(large[:, j]) for j in range(4)], none[1], none[1]],
+                            strict=True,
+                        )
+                    ],
+                    ["g", "c", "n", "i", "c2", "n2"],
+                )
+
+    ordered_ = leads.repartition("g").sortWithinPartitions("g", "c")
+    return stage_table(ordered_.mapInArrow(sift, "g long, c long, n long, i long, c2 long, n2 long"), "buckets")
 
 
 def may_link(percent: int) -> Column:
@@ -187,15 +268,16 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(*columns).distinct()
 
 
-def segments(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """Segments (``c``, ``fragment``, ``part``) of the texts that stand for the wanted classes.
+def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """Segments (``c``, ``fragment``, ``part``) of one text of each wanted class ``c``; stored, the first fragments apart.
 
-    ``wanted`` holds ``_id``, ``_k`` and ``c``, one row per class; it is broadcast
-    below ``BROADCAST_ROWS`` rows and otherwise joined by shuffle.
+    The rows to read, one per class, are broadcast below ``BROADCAST_ROWS`` of them and
+    otherwise joined by shuffle.
     """
-    wanted = wanted.select(F.col("_id").alias("_wid"), F.col("_k").alias("_wk"), "c")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    chosen = rows.join(side, (F.col("_k") == F.col("_wk")) & F.col("_id").eqNullSafe(F.col("_wid"))).select("c", "_text")
+    chosen = classes.join(wanted.select(F.col("c").alias("_p")).distinct(), F.col("c") == F.col("_p"), "left_semi")
+    chosen = stage_table(chosen.select(F.col("_one._id").alias("_wid"), F.col("_one._k").alias("_wk"), "c"), "candidates")
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    texts = rows.join(side, (F.col("_k") == F.col("_wk")) & F.col("_id").eqNullSafe(F.col("_wid"))).select("c", "_text")
     edges = np.array([(i << 64) // FRAGMENTS for i in range(1, FRAGMENTS)], np.uint64)
 
     def cut(batches):
@@ -204,79 +286,135 @@ def segments(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             for group in chunks(batch.column("_text").to_pylist()):
                 c, fragment, part = [], [], []
                 for found in shingle_sets(group, shingle):
-                    for f, piece in enumerate(np.split(found, np.searchsorted(found, edges))):
-                        if len(piece):
+                    ends = [0, *np.searchsorted(found, edges).tolist(), len(found)]
+                    for f in range(FRAGMENTS):
+                        if ends[f + 1] > ends[f]:
                             c.append(keys[at])
                             fragment.append(f)
-                            part.append(piece.view(np.int64))
+                            part.append(found[ends[f] : ends[f + 1]].view(np.int64))
                     at += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()), pa.array(fragment, pa.int32()), pa.array(part, pa.list_(pa.int64()))], ["c", "fragment", "part"]
                 )
 
-    cut_rows = chosen.mapInArrow(cut, "c long, fragment int, part array<long>")
-    return stage_table(cut_rows.dropDuplicates(["c", "fragment"]), "segments")
+    parts = texts.mapInArrow(cut, "c long, fragment int, part array<long>").withColumn("head", F.col("fragment") == 0)
+    return stage_table(parts, "class_sets", ["head"])
 
 
-def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose overlaps, summed over the fragments, reach the similarity; stored."""
-    left = pairs.join(parts, F.col("a") == F.col("c")).select("a", "b", "na", "nb", "fragment", F.col("part").alias("_pa"))
+def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Per pair, the common n-grams ``o`` in the fragments of ``parts``, counted one by one and summed."""
+    left = pairs.select("a", "b").join(parts, F.col("a") == F.col("c")).select("a", "b", "fragment", F.col("part").alias("_pa"))
     right = parts.select(F.col("c").alias("_c"), F.col("fragment").alias("_f"), F.col("part").alias("_pb"))
     both = left.join(right, (F.col("b") == F.col("_c")) & (F.col("fragment") == F.col("_f")))
-    partial = both.select("a", "b", "na", "nb", F.size(F.array_intersect("_pa", "_pb")).alias("_o"))
-    total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("_o").alias("_o"))
-    return stage_table(total.filter(100 * F.col("_o") >= percent * (F.col("na") + F.col("nb") - F.col("_o"))).select("a", "b"), "pair_links")
+    counted = both.select("a", "b", "fragment", F.size(F.array_intersect("_pa", "_pb")).alias("o"))
+    # The row that stands for a class may be repeated, id and text alike: its segments count once.
+    once = counted.groupBy("a", "b", "fragment").agg(F.max("o").alias("o"))
+    return once.groupBy("a", "b").agg(F.sum("o").alias("o"))
+
+
+def verified(classes: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose overlaps, summed over the fragments, reach the similarity; stored."""
+    with storage(pairs.sparkSession) as own:
+        size = classes.select(F.col("c").alias("_c"), F.col("first").alias("_first"))
+        sized = pairs.join(size, F.col("a") == F.col("_c")).withColumnRenamed("_first", "_fa").drop("_c")
+        sized = sized.join(size, F.col("b") == F.col("_c")).withColumnRenamed("_first", "_fb").drop("_c")
+        one = overlaps(pairs, sets.filter("head")).withColumnsRenamed({"a": "_a", "b": "_b"})
+        begun = sized.join(one, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").withColumn("o", F.coalesce("o", F.lit(0)))
+        most = F.col("o") + F.least(F.col("na") - F.col("_fa"), F.col("nb") - F.col("_fb"))
+        open_ = own.stage(begun.filter(100 * most >= percent * (F.col("na") + F.col("nb") - most)).select("a", "b", "na", "nb", "o"), "open_pairs")
+        rest = overlaps(open_, sets.filter("not head")).select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("o").alias("_o"))
+        total = open_.join(rest, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left").withColumn("o", F.col("o") + F.coalesce("_o", F.lit(0)))
+        linked = 100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))
+        return own.result(total.filter(linked).select("a", "b"), "pair_links")
+
+
+def hub_pairs(large: DataFrame, labels: DataFrame, percent: int, round_: int) -> DataFrame | None:
+    """Pairs of one member of each larger bucket with all others, across components; all pairs after the last round."""
+    now = large.join(labels, F.col("c") == F.col("node"), "left").select("g", "c", "n", "i", F.coalesce("label", "c").alias("label"))
+    chance = F.xxhash64("c", F.lit(round_))
+    hub = F.min_by(F.struct(*[F.col(x).alias(f"{x}2") for x in ("c", "n", "i", "label")]), chance)
+    grouped = now.groupBy(F.col("g").alias("g2")).agg(F.min("label").alias("_l1"), F.max("label").alias("_l2"), hub.alias("_hub"))
+    open_ = stage_table(grouped.filter("_l1 <> _l2").select("g2", "_hub.*"), "open_buckets")
+    if not open_.limit(1).count():
+        return None
+    one = now.select("g", *[F.col(x).alias(f"{x}1") for x in ("c", "n", "i", "label")])
+    open_pair = (F.col("g") == F.col("g2")) & (F.col("label1") != F.col("label2")) & may_link(percent)
+    if round_ < HUB_ROUNDS:
+        return one.join(open_, open_pair)
+    two = stage_table(one.join(open_.select(F.col("g2").alias("_g")), F.col("g") == F.col("_g"), "left_semi"), "open_members")
+    other = two.select(*[F.col(x).alias(f"{x[:-1]}2" if x != "g" else "g2") for x in two.columns])
+    return two.join(other, open_pair & (F.col("c1") < F.col("c2")))
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """For each class of the pairs the one with the neighbour of the least hash; a pair once."""
+    row = F.struct("a", "b", "na", "nb")
+    ends = pairs.select(F.col("a").alias("c"), F.xxhash64("b").alias("h"), row.alias("pair")).unionAll(pairs.select("b", F.xxhash64("a"), row))
+    return ends.groupBy("c").agg(F.min(F.struct("h", "pair")).alias("best")).select("best.pair.*").distinct()
+
+
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose classes are not known to be in one component."""
+    known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    one = pairs.join(known, F.col("a") == F.col("_node"), "left").withColumn("_la", F.coalesce("_label", "a")).drop("_node", "_label")
+    two = one.join(known, F.col("b") == F.col("_node"), "left").withColumn("_lb", F.coalesce("_label", "b"))
+    return two.filter("_la <> _lb").select(*pairs.columns)
 
 
 def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components of the classes (``node``, ``label``) and one row per class."""
-    spark = rows.sparkSession
-    classes = stage_table(
-        sizes.filter("n > 0").groupBy("c").agg(F.min("_id").alias("least"), F.min(F.struct("_id", "_k")).alias("_one")), "classes"
+    classes = sizes.filter("n > 0").groupBy("c").agg(
+        F.min("_id").alias("least"), F.min(F.struct("_id", "_k")).alias("_one"), F.min("first").alias("first")
     )
-    bucket = probes(prefix_rows(rows, global_order(rows, shingle), shingle, percent))
-    links = tested = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, label long")
-    for round_ in range(HUB_ROUNDS + 1):
-        now = bucket.join(labels, F.col("c") == F.col("node"), "left").select("g", "c", "n", "i", F.coalesce("label", "c").alias("label"))
-        chance = F.xxhash64("c", F.lit(round_))
-        hub = F.min_by(F.struct(*[F.col(x).alias(f"{x}2") for x in ("c", "n", "i", "label")]), chance)
-        open_ = now.groupBy(F.col("g").alias("g2")).agg(F.count("*").alias("m"), F.min("label").alias("_l1"), F.max("label").alias("_l2"), hub.alias("_hub"))
-        open_ = stage_table(open_.filter("_l1 <> _l2").select("g2", "m", "_hub.*"), "open_buckets")
-        if not open_.limit(1).count():
-            break
-        last = round_ == HUB_ROUNDS
-        one = now.select("g", *[F.col(x).alias(f"{x}1") for x in ("c", "n", "i", "label")])
-        across = (F.col("g") == F.col("g2")) & (F.col("label1") != F.col("label2")) & may_link(percent)
-        met = one.join(open_, across)
-        if round_ == 0 or last:
-            every = open_.filter(F.col("m") <= SMALL_BUCKET) if not last else open_
-            two = stage_table(one.join(every.select(F.col("g2").alias("_g")), F.col("g") == F.col("_g"), "left_semi"), "open_members")
-            other = two.select(*[F.col(x).alias(f"{x[:-1]}2" if x != "g" else "g2") for x in two.columns])
-            pairs = two.join(other, across & (F.col("c1") < F.col("c2")))
-            met = pairs if last else pairs.unionByName(met.filter(F.col("m") > SMALL_BUCKET).drop("m"))
-        pairs = stage_table(ordered(met).join(tested, ["a", "b"], "left_anti"), "candidate_pairs")
-        paired = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select("b")).distinct()
-        wanted = stage_table(classes.join(paired, F.col("c") == F.col("_p"), "left_semi").select("_one.*", "c"), "candidates")
-        links = links.unionAll(verified(pairs, segments(rows, wanted, shingle), percent))
-        labels = components(links)
-        if last:
+    classes = stage_table(classes, "classes")
+    found = buckets(prefix_rows(rows, global_order(rows, shingle), shingle, percent), percent)
+    small = found.filter("c2 is not null").select(F.col("c").alias("c1"), F.col("n").alias("n1"), "c2", "n2")
+    large = found.filter("c2 is null").select("g", "c", "n", "i")
+    labels = rows.sparkSession.createDataFrame([], "node long, label long")
+
+    def tested(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        links = verified(classes, sets, pairs, percent)
+        if links.isEmpty():
+            return labels
+        # What is known goes in as stars, so only the new links make further rounds.
+        return components(links.unionAll(labels.filter("node <> label").select("node", "label")))
+
+    pairs = stage_table(ordered(small), "small_pairs")
+    wanted = pairs.select(F.col("a").alias("c")).unionAll(pairs.select("b")).unionAll(large.select("c"))
+    sets = class_sets(rows, classes, wanted, shingle)
+    for round_ in range(NEAREST_ROUNDS + 1):
+        if pairs.isEmpty():
             break
-        tested = tested.unionAll(pairs.select("a", "b"))
+        chosen = pairs if round_ == NEAREST_ROUNDS else stage_table(nearest(pairs), "nearest_pairs")
+        labels = tested(chosen, labels)
+        if round_ < NEAREST_ROUNDS:
+            left = pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = stage_table(across(left, labels), "small_pairs")
+    done = small.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+    if not large.isEmpty():
+        for round_ in range(HUB_ROUNDS + 1):
+            met = hub_pairs(large, labels, percent, round_)
+            if met is None:
+                break
+            pairs = stage_table(ordered(met).join(done, ["a", "b"], "left_anti"), "candidate_pairs")
+            labels = tested(pairs, labels)
+            done = done.unionAll(pairs.select("a", "b"))
     return labels, classes
 
 
 def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``_id``, ``_k``, set size ``n``, class ``c``, ``component``."""
     rows = text_rows(docs, id_col, text_col)
-    sizes = set_sizes(rows, shingle)
-    labels, classes = class_links(rows, sizes, shingle, percent)
-    named = classes.join(labels, F.col("c") == F.col("node"), "left").select(F.col("c").alias("_c"), "least", F.coalesce("label", "c").alias("label"))
-    named = stage_table(named, "class_labels")
-    least = named.groupBy(F.col("label").alias("_label")).agg(F.min("least").alias("component"))
-    found = stage_table(named.join(least, F.col("label") == F.col("_label")).select("_c", "component"), "class_components")
-    joined = sizes.join(found, F.col("c") == F.col("_c"), "left")
-    return joined.select("_id", "_k", "n", "c", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")).alias("component"))
+    with storage(docs.sparkSession) as own:
+        sizes = set_sizes(rows, shingle)
+        labels, classes = class_links(rows, sizes, shingle, percent)
+        named = classes.join(labels, F.col("c") == F.col("node"), "left").select(F.col("c").alias("_c"), "least", F.coalesce("label", "c").alias("label"))
+        named = stage_table(named, "class_labels")
+        least = named.groupBy(F.col("label").alias("_label")).agg(F.min("least").alias("component"))
+        found = named.join(least, F.col("label") == F.col("_label")).select("_c", "component")
+        joined = sizes.join(found, F.col("c") == F.col("_c"), "left")
+        component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")).alias("component")
+        return own.result(joined.select("_id", "_k", "n", "c", component), "set_components")
 
 
 def report(docs: DataFrame) -> DataFrame:
