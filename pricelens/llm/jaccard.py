@@ -302,7 +302,14 @@ def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle:
 
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Per pair, the common n-grams ``o`` in the fragments of ``parts``, counted one by one and summed."""
+    """Per pair, the common n-grams ``o`` in the fragments of ``parts``, counted one by one and summed.
+
+    Only segments of the pairs' own classes are shuffled: up to ``BROADCAST_ROWS`` of
+    these are told to every task that reads segments.
+    """
+    paired = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select("b")).distinct()
+    if 2 * pairs.count() <= BROADCAST_ROWS:
+        parts = parts.join(F.broadcast(paired), F.col("c") == F.col("_p"), "left_semi")
     left = pairs.select("a", "b").join(parts, F.col("a") == F.col("c")).select("a", "b", "fragment", F.col("part").alias("_pa"))
     right = parts.select(F.col("c").alias("_c"), F.col("fragment").alias("_f"), F.col("part").alias("_pb"))
     both = left.join(right, (F.col("b") == F.col("_c")) & (F.col("fragment") == F.col("_f")))
