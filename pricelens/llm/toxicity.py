@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import string
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,8 +76,12 @@ def plain_words(text: str | None) -> list[str]:
 def terms(words: Column) -> Column:
     """Words and their beginnings."""
     longer = F.filter(words, lambda w: F.length(w) > max(PREFIXES))
-    starts = [F.transform(longer, lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
-    return F.concat(words, *starts)
+    return F.concat(words, *[F.transform(longer, beginning(n)) for n in PREFIXES])
+
+
+def beginning(n: int) -> Callable[[Column], Column]:
+    """A word's first ``n`` letters and a star; ``transform`` would give a second parameter the word's place."""
+    return lambda w: F.concat(F.substring(w, 1, n), F.lit("*"))
 
 
 def used_terms(words: list[str], place: dict[str, int]) -> dict[int, int]:
