@@ -12,13 +12,23 @@ a stream: a bucket of one class drops out, one of at most ``SMALL_BUCKET`` class
 gives its pairs there and then, distinct ones only, and rows of larger buckets pass
 through. The first shared n-gram's places bound the overlap (position filter).
 
+Order in rounds. Two classes that share a prefix n-gram of a small bucket are a pair by
+then; all others that may link meet in larger buckets only. So the n-grams of these
+buckets move to the end of the order as well, and the prefixes of their classes alone
+are cut and compared anew, ``ORDER_ROUNDS`` times. A passage that many texts share
+leaves their prefixes; what stays in large buckets are groups of near copies.
+
+Parity filter. A class has a bit string of 2 n bits or more: each tells whether an odd
+number of its n-grams falls on it. Two strings differ in no more bits than their sets
+differ in n-grams, so pairs that differ in too many go before any set is read.
+
 No pair need be tested within a component. So the pairs of small buckets are tested in
 rounds: in each of ``NEAREST_ROUNDS``, every class is paired with one neighbour in
 another component, the one of the least hash, which is the same for many classes; then
 come the pairs that are still open. A group of near copies is joined up by a few tests
-per class. Larger buckets are thinned by hubs: one member is paired with the others,
-and only pairs across the components found stay open. After ``HUB_ROUNDS`` all pairs
-still open are generated, so that none is lost.
+per class. Larger buckets are thinned by hubs: ``HUBS`` members are paired with the
+others, and only pairs across the components found stay open. After ``HUB_ROUNDS`` all
+pairs still open are generated, so that none is lost.
 
 Verification. The n-gram order is cut into ``FRAGMENTS`` vertical fragments, and a
 candidate's set into segments. Overlaps are counted fragment by fragment and summed
@@ -56,8 +66,9 @@ SHINGLE = 5
 PERCENT = 80
 FRAGMENTS = 8
 SMALL_BUCKET = 16
-HUB_ROUNDS = 2
+HUBS, HUB_ROUNDS = 8, 2
 NEAREST_ROUNDS = 2
+ORDER_ROUNDS = 2
 #: An n-gram is frequent if it occurs ``LOCAL`` times or more in some groups of about
 #: ``GROUP_BYTES`` bytes of text, and ``FREQUENT`` times in these together; of these, at
 #: most ``MOST_FREQUENT`` of the most frequent go last in the order. Any choice gives the
@@ -80,6 +91,21 @@ def set_key(shingles: np.ndarray) -> int:
     return int(mix(np.array([mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)])).view(np.int64)[0])
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Of 2 n places or more, a power of two: whether an odd number of n-grams falls on each."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """Places at which two parities differ, the longer one folded to the shorter: the sets differ in so many n-grams at least."""
+    a, b = sorted((one, two), key=len)
+    while len(b) > len(a):
+        half = len(b) // 2
+        b = (int.from_bytes(b[:half]) ^ int.from_bytes(b[half:])).to_bytes(half)
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -88,6 +114,7 @@ class Order:
     """The global n-gram order: by hash, then the frequent ones by rising count."""
 
     def __init__(self, frequent: list[tuple[int, int]]):
+        self.frequent = frequent
         known = np.array(frequent, np.int64).reshape(-1, 2)
         hashes = known[:, 0].copy().view(np.uint64)
         by_hash = np.argsort(hashes)
@@ -110,22 +137,23 @@ class Order:
 
 
 def set_sizes(rows: DataFrame, shingle: int) -> DataFrame:
-    """``_id``, ``_k``, set size ``n``, set key ``c`` and the size ``first`` of the first fragment of every row; stored."""
+    """``_id``, ``_k``, set size ``n``, set key ``c``, size ``first`` of the first fragment and ``parity`` of every row; stored."""
     edge = np.uint64((1 << 64) // FRAGMENTS)
 
     def sizes(batches):
         for batch in batches:
-            n, c, first = [], [], []
+            n, c, first, odd = [], [], [], []
             for group in chunks(batch.column("_text").to_pylist()):
                 for found in shingle_sets(group, shingle):
                     n.append(len(found))
                     c.append(set_key(found))
                     first.append(int(np.searchsorted(found, edge)))
-            columns = [batch.column("_id"), batch.column("_k"), *[pa.array(x, pa.int64()) for x in (n, c, first)]]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "_k", "n", "c", "first"])
+                    odd.append(parity(found))
+            columns = [batch.column("_id"), batch.column("_k"), *[pa.array(x, pa.int64()) for x in (n, c, first)], pa.array(odd, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_k", "n", "c", "first", "parity"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long, first long"), "set_sizes")
+    return stage_table(rows.mapInArrow(sizes, f"_id {id_type}, _k long, n long, c long, first long, parity binary"), "set_sizes")
 
 
 def global_order(rows: DataFrame, shingle: int) -> Order:
@@ -153,6 +181,15 @@ def global_order(rows: DataFrame, shingle: int) -> Order:
     return Order([(r.g, r.f) for r in top.collect()])
 
 
+def later(order: Order, large: DataFrame) -> Order:
+    """The order with the n-grams of larger buckets among the frequent ones; a bounded table reaches the driver."""
+    top = large.groupBy("g").agg(F.count("*").alias("f")).orderBy(F.desc("f"), "g").limit(MOST_FREQUENT)
+    counts = dict(order.frequent)
+    for r in top.collect():
+        counts[r.g] = max(r.f, counts.get(r.g, 0))
+    return Order(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:MOST_FREQUENT])
+
+
 def prefix_rows(rows: DataFrame, order: Order, shingle: int, percent: int) -> DataFrame:
     """A row per class and prefix n-gram: ``g``, set key ``c``, set size ``n``, place ``i``; a task tells a class once."""
     shared = rows.sparkSession.sparkContext.broadcast((order.hashes, order.rank))  # MOST_FREQUENT entries at most
@@ -268,8 +305,25 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(*columns).distinct()
 
 
-def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """Segments (``c``, ``fragment``, ``part``) of one text of each wanted class ``c``; stored, the first fragments apart.
+def parity_filter(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parities differ in no more places than linked sets may."""
+    wanted = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select("b")).distinct()
+    known = sizes.select("c", "parity").join(wanted, F.col("c") == F.col("_p"), "left_semi").groupBy("c").agg(F.any_value("parity").alias("parity"))
+    known = stage_table(known, "parities")
+    one = pairs.join(known.select(F.col("c").alias("_a"), F.col("parity").alias("_one")), F.col("a") == F.col("_a")).drop("_a")
+    both = one.join(known.select(F.col("c").alias("_b"), F.col("parity").alias("_two")), F.col("b") == F.col("_b")).drop("_b")
+
+    def near(batches):
+        for batch in batches:
+            na, nb, one, two = (batch.column(x).to_pylist() for x in ("na", "nb", "_one", "_two"))
+            keep = [least_difference(x, y) <= n + m - 2 * -(-(n + m) * percent // (100 + percent)) for n, m, x, y in zip(na, nb, one, two, strict=True)]
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "na", "nb", "_one", "_two").mapInArrow(near, pairs.select("a", "b", "na", "nb").schema)
+
+
+def class_texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text (``c``, ``_text``) of each wanted class ``c``.
 
     The rows to read, one per class, are broadcast below ``BROADCAST_ROWS`` of them and
     otherwise joined by shuffle.
@@ -277,7 +331,12 @@ def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle:
     chosen = classes.join(wanted.select(F.col("c").alias("_p")).distinct(), F.col("c") == F.col("_p"), "left_semi")
     chosen = stage_table(chosen.select(F.col("_one._id").alias("_wid"), F.col("_one._k").alias("_wk"), "c"), "candidates")
     side = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    texts = rows.join(side, (F.col("_k") == F.col("_wk")) & F.col("_id").eqNullSafe(F.col("_wid"))).select("c", "_text")
+    return rows.join(side, (F.col("_k") == F.col("_wk")) & F.col("_id").eqNullSafe(F.col("_wid"))).select("c", "_text")
+
+
+def class_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """Segments (``c``, ``fragment``, ``part``) of one text of each wanted class ``c``; stored, the first fragments apart."""
+    texts = class_texts(rows, classes, wanted)
     edges = np.array([(i << 64) // FRAGMENTS for i in range(1, FRAGMENTS)], np.uint64)
 
     def cut(batches):
@@ -336,19 +395,20 @@ def verified(classes: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int
 
 
 def hub_pairs(large: DataFrame, labels: DataFrame, percent: int, round_: int) -> DataFrame | None:
-    """Pairs of one member of each larger bucket with all others, across components; all pairs after the last round."""
+    """Pairs of ``HUBS`` members of each larger bucket with all others, across components; all pairs after the last round."""
     now = large.join(labels, F.col("c") == F.col("node"), "left").select("g", "c", "n", "i", F.coalesce("label", "c").alias("label"))
-    chance = F.xxhash64("c", F.lit(round_))
-    hub = F.min_by(F.struct(*[F.col(x).alias(f"{x}2") for x in ("c", "n", "i", "label")]), chance)
-    grouped = now.groupBy(F.col("g").alias("g2")).agg(F.min("label").alias("_l1"), F.max("label").alias("_l2"), hub.alias("_hub"))
-    open_ = stage_table(grouped.filter("_l1 <> _l2").select("g2", "_hub.*"), "open_buckets")
+    member = F.struct(*[F.col(x).alias(f"{x}2") for x in ("c", "n", "i", "label")])
+    hubs = F.array(*[F.min_by(member, F.xxhash64("c", F.lit(round_ * HUBS + j))) for j in range(HUBS)])
+    grouped = now.groupBy(F.col("g").alias("g2")).agg(F.min("label").alias("_l1"), F.max("label").alias("_l2"), hubs.alias("_hubs"))
+    hub = F.explode(F.array_distinct("_hubs")).alias("_hub")
+    open_ = stage_table(grouped.filter("_l1 <> _l2").select("g2", hub).select("g2", "_hub.*"), "open_buckets")
     if not open_.limit(1).count():
         return None
     one = now.select("g", *[F.col(x).alias(f"{x}1") for x in ("c", "n", "i", "label")])
     open_pair = (F.col("g") == F.col("g2")) & (F.col("label1") != F.col("label2")) & may_link(percent)
     if round_ < HUB_ROUNDS:
         return one.join(open_, open_pair)
-    two = stage_table(one.join(open_.select(F.col("g2").alias("_g")), F.col("g") == F.col("_g"), "left_semi"), "open_members")
+    two = stage_table(one.join(open_.select(F.col("g2").alias("_g")).distinct(), F.col("g") == F.col("_g"), "left_semi"), "open_members")
     other = two.select(*[F.col(x).alias(f"{x[:-1]}2" if x != "g" else "g2") for x in two.columns])
     return two.join(other, open_pair & (F.col("c1") < F.col("c2")))
 
@@ -368,15 +428,29 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return two.filter("_la <> _lb").select(*pairs.columns)
 
 
+def small_pairs(found: DataFrame) -> DataFrame:
+    return found.filter("c2 is not null").select(F.col("c").alias("c1"), F.col("n").alias("n1"), "c2", "n2")
+
+
+def large_rows(found: DataFrame) -> DataFrame:
+    return found.filter("c2 is null").select("g", "c", "n", "i")
+
+
 def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Components of the classes (``node``, ``label``) and one row per class."""
     classes = sizes.filter("n > 0").groupBy("c").agg(
         F.min("_id").alias("least"), F.min(F.struct("_id", "_k")).alias("_one"), F.min("first").alias("first")
     )
     classes = stage_table(classes, "classes")
-    found = buckets(prefix_rows(rows, global_order(rows, shingle), shingle, percent), percent)
-    small = found.filter("c2 is not null").select(F.col("c").alias("c1"), F.col("n").alias("n1"), "c2", "n2")
-    large = found.filter("c2 is null").select("g", "c", "n", "i")
+    order = global_order(rows, shingle)
+    found = buckets(prefix_rows(rows, order, shingle, percent), percent)
+    small, large = small_pairs(found), large_rows(found)
+    for _ in range(ORDER_ROUNDS):
+        if large.isEmpty():
+            break
+        order = later(order, large)
+        found = buckets(prefix_rows(class_texts(rows, classes, large), order, shingle, percent), percent)
+        small, large = small.unionAll(small_pairs(found)), large_rows(found)
     labels = rows.sparkSession.createDataFrame([], "node long, label long")
 
     def tested(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -386,7 +460,8 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
         # What is known goes in as stars, so only the new links make further rounds.
         return components(links.unionAll(labels.filter("node <> label").select("node", "label")))
 
-    pairs = stage_table(ordered(small), "small_pairs")
+    small = stage_table(ordered(small), "small_pairs")
+    pairs = stage_table(parity_filter(small, sizes, percent), "small_pairs")
     wanted = pairs.select(F.col("a").alias("c")).unionAll(pairs.select("b")).unionAll(large.select("c"))
     sets = class_sets(rows, classes, wanted, shingle)
     for round_ in range(NEAREST_ROUNDS + 1):
@@ -397,14 +472,14 @@ def class_links(rows: DataFrame, sizes: DataFrame, shingle: int, percent: int) -
         if round_ < NEAREST_ROUNDS:
             left = pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
             pairs = stage_table(across(left, labels), "small_pairs")
-    done = small.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+    done = small.select("a", "b")
     if not large.isEmpty():
         for round_ in range(HUB_ROUNDS + 1):
             met = hub_pairs(large, labels, percent, round_)
             if met is None:
                 break
             pairs = stage_table(ordered(met).join(done, ["a", "b"], "left_anti"), "candidate_pairs")
-            labels = tested(pairs, labels)
+            labels = tested(stage_table(parity_filter(pairs, sizes, percent), "candidate_pairs"), labels)
             done = done.unionAll(pairs.select("a", "b"))
     return labels, classes
 

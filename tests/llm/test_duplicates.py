@@ -124,3 +124,24 @@ def test_remove_repeats(make_docs):
     left = {r["doc_id"]: r["text"] for r in cut.collect()}
     assert passage[5:] not in left[1] and left[1].startswith("first") and left[1].endswith("tail") and left[4] == "plain" and left[3] is None
     assert suffix.report(docs.limit(0)).count() == 0
+
+
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(5)
+    for n, m, common in ((3, 2, 1), (40, 45, 38), (500, 620, 480), (64, 65, 64), (1000, 1250, 0)):
+        both = np.unique(rng.integers(0, 1 << 63, n + m - common, dtype=np.uint64))
+        one, two = both[:n], both[n - common :]
+        least = jaccard.least_difference(jaccard.parity(one), jaccard.parity(two))
+        assert least <= len(one) + len(two) - 2 * common
+    assert jaccard.least_difference(jaccard.parity(one), jaccard.parity(one)) == 0 and least > (1000 + 1250) // 9
+
+
+def test_a_shared_passage_makes_no_pairs_to_test(spark, make_docs, monkeypatch):
+    """60 texts that share a passage and nothing else, too few for the passage to be frequent beforehand."""
+    passage = [f"p{i}" for i in range(20)]
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(15)] + passage + [f"b{i}x{j}" for j in range(15)])) for i in range(60)]
+    tested = []
+    verified = jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda classes, sets, pairs, percent: tested.append(pairs.count()) or verified(classes, sets, pairs, percent))
+    assert {r.doc_id: r.component_id for r in jaccard.report(make_docs(rows)).collect()} == {i: i for i in range(60)}
+    assert sum(tested) == 0
