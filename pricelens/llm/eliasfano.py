@@ -49,15 +49,15 @@ class EliasFano:
         found = np.where(spill, found | (self.low_words[word + 1] << ((np.uint64(64) - shift) & np.uint64(63))), found)
         return found & np.uint64((1 << self.bits) - 1)
 
-    def _select(self, rank: np.ndarray, ones: bool) -> np.ndarray:
-        """Position of the rank-th (from 0) set or clear bit."""
-        if ones:
+    def _select(self, rank: np.ndarray, zeros: np.ndarray | None = None) -> np.ndarray:
+        """Position of the rank-th (from 0) set bit, or clear bit if the clear bits before each word are given."""
+        if zeros is None:
             word = np.searchsorted(self.ones, rank, side="right") - 1
             rest = rank - self.ones[word].astype(np.int64)
             value = np.array(self.high[word])
         else:
-            word = np.searchsorted(self._clear(), rank, side="right") - 1
-            rest = rank - self._clear()[word]
+            word = np.searchsorted(zeros, rank, side="right") - 1
+            rest = rank - zeros[word]
             value = ~np.array(self.high[word])
         place = np.zeros(len(rank), np.int64)
         for width in (32, 16, 8, 4, 2, 1):
@@ -67,7 +67,7 @@ class EliasFano:
             rest = rest - np.where(beyond, part, 0)
         return word * 64 + place
 
-    def _next_clear(self, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    def _next_clear(self, place: np.ndarray, rank: np.ndarray, zeros: np.ndarray) -> np.ndarray:
         """Position of the rank-th clear bit, the first one from ``place`` on."""
         word, shift = place >> 6, (place & 63).astype(np.uint64)
         ahead = self.high[np.minimum(word + 1, len(self.high) - 1)] << ((np.uint64(64) - shift) & np.uint64(63))
@@ -75,17 +75,16 @@ class EliasFano:
         found = place + np.bitwise_count((clear & (~clear + _ONE)) - _ONE)
         far = np.flatnonzero(clear == 0)
         if len(far):
-            found[far] = self._select(rank[far], False)
+            found[far] = self._select(rank[far], zeros)
         return found
 
     def _clear(self) -> np.ndarray:
-        if not hasattr(self, "_zeros"):
-            self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
-        return self._zeros
+        """Clear bits before each word; not kept, as a task opens very many sequences and they are mapped but for this."""
+        return np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
 
     def access(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
-        high = (self._select(i, True) - i).astype(np.uint64)
+        high = (self._select(i) - i).astype(np.uint64)
         return (high << np.uint64(self.bits)) | self._low(i)
 
     def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
@@ -102,8 +101,8 @@ class EliasFano:
         inside = part.astype(np.int64) < int(zeros[-1])
         which = np.flatnonzero(inside)
         h = part[which].astype(np.int64)
-        begin = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0) - h
-        end = self._next_clear(begin + h, h) - h
+        begin = np.where(h > 0, self._select(np.maximum(h - 1, 0), zeros) + 1, 0) - h
+        end = self._next_clear(begin + h, h, zeros) - h
         if first is not None:
             begin, end = np.maximum(begin, first[which]), np.minimum(end, last[which])
         low = x[which] & np.uint64((1 << self.bits) - 1)

@@ -287,8 +287,14 @@ def level_three(pairs: np.ndarray, words: np.ndarray, counts: np.ndarray, trie:
 
 
 def by_shard(batches, columns: list[str]):
-    """(shard, arrays) for rows that arrive sorted by shard."""
+    """(shard, arrays) for rows that arrive sorted by shard; nothing of a shard is held here while it is worked on."""
     now, parts = None, []
+
+    def taken() -> list[np.ndarray]:
+        found = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        parts.clear()
+        return found
+
     for batch in batches:
         shards = batch.column("shard").to_numpy(zero_copy_only=False)
         values = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
@@ -297,12 +303,11 @@ def by_shard(batches, columns: list[str]):
             if a == b:
                 continue
             if now is not None and shards[a] != now:
-                yield now, [np.concatenate(x) for x in zip(*parts, strict=True)]
-                parts = []
+                yield now, taken()
             now = int(shards[a])
             parts.append([v[a:b] for v in values])
     if now is not None:
-        yield now, [np.concatenate(x) for x in zip(*parts, strict=True)]
+        yield now, taken()
 
 
 def train(texts: DataFrame) -> Trie:

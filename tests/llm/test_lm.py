@@ -84,3 +84,12 @@ def test_too_many_words_are_refused(make_docs, monkeypatch):
     monkeypatch.setattr(lm, "MOST_WORDS", 2)
     with pytest.raises(ValueError, match="32 bits"):
         lm.report(make_docs([(i, "a b c") for i in range(9)]))
+
+
+def test_an_opened_sequence_keeps_no_memory_of_its_own():
+    values = np.cumsum(np.random.default_rng(2).integers(0, 90, 50_000)).astype(np.uint64)
+    opened = EliasFano(encode(values))
+    mapped = {id(x) for x in (opened.high, opened.ones, opened.low_words)}
+    present = np.unique(values)
+    assert (values[opened.find(present)] == present).all() and (opened.access(np.arange(len(values))) == values).all()
+    assert all(id(x) in mapped for x in vars(opened).values() if isinstance(x, np.ndarray))
