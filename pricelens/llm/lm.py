@@ -3,19 +3,27 @@
 Spark counts words, word pairs and triples of the training texts; tasks build the
 trie's levels into files of a shared folder; scoring tasks map those files and look
 up what their own documents hold, a batch of distinct pairs or triples at a time.
+All files of a level are mapped into one address space, so that a batch is looked up
+at once in however many shards it falls.
 
 Level 1, in shards by word hash: sorted hashes and counts; a word's id is its place.
-Level 2, in shards by (context, block of following words): the contexts and the
-pointers to their followers are Elias-Fano sequences; the followers of all contexts
-form a third one, each context's ids raised by the last value of the context
-before. A pair is found by a successor search relative to its context. Its smoothed
+Texts are cut into words for the counts and once more for the ``ids`` of all
+documents, which are stored; all later passes and the scores read those.
+Level 2, in shards by (context, block of following words): the contexts are an
+Elias-Fano sequence; the followers of all contexts form a second one, each context's
+ids raised by its place times the number of words, so that they stand between it and
+the next. A pair is found by a successor search relative to its context. Its smoothed
 probability is stored in 8 bits, an index into the shard's table of levels; its
-count is a difference of a fourth sequence.
+count is a difference of a third sequence.
 
 Level 3, in shards by (middle word, blocks of both others): as level 2, but a context
 is a pair's number (its node). Shards are counted, written and committed a range at
-a time, so that the exchange of one range is on disk; ``ids`` of the training tokens
-are stored once and read by each range.
+a time, so that the exchange of one range is on disk. Tables of more than
+``RANGES`` times ``TRIPLES_PER_RANGE`` tokens have larger ranges, not more: each range
+reads the ids of all training texts.
+
+Counts are exchanged as one packed row for each shard of about ``GATHERED`` tokens; the
+task that writes the shard sorts and sums them.
 
     p(w | u) = (c(u w) + MU p(w)) / (c(u) + MU),   p(w) = (c(w) + 1) / (N + V + 1)
     p(w | t u) = (c(t u w) + MU p(w | u)) / (c(t u) + MU)
@@ -43,26 +51,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.eliasfano import EliasFano, encode
-from pricelens.llm.files import map_arrays, write_arrays
+from pricelens.llm.eliasfano import PARTS, Sequences, encode
+from pricelens.llm.files import layout, map_space, write_arrays
 from pricelens.llm.hashing import chunks, mix, word_hashes
 from pricelens.session import scratch_path, stage_table
 
 MU = 4.0
 END = np.uint64(1)
-#: Tokens whose pairs are summed before they are shuffled.
+#: Tokens whose words, pairs or triples are summed before they are shuffled.
 GATHERED = 1_000_000
-#: Bytes of text whose pairs and triples are looked up at once.
-SCORED = 2 << 20
+#: Tokens whose pairs and triples are made distinct and looked up together.
+SCORED = 1 << 19
+#: Queries in one pass through a level; queries a shard from which on shards are passed one by one.
+ASKED = 1 << 14
+ALONE = 1000
 WORDS_PER_SHARD = 500_000
 PAIRS_PER_SHARD = 1_000_000
 MAX_SHARDS = 4096
-#: Words that ids of 32 bits tell apart; more are refused.
+SHARD_BITS = np.uint64(12)
+#: Words that ids of 32 bits tell apart; more are refused. As an id: an unknown word.
 MOST_WORDS = (1 << 32) - 1
+UNKNOWN = np.uint32((1 << 32) - 1)
+LOW = np.uint64((1 << 32) - 1)
+HALF = np.uint64(32)
 BLOCK_BITS = 12
 FIRST_BITS = 14
-#: Training tokens whose triples are exchanged at a time.
+#: Training tokens whose triples are exchanged at a time, as long as that makes no more than ``RANGES``.
 TRIPLES_PER_RANGE = 32_000_000
+RANGES = 4
 
 
 def held_out(id_col: Column) -> Column:
@@ -81,28 +97,131 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return tokens, sizes
 
 
-def before(tokens: np.ndarray, sizes: np.ndarray, end) -> np.ndarray:
-    """Each token's context: the token before it, or the end token at a start."""
-    context = np.empty_like(tokens)
-    context[1:] = tokens[:-1]
-    context[(np.cumsum(sizes) - sizes)] = end
-    return context
-
-
 def shard_count(n: int, per_shard: int) -> int:
     """A power of two from 16 to MAX_SHARDS."""
     return min(MAX_SHARDS, max(16, 1 << max(0, -(-n // per_shard) - 1).bit_length()))
 
 
-def pair_shard(context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    spread = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (word.astype(np.uint64) >> np.uint64(BLOCK_BITS))
-    return (mix(spread) % np.uint64(shards)).astype(np.int64)
-
+def spread(first: np.ndarray | None, context: np.ndarray, word: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shards (a power of two) of pairs, or of triples; and 64 bits that order them by shard and tell them apart."""
+    context, word = context.astype(np.uint64), word.astype(np.uint64)
+    block, own = word >> np.uint64(BLOCK_BITS), word & np.uint64((1 << BLOCK_BITS) - 1)
+    key = context * np.uint64(0x9E3779B97F4A7C15) + block
+    own = own * np.uint64(0xD6E8FEB86659FD93)
+    if first is not None:
+        first = first.astype(np.uint64)
+        key += (first >> np.uint64(FIRST_BITS)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        own += (first & np.uint64((1 << FIRST_BITS) - 1)) * np.uint64(0xA0761D6478BD642F)
+    key = mix(key)
+    shard = key & np.uint64(shards - 1)
+    return shard.astype(np.int64), (shard << (np.uint64(64) - SHARD_BITS)) | ((key + own) >> SHARD_BITS)
+
+
+def alike(mixed: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by the top bits of ``mixed``, and where in it runs of equal keys begin.
+
+    Equal keys have equal ``mixed``; where others share its top bits, they may be several runs.
+    """
+    bits = max(1, (len(mixed) - 1).bit_length())
+    low = np.uint64((1 << bits) - 1)
+    order = (np.sort((mixed & ~low) | np.arange(len(mixed), dtype=np.uint64)) & low).astype(np.int64)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    return order, np.flatnonzero(new)
+
+
+def groups_of(mixed: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each group of equal keys, and every place's group."""
+    order, first = alike(mixed, *keys)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    return order[first], place
+
+
+def in_file_order(shard: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """An order of queries by shard, then context: what they read stands side by side."""
+    bits = max(1, (len(shard) - 1).bit_length())
+    contexts = contexts.astype(np.uint64)
+    room = 64 - int(SHARD_BITS) - bits
+    over = max(0, int(contexts.max(initial=0)).bit_length() - room)
+    key = (shard.astype(np.uint64) << (np.uint64(64) - SHARD_BITS)) | ((contexts >> np.uint64(over)) << np.uint64(bits)) | np.arange(len(shard), dtype=np.uint64)
+    return (np.sort(key) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def places(arrays: dict[str, np.ndarray], sequences: tuple[str, ...]) -> list[int]:
+    """The manifest of a shard's file: its size, where its levels and chances begin, and its sequences' meta and parts."""
+    _, starts, size = layout(arrays)
+    found = [size, starts["levels"] // 8, starts["chance"]]
+    for name in sequences:
+        found += arrays[f"{name}_meta"].tolist()
+        found += [starts[f"{name}_{part}"] // (8 if part in ("high", "low") else 4) for part in PARTS]
+    return found
+
+
+class Level:
+    """Shards of pairs or triples; their files are mapped when first used."""
+
+    def __init__(self, folder: str, rows: list[tuple], shards: int, kinds: int, sequences: tuple[str, ...]):
+        rows = sorted(rows)
+        self.folder, self.shards, self.kinds, self.sequences = folder, shards, kinds, sequences
+        self.files = [r[1] for r in rows]
+        #: Row of each shard; number of its first entry; its manifest.
+        self.row = np.full(shards, -1, np.int64)
+        self.row[[r[0] for r in rows]] = np.arange(len(rows))
+        self.first = np.cumsum([0] + [r[2] for r in rows])
+        self.places = np.array([r[3] for r in rows], np.int64).reshape(len(rows), 3 + len(sequences) * (3 + len(PARTS)))
+        self._space: np.ndarray | None = None
 
-def triple_shard(first: np.ndarray, context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    spread = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (word.astype(np.uint64) >> np.uint64(BLOCK_BITS))
-    spread += (first.astype(np.uint64) >> np.uint64(FIRST_BITS)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (mix(spread) % np.uint64(shards)).astype(np.int64)
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")} | {"_space": None}
+
+    def _open(self) -> None:
+        if self._space is not None:
+            return
+        self._space, begin = map_space(self.folder, self.files, self.places[:, 0].tolist())
+        half, self._bytes, self._values = self._space.view(np.uint32), self._space.view(np.uint8), self._space.view(np.float64)
+        self._levels, self._chances = self.places[:, 1] + begin // 8, self.places[:, 2] + begin
+        self._found = {}
+        for i, name in enumerate(self.sequences):
+            at = 3 + i * (3 + len(PARTS))
+            starts = self.places[:, at + 3 : at + 3 + len(PARTS)] + np.stack([begin // (8 if part in ("high", "low") else 4) for part in PARTS], axis=1)
+            self._found[name] = Sequences([self._space, half, half, half, self._space], self.places[:, at : at + 3], starts)
+
+    def find(self, shard: np.ndarray, contexts: np.ndarray, words: np.ndarray):
+        """Parts of the queries whose words follow their context: which, the rows of their shards (one number for all, or each), and their places there."""
+        self._open()
+        order = in_file_order(shard, contexts)
+        row = self.row[shard[order]]
+        cuts = np.flatnonzero(np.diff(row, prepend=-2))
+        alone = len(cuts) * ALONE <= len(row)  # many queries a shard: its parameters are numbers
+        cuts = np.append(cuts, len(row)).tolist() if alone else [0, len(row)]
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            for a in range(begin, end, ASKED):
+                which = order[a : min(a + ASKED, end)]
+                if alone:
+                    some = row[a]
+                    if some < 0:
+                        continue
+                else:
+                    some = row[a : a + len(which)]
+                    there = np.flatnonzero(some >= 0)
+                    which, some = which[there], some[there]
+                node = self._found["context"].find(some, contexts[which].astype(np.uint64))
+                known = np.flatnonzero(node >= 0)
+                which, some = which[known], some if alone else some[known]
+                at = self._found["word"].find(some, node[known].astype(np.uint64) * np.uint64(self.kinds) + words[which].astype(np.uint64))
+                known = np.flatnonzero(at >= 0)
+                yield which[known], some if alone else some[known], at[known]
+
+    def stored(self, row, at: np.ndarray) -> np.ndarray:
+        """Stored log10 probabilities."""
+        return self._values[self._levels[row] + self._bytes[self._chances[row] + at]]
+
+    def counts(self, row, at: np.ndarray) -> np.ndarray:
+        return self._found["count"].steps(row, at).astype(np.int64)
 
 
 class Trie:
@@ -113,131 +232,117 @@ class Trie:
         self.starts = np.cumsum([0] + [w[1] for w in words])
         self.kinds = int(self.starts[-1])
         self.shift = 64 - (len(words).bit_length() - 1)
-        self.pairs: dict[int, str] = {}
-        self.pair_shards = 16
-        #: Number of each shard's first pair.
-        self.pair_starts: dict[int, int] = {}
-        self.triples: dict[int, str] = {}
-        self.triple_shards = 16
-        self._open: dict[str, dict] = {}
+        self.pairs = self.triples = None
+        self._open: list | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_open": {}}
-
-    def _arrays(self, name: str) -> dict:
-        if name not in self._open:
-            self._open[name] = map_arrays(self.folder, name)
-        return self._open[name]
-
-    def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts of tokens."""
-        kinds, place = np.unique(hashes, return_inverse=True)
-        ids, counts = np.full(len(kinds), -1, np.int64), np.zeros(len(kinds), np.int64)
+        return self.__dict__ | {"_open": None}
+
+    def _words(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Hashes and counts of each shard."""
+        if self._open is None:
+            space, begin = map_space(self.folder, [w[0] for w in self.words if w[1]], [w[2] for w in self.words if w[1]])
+            signed, at = space.view(np.int64), dict(zip([s for s, w in enumerate(self.words) if w[1]], (begin // 8).tolist(), strict=True))
+            self._open = [
+                (space[at[s] + h // 8 :][:n], signed[at[s] + c // 8 :][:n]) if n else (space[:0], signed[:0])
+                for s, (_, n, _, h, c) in enumerate(self.words)
+            ]
+        return self._open
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of tokens."""
+        one, place = groups_of(hashes, hashes)
+        kinds = hashes[one]
+        ids = np.full(len(kinds), UNKNOWN, np.uint32)
         shards = (kinds >> np.uint64(self.shift)).astype(np.int64)
         cuts = np.searchsorted(shards, np.arange(len(self.words) + 1))
-        for s, (name, n) in enumerate(self.words):
+        for s, (known, _) in enumerate(self._words()):
             a, b = cuts[s], cuts[s + 1]
-            if a == b or not n:
+            if a == b or not len(known):
                 continue
-            level = self._arrays(name)
-            at = np.minimum(np.searchsorted(level["hash"], kinds[a:b]), n - 1)
-            known = level["hash"][at] == kinds[a:b]
-            ids[a:b] = np.where(known, at + self.starts[s], -1)
-            counts[a:b] = np.where(known, level["count"][at], 0)
-        return ids[place], counts[place]
+            at = np.minimum(np.searchsorted(known, kinds[a:b]), len(known) - 1)
+            ids[a:b] = np.where(known[at] == kinds[a:b], (at + self.starts[s]).astype(np.uint32), UNKNOWN)
+        return ids[place]
+
+    def end(self) -> np.uint32:
+        return self.lookup(np.array([END]))[0]
 
     def counts_of(self, ids: np.ndarray) -> np.ndarray:
         """Counts of sorted known ids."""
         found = np.zeros(len(ids), np.int64)
         cuts = np.searchsorted(ids, self.starts)
-        for s, (name, n) in enumerate(self.words):
+        for s, (_, counts) in enumerate(self._words()):
             if cuts[s] < cuts[s + 1]:
-                found[cuts[s] : cuts[s + 1]] = self._arrays(name)["count"][ids[cuts[s] : cuts[s + 1]] - self.starts[s]]
+                found[cuts[s] : cuts[s + 1]] = counts[ids[cuts[s] : cuts[s + 1]].astype(np.int64) - self.starts[s]]
         return found
 
     def word_chance(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.kinds + 1)
 
-    def followers(self, name: str, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
-        """Which of the words follow their context in a file, their places there, and its arrays.
-
-        Equal nodes stand together, best in order: each is looked up once.
-        """
-        level = self._arrays(name)
-        if "_ready" not in level:
-            level["_ready"] = [EliasFano(level, f"{x}_") for x in ("context", "pointer", "word")]
-        context, pointer, word = level["_ready"]
-        new = np.concatenate([[True], nodes[1:] != nodes[:-1]])
-        node = context.find(nodes[new])
-        known = node >= 0
-        which = np.flatnonzero(known[np.cumsum(new) - 1])
-        if not len(which):
-            return which, which, level
-        node = node[known]
-        first, last = pointer.access(node).astype(np.int64), pointer.access(node + 1).astype(np.int64)
-        base = np.where(first > 0, word.access(np.maximum(first - 1, 0)), np.uint64(0))
-        own = (np.cumsum(known) - 1)[(np.cumsum(new) - 1)[which]]
-        at = word.find(base[own] + words[which].astype(np.uint64) + np.uint64(1), first[own], last[own])
-        return which[at >= 0], at[at >= 0], level
-
-    def pair_facts(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes, counts and stored log10 probabilities of pairs of known ids; -1, 0 and NaN for unseen ones."""
+    def pair_facts(self, shard: np.ndarray, contexts: np.ndarray, words: np.ndarray, counted: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes, counts (if wanted) and stored log10 probabilities of pairs of known ids; -1, 0 and NaN for unseen ones."""
         node, count, found = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64), np.full(len(words), np.nan)
-        for which, name, shard in by_file(pair_shard(contexts, words, self.pair_shards), self.pairs):
-            seen, at, level = self.followers(name, contexts[which], words[which])
-            if "_counts" not in level:
-                level["_counts"] = EliasFano(level, "count_")
-            which = which[seen]
-            node[which] = self.pair_starts[shard] + at
-            count[which] = (level["_counts"].access(at + 1) - level["_counts"].access(at)).astype(np.int64)
-            found[which] = level["levels"][level["chance"][at]]
+        for which, row, at in self.pairs.find(shard, contexts, words):
+            node[which], found[which] = self.pairs.first[row] + at, self.pairs.stored(row, at)
+            if counted:
+                count[which] = self.pairs.counts(row, at)
         return node, count, found
 
-    def triple_scores(self, firsts: np.ndarray, contexts: np.ndarray, words: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    def triple_scores(self, shard: np.ndarray, nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Stored log10 probabilities of words after pairs, whose nodes are given; NaN for unseen triples."""
         found = np.full(len(words), np.nan)
-        for which, name, _ in by_file(triple_shard(firsts, contexts, words, self.triple_shards), self.triples):
-            seen, at, level = self.followers(name, nodes[which], words[which])
-            found[which[seen]] = level["levels"][level["chance"][at]]
+        for which, row, at in self.triples.find(shard, nodes, words):
+            found[which] = self.triples.stored(row, at)
         return found
 
-    def score(self, texts: list[bytes]) -> dict[str, np.ndarray]:
-        tokens, sizes = tokens_of(texts)
-        ids, counts = self.lookup(tokens)
-        end_id, end_count = self.lookup(np.array([END]))
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        base = np.log10(self.word_chance(counts))
-        context, seen = before(ids, sizes, end_id[0]), before(counts, sizes, end_count[0])
-        logs = base + np.where(context >= 0, np.log10(MU / (seen + MU)), 0.0)
-        both = np.flatnonzero((context >= 0) & (ids >= 0))
-        keys, place = np.unique((context[both].astype(np.uint64) << np.uint64(32)) | ids[both].astype(np.uint64), return_inverse=True)
-        node, together, stored = (x[place] for x in self.pair_facts((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)))
-        logs[both] = np.where(np.isnan(stored), logs[both], stored)
-        total = lambda x: np.bincount(owner, x, minlength=len(texts))
-        pair, pair_count = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
-        pair[both], pair_count[both] = node, together
-        inside = np.ones(len(ids), bool)
-        inside[np.cumsum(sizes) - sizes] = False
-        at = np.flatnonzero(inside)
+    def score(self, ids: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
+        """Scores of whole texts, whose ids follow one another; each ends with the end token, and none is empty."""
+        n, end = len(sizes), self.end()
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        starts = np.zeros(len(ids), bool)
+        starts[np.cumsum(sizes) - sizes] = True
+        padded = np.concatenate([np.full(2, end, np.uint32), ids])
+        totals = {name: np.zeros(n) for name in ("n_known", "base_score", "score", "score2")}
+        for a in range(0, len(ids), SCORED):
+            b, begin = min(a + SCORED, len(ids)), max(a - 1, 0)  # the pair before the first token is its context
+            known, base, logs, deep = self._logs(padded[begin : b + 2], starts[begin:b])
+            own = owner[a:b]
+            for name, values in zip(totals, (known, base, deep, logs), strict=True):
+                totals[name][own[0] : own[-1] + 1] += np.bincount(own - own[0], values[a - begin :])
+        return {"n_tokens": sizes, **totals, "n_known": totals["n_known"].astype(np.int64)}
+
+    def _logs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For the tokens from the third on: which are known, and log10 probabilities from words, pairs and all levels."""
+        one, place = groups_of(ids[1:].astype(np.uint64) << HALF, ids[1:])
+        kinds = ids[1:][one]
+        there = kinds != UNKNOWN
+        counts = np.zeros(len(kinds), np.int64)
+        counts[there] = self.counts_of(kinds[there])
+        first, context, word = ids[:-2], ids[1:-1], ids[2:]
+        known = there[place]
+        base = np.log10(self.word_chance(counts))[place[1:]]
+        logs = base + np.where(there, np.log10(MU / (counts + MU)), 0.0)[place[:-1]]
+        known, both = known[1:], np.flatnonzero(known[1:] & known[:-1])
+        pair = np.full(len(word), -1, np.int64)
+        if not len(both):
+            return known, base, logs, logs
+        shard, mixed = spread(None, context[both], word[both], self.pairs.shards)
+        one, pair[both] = groups_of(mixed, context[both], word[both])
+        node, count, stored = self.pair_facts(shard[one], context[both][one], word[both][one])
+        place, rest = pair[both], logs[both]
+        logs[both] = np.where(np.isnan(stored[place]), rest, stored[place])
+        at = np.flatnonzero(~starts[1:]) + 1
         at = at[pair[at - 1] >= 0]
+        at = at[node[pair[at - 1]] >= 0]
         deep = logs.copy()
-        deep[at] += np.log10(MU / (pair_count[at - 1] + MU))
-        at = at[ids[at] >= 0]
-        rank = np.unique(pair[at - 1], return_inverse=True)[1].astype(np.uint64)
-        _, one, place = np.unique((rank << np.uint64(32)) | ids[at].astype(np.uint64), return_index=True, return_inverse=True)
-        one = at[one]
-        stored = self.triple_scores(context[one - 1], ids[one - 1], ids[one], pair[one - 1])[place]
+        deep[at] += np.log10(MU / (count + MU))[pair[at - 1]]
+        at = at[known[at]]
+        before = pair[at - 1]
+        shard, mixed = spread(first[at], context[at], word[at], self.triples.shards)
+        one, place = groups_of(mixed, before, word[at])
+        stored = self.triple_scores(shard[one], node[before[one]], word[at][one])[place]
         deep[at] = np.where(np.isnan(stored), deep[at], stored)
-        return {"n_tokens": sizes, "n_known": total(counts > 0).astype(np.int64), "base_score": total(base), "score": total(deep), "score2": total(logs)}
-
-
-def by_file(shards: np.ndarray, files: dict[int, str]):
-    """(places, file, shard) of each shard that occurs and has a file."""
-    order = np.argsort(shards, kind="stable")
-    kinds, first = np.unique(shards[order], return_index=True)
-    for shard, which in zip(kinds.tolist(), np.split(order, first[1:]), strict=True) if len(order) else ():
-        if shard in files:
-            yield which, files[shard], shard
+        return known, base, logs, deep
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,40 +355,39 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount(step, values, minlength=256) / np.maximum(n, 1), step
 
 
-def level_arrays(contexts: np.ndarray, words: np.ndarray, logs: np.ndarray) -> dict[str, np.ndarray]:
+def level_arrays(contexts: np.ndarray, words: np.ndarray, logs: np.ndarray, kinds: int) -> dict[str, np.ndarray]:
     """A shard's arrays from distinct (context, word) in this order and their log10 probabilities."""
-    nodes, first = np.unique(contexts, return_index=True)
-    last = np.append(first[1:], len(words)) - 1
-    raised = np.cumsum(words[last] + 1)
-    offsets = np.concatenate([[0], raised[:-1]])
-    followers = words + 1 + np.repeat(offsets, last - first + 1)
+    new = np.ones(len(contexts), bool)
+    new[1:] = contexts[1:] != contexts[:-1]
+    followers = (np.cumsum(new) - 1).astype(np.uint64) * np.uint64(kinds) + words.astype(np.uint64)
     levels, level = quantise(logs)
-    parts = {"context": nodes, "pointer": np.append(first, len(words)), "word": followers}
+    parts = {"context": contexts[new], "word": followers}
     arrays = {f"{name}_{k}": v for name, values in parts.items() for k, v in encode(values).items()}
     return arrays | {"levels": levels, "chance": level}
 
 
 def level_two(keys: np.ndarray, counts: np.ndarray, trie: Trie) -> dict[str, np.ndarray]:
     """A shard's arrays from its distinct sorted pairs (context << 32 | word)."""
-    contexts, words = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    contexts, words = (keys >> HALF).astype(np.int64), (keys & LOW).astype(np.int64)
     kinds, place = np.unique(words, return_inverse=True)
     chance = trie.word_chance(trie.counts_of(kinds))[place]
     nodes, place = np.unique(contexts, return_inverse=True)
     total = trie.counts_of(nodes)[place]
-    arrays = level_arrays(contexts, words, np.log10((counts + MU * chance) / (total + MU)))
+    arrays = level_arrays(contexts, words, np.log10((counts + MU * chance) / (total + MU)), trie.kinds)
     return arrays | {f"count_{k}": v for k, v in encode(np.concatenate([[0], np.cumsum(counts)])).items()}
 
 
 def level_three(pairs: np.ndarray, words: np.ndarray, counts: np.ndarray, trie: Trie) -> dict[str, np.ndarray]:
     """A shard's arrays from its distinct triples (pair's first << 32 | second, word)."""
-    low = np.uint64(0xFFFFFFFF)
-    kinds, place = np.unique(pairs, return_inverse=True)
-    node, total, _ = trie.pair_facts((kinds >> np.uint64(32)).astype(np.int64), (kinds & low).astype(np.int64))
-    node, total = node[place], total[place]
-    kinds, place = np.unique((pairs << np.uint64(32)) | words.astype(np.uint64), return_inverse=True)
-    chance = 10 ** trie.pair_facts((kinds >> np.uint64(32)).astype(np.int64), (kinds & low).astype(np.int64))[2][place]
-    order = np.lexsort((words, node))
-    return level_arrays(node[order], words[order], np.log10((counts + MU * chance) / (total + MU))[order])
+    facts = []
+    for first, second, counted in ((pairs >> HALF, pairs & LOW, True), (pairs & LOW, words.astype(np.uint64), False)):
+        shard, mixed = spread(None, first, second, trie.pairs.shards)
+        one, place = groups_of(mixed, first, second)
+        facts.append([x[place] for x in trie.pair_facts(shard[one], first[one], second[one], counted)])
+    (node, total, _), (_, _, log) = facts
+    # a node and a word order as one number where both fit
+    order = np.argsort(node * trie.kinds + words) if (int(node.max()) + 1) * trie.kinds < 1 << 63 else np.lexsort((words, node))
+    return level_arrays(node[order], words[order], np.log10((counts + MU * 10**log) / (total + MU))[order], trie.kinds)
 
 
 def by_shard(batches, columns: list[str]):
@@ -310,17 +414,91 @@ def by_shard(batches, columns: list[str]):
         yield now, taken()
 
 
-def train(texts: DataFrame) -> Trie:
-    """Build the trie from a table with one binary column ``_text``."""
-    folder = scratch_path(texts.sparkSession, "lm")
+def packed(shard: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """A row for each shard with its part of the 32-bit columns, which stand in order of shard; equal bytes of their numbers side by side."""
+    cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+    planes = [(c >> np.uint32(8 * i)).astype(np.uint8).tobytes() for c in columns for i in range(4)]
+    data = [b"".join([p[a:b] for p in planes]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(shard)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int32)), pa.array(data, pa.binary())], ["shard", "data"])
+
+
+def unpacked(batches, columns: int):
+    """(shard, columns) for rows of ``packed`` that arrive sorted by shard; nothing of a shard is held here while it is worked on."""
+    now, parts = None, []
+
+    def taken() -> list[np.ndarray]:
+        planes = [np.concatenate([p[i] for p in parts]).astype(np.uint32) for i in range(4 * columns)]
+        parts.clear()
+        return [a | (b << np.uint32(8)) | (c << np.uint32(16)) | (d << np.uint32(24)) for a, b, c, d in zip(*(planes[i::4] for i in range(4)), strict=True)]
+
+    for batch in batches:
+        for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data"), strict=True):
+            if now is not None and shard != now:
+                yield now, taken()
+            now = shard
+            parts.append(np.frombuffer(data.as_buffer(), np.uint8).reshape(4 * columns, -1))
+    if now is not None:
+        yield now, taken()
+
+
+def ids_of(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch's texts behind one another, and tokens per text."""
+    column = batch.column("ids")
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    ids = np.frombuffer(data, np.uint8, int(offsets[-1] - offsets[0]), int(offsets[0])).view(np.uint32) if data is not None else np.zeros(0, np.uint32)
+    return ids, np.diff(offsets) // 4
+
+
+def blocks(batches, end: np.uint32):
+    """Up to ``ASKED`` ids of training texts, and those one and two places before them."""
+    for batch in batches:
+        ids, _ = ids_of(batch)
+        padded = np.concatenate([np.full(2, end, np.uint32), ids])
+        for a in range(0, len(ids), ASKED):
+            b = min(a + ASKED, len(ids))
+            yield padded[a + 2 : b + 2], padded[a + 1 : b + 1], padded[a:b]
+
+
+def gathered(parts):
+    """Tuples of arrays, joined until they have ``GATHERED`` entries."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= GATHERED:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, n = [], 0
+    if n:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def summed(mixed: np.ndarray, counts: np.ndarray | None, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distinct keys in an order by ``mixed``, and their counts; a key may come more than once (see ``alike``)."""
+    order, first = alike(mixed, *keys)
+    if counts is None:
+        return order[first], np.diff(np.append(first, len(order)))
+    return order[first], np.add.reduceat(counts[order], first)
+
+
+def distinct(mixed: np.ndarray, asked: int) -> bool:
+    """Whether keys that ``summed`` left of ``asked`` ones are certain to come once: no two share the bits it sorted by."""
+    top = mixed >> np.uint64(max(1, (asked - 1).bit_length()))
+    return bool((top[1:] != top[:-1]).all())
+
+
+def train(rows: DataFrame) -> tuple[Trie, DataFrame]:
+    """Build the trie from the texts (binary ``_text``) that are not ``held_out``; also the ``ids`` of all texts."""
+    folder = scratch_path(rows.sparkSession, "lm")
 
     def count_words(batches):
-        for batch in batches:
-            for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
-                kinds, counts = np.unique(tokens_of(group)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(counts)], ["h", "c"])
+        tokens = ((tokens_of(group)[0],) for batch in batches for group in chunks((x or b"" for x in batch.column("_text").to_pylist())))
+        for (some,) in gathered(tokens):
+            kinds, counts = np.unique(some, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(counts)], ["h", "c"])
 
-    counts = texts.select("_text").mapInArrow(count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    counts = rows.filter(~F.col("held_out")).select("_text").mapInArrow(count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     counts = stage_table(counts, "lm_words")
     kinds, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     if kinds > MOST_WORDS:
@@ -330,131 +508,133 @@ def train(texts: DataFrame) -> Trie:
 
     def write_words(batches):
         for shard, (h, c) in by_shard(batches, ["h", "c"]):
-            name = write_arrays(folder, {"hash": h.view(np.uint64), "count": c})
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [name], "n": [len(h)]})
+            arrays = {"hash": h.view(np.uint64), "count": c}
+            _, starts, size = layout(arrays)
+            row = {"shard": [shard], "file": [write_arrays(folder, arrays)], "n": [len(h)], "size": [size], "hash": [starts["hash"]], "count": [starts["count"]]}
+            yield pa.RecordBatch.from_pydict(row)
 
     sharded = counts.withColumn("shard", F.shiftrightunsigned("h", shift))
-    written = sharded.repartition(shards, "shard").sortWithinPartitions("shard", "h").mapInArrow(write_words, "shard long, file string, n long")
-    level_one = {r.shard: (r.file, r.n) for r in stage_table(written, "lm_level1").collect()}  # a row per shard
-    trie = Trie(folder, [level_one.get(s, ("", 0)) for s in range(shards)], tokens)
-
-    pair_shards = trie.pair_shards = shard_count(tokens, PAIRS_PER_SHARD)
+    written = sharded.repartition(shards, "shard").sortWithinPartitions("shard", "h").mapInArrow(
+        write_words, "shard long, file string, n long, size long, hash long, count long"
+    )
+    level_one = {r[0]: tuple(r[1:]) for r in stage_table(written, "lm_level1").collect()}  # a row per shard
+    trie = Trie(folder, [level_one.get(s, ("", 0, 0, 0, 0)) for s in range(shards)], tokens)
 
     def number(batches):
         for batch in batches:
+            at = 0
             for group in chunks((x or b"" for x in batch.column("_text").to_pylist())):
-                ids = trie.lookup(tokens_of(group)[0])[0]
-                yield pa.RecordBatch.from_arrays([pa.array([ids.astype(np.uint32).tobytes()], pa.binary())], ["ids"])
+                hashes, sizes = tokens_of(group)
+                offsets = np.concatenate([[0], np.cumsum(sizes * 4)]).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(group), [None, pa.py_buffer(offsets), pa.py_buffer(trie.lookup(hashes))])
+                part = batch.slice(at, len(group))
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("held_out"), ids], ["_id", "held_out", "ids"])
+                at += len(group)
 
     # every training token is known, and every text is closed by the end token
-    numbered = stage_table(texts.select("_text").mapInArrow(number, "ids binary"), "lm_ids")
+    id_type = rows.schema["_id"].dataType.simpleString()
+    numbered = stage_table(rows.select("_id", "held_out", "_text").mapInArrow(number, f"_id {id_type}, held_out boolean, ids binary"), "lm_ids")
+    training = numbered.filter(~F.col("held_out")).select("ids")
+    shards = shard_count(tokens, PAIRS_PER_SHARD)
+    train_pairs(training, trie, shards)
+    train_triples(training, trie, shards)
+    return trie, numbered
+
+
+def written(packs: DataFrame, name: str, parts: int, write) -> list[tuple]:
+    """The manifest of the shards that ``write`` stores from packed rows."""
+    dealt = packs.repartitionById(parts, F.col("shard") % parts).sortWithinPartitions("shard")
+    return [tuple(r) for r in stage_table(dealt.mapInArrow(write, "shard long, file string, n long, places array<long>"), name).collect()]
 
-    def groups(batches):
-        """Ids of whole texts, and those one and two places before them."""
-        end_id = trie.lookup(np.array([END]))[0].astype(np.uint64)
-        for batch in batches:
-            for data in batch.column("ids"):
-                ids = np.frombuffer(data.as_buffer(), np.uint32).astype(np.uint64)
-                padded = np.concatenate([end_id, end_id, ids])
-                yield ids, padded[1:-1], padded[:-2], end_id[0]
-
-    def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        shard = pair_shard((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), pair_shards)
-        order = np.argsort(shard, kind="stable")
-        columns = [pa.array(shard[order].astype(np.int32)), pa.array(keys[order].view(np.int64)), pa.array(counts[order].astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "k", "c"])
-
-    def count_pairs(batches):
-        parts: list[np.ndarray] = []
-        for ids, context, _, _ in groups(batches):
-            parts.append((context << np.uint64(32)) | ids)
-            if sum(map(len, parts)) >= GATHERED:
-                yield packed(parts)
-                parts = []
-        if parts:
-            yield packed(parts)
-
-    def write_pairs(batches):
-        for shard, (k, c) in by_shard(batches, ["k", "c"]):
-            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            arrays = level_two(k[first].view(np.uint64), np.add.reduceat(c.astype(np.int64), first), trie)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "file": [write_arrays(folder, arrays)], "n": [len(first)]})
-
-    pairs = numbered.mapInArrow(count_pairs, "shard int, k long, c int")
-    written = pairs.repartition(pair_shards, "shard").sortWithinPartitions("shard", "k").mapInArrow(write_pairs, "shard long, file string, n long")
-    level = sorted(stage_table(written, "lm_level2").collect())  # a row per shard
-    trie.pairs = {r.shard: r.file for r in level}
-    trie.pair_starts = dict(zip(trie.pairs, np.cumsum([0] + [r.n for r in level]).tolist(), strict=False))
-    train_triples(numbered, groups, trie, shard_count(tokens, PAIRS_PER_SHARD))
-    return trie
-
-
-def train_triples(numbered: DataFrame, groups, trie: Trie, shards: int) -> None:
-    """Level 3, a range of shards after the other."""
-    trie.triple_shards = shards
-    ranges = min(shards, 1 << max(0, -(-trie.tokens // TRIPLES_PER_RANGE) - 1).bit_length())
-    size = shards // ranges
-    jvm = numbered.sparkSession.sparkContext._jvm
-
-    def packed(parts: list[tuple]) -> pa.RecordBatch:
-        pair, word = (np.concatenate(x) for x in zip(*parts, strict=True))
-        kinds, place = np.unique(pair, return_inverse=True)
-        keys, counts = np.unique((place.astype(np.uint64) << np.uint64(32)) | word, return_counts=True)
-        pair, word = kinds[(keys >> np.uint64(32)).astype(np.int64)], keys & np.uint64(0xFFFFFFFF)
-        shard = triple_shard(pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF), word, shards)
-        columns = [pa.array(shard.astype(np.int32)), pa.array(pair.view(np.int64)), pa.array(word.view(np.int64)), pa.array(counts.astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "k", "w", "c"])
+
+def manifest(shard: int, folder: str, arrays: dict[str, np.ndarray], sequences: tuple[str, ...]) -> pa.RecordBatch:
+    """Store a shard's arrays."""
+    row = [shard], [write_arrays(folder, arrays)], [len(arrays["chance"])], [places(arrays, sequences)]
+    return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), pa.array(row[1]), pa.array(row[2], pa.int64()), pa.array(row[3], pa.list_(pa.int64()))], ["shard", "file", "n", "places"])
+
+
+def train_pairs(training: DataFrame, trie: Trie, shards: int) -> None:
+    sequences = ("context", "word", "count")
+
+    def count(batches):
+        for shard, mixed, context, word in gathered((*spread(None, context, word, shards), context, word) for word, context, _ in blocks(batches, trie.end())):
+            which, counts = summed(mixed, None, context, word)
+            yield packed(shard[which], [context[which], word[which], counts.astype(np.uint32)])
 
     def write(batches):
-        for shard, (k, w, c) in by_shard(batches, ["k", "w", "c"]):
-            first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])]))
-            arrays = level_three(k[first].view(np.uint64), w[first], np.add.reduceat(c.astype(np.int64), first), trie)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "file": [write_arrays(trie.folder, arrays)]})
+        for shard, (context, word, c) in unpacked(batches, 3):
+            keys = (context.astype(np.uint64) << HALF) | word
+            order = np.argsort(keys)
+            keys, c = keys[order], c[order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            yield manifest(shard, trie.folder, level_two(keys[first], np.add.reduceat(c, first), trie), sequences)
+
+    rows = written(training.mapInArrow(count, "shard int, data binary"), "lm_level2", shards, write)
+    trie.pairs = Level(trie.folder, rows, shards, trie.kinds, sequences)
+
+
+def train_triples(training: DataFrame, trie: Trie, shards: int) -> None:
+    """Level 3, a range of shards after the other."""
+    ranges = min(RANGES, shards, 1 << max(0, -(-trie.tokens // TRIPLES_PER_RANGE) - 1).bit_length())
+    size = shards // ranges  # a power of two
+    jvm = training.sparkSession.sparkContext._jvm
+
+    def chosen(batches, part: int):
+        end = trie.end()
+        for word, context, first in blocks(batches, end):
+            shard, mixed = spread(first, context, word, shards)
+            which = np.flatnonzero((shard >> (size.bit_length() - 1) == part) & (context != end))
+            yield shard[which], mixed[which], first[which], context[which], word[which]
 
     def count(batches, part: int):
-        parts: list[tuple] = []
-        for ids, context, first, end_id in groups(batches):
-            shard = triple_shard(first, context, ids, shards)
-            chosen = (shard // size == part) & (context != end_id)
-            parts.append(((first[chosen] << np.uint64(32)) | context[chosen], ids[chosen]))
-            if sum(len(p[0]) for p in parts) >= GATHERED:
-                yield packed(parts)
-                parts = []
-        if parts:
-            yield packed(parts)
-
-    files = {}
+        for shard, mixed, first, context, word in gathered(chosen(batches, part)):
+            which, counts = summed(mixed, None, first, context, word)
+            yield packed(shard[which], [first[which], context[which], word[which], counts.astype(np.uint32)])
+
+    def write(batches):
+        for shard, (first, context, word, c) in unpacked(batches, 4):
+            c = c.astype(np.int64)
+            mixed = spread(first, context, word, shards)[1] << SHARD_BITS
+            which, c = summed(mixed, c, first, context, word)
+            pair, word = (first[which].astype(np.uint64) << HALF) | context[which], word[which].astype(np.int64)
+            if not distinct(mixed[which], len(mixed)):
+                order = np.lexsort((word, pair))
+                pair, word, c = pair[order], word[order], c[order]
+                new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (word[1:] != word[:-1])]))
+                pair, word, c = pair[new], word[new], np.add.reduceat(c, new)
+            yield manifest(shard, trie.folder, level_three(pair, word, c, trie), ("context", "word"))
+
+    rows = []
     for part in range(ranges):
-        triples = numbered.mapInArrow(lambda batches, part=part: count(batches, part), "shard int, k long, w long, c int")
-        written = triples.repartition(max(16, size), "shard").sortWithinPartitions("shard", "k", "w").mapInArrow(write, "shard long, file string")
-        files |= {r.shard: r.file for r in stage_table(written, "lm_level3").collect()}  # a row per shard
-        del triples, written
+        triples = training.mapInArrow(lambda batches, part=part: count(batches, part), "shard int, data binary")
+        rows += written(triples, "lm_level3", max(16, size), write)
+        del triples
         gc.collect()
         jvm.System.gc()  # the exchange goes when the driver no longer refers to it
-    trie.triples = files
+    trie.triples = Level(trie.folder, rows, shards, trie.kinds, ("context", "word"))
 
 
-def score(docs: DataFrame, trie: Trie) -> DataFrame:
-    """Scores of a table with ``_id``, ``held_out`` and the binary ``_text``."""
+def score(numbered: DataFrame, trie: Trie) -> DataFrame:
+    """Scores of a table with ``_id``, ``held_out`` and the ``ids`` of ``train``."""
     names = ["n_tokens", "n_known", "base_score", "score", "score2"]
-    id_type = docs.schema["_id"].dataType.simpleString()
+    id_type = numbered.schema["_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            parts = [trie.score(group) for group in chunks((x or b"" for x in batch.column("_text").to_pylist()), SCORED)]
-            columns = [pa.array(np.concatenate([p[n] for p in parts])) for n in names]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), *columns], ["_id", "held_out", *names])
+            if batch.num_rows:
+                found = trie.score(*ids_of(batch))
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), *(pa.array(found[n]) for n in names)], ["_id", "held_out", *names])
 
-    return docs.select("_id", "held_out", "_text").mapInArrow(
-        run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, score2 double"
-    )
+    return numbered.mapInArrow(run, f"_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, score2 double")
+
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").alias("_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("_text"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Train on the documents that are not held out and score all of them."""
-    rows = docs.select(F.col("doc_id").alias("_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("_text"))
-    trie = train(rows.filter(~F.col("held_out")))
-    return score(rows, trie).select(
+    trie, numbered = train(rows_of(docs))
+    return score(numbered, trie).select(
         F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score", "score2"
     )
