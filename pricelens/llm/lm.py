@@ -62,9 +62,8 @@ END = np.uint64(1)
 GATHERED = 1_000_000
 #: Tokens whose pairs and triples are made distinct and looked up together.
 SCORED = 1 << 19
-#: Queries in one pass through a level; queries a shard from which on shards are passed one by one.
+#: Queries in one pass through a level.
 ASKED = 1 << 14
-ALONE = 1000
 WORDS_PER_SHARD = 500_000
 PAIRS_PER_SHARD = 1_000_000
 MAX_SHARDS = 4096
@@ -104,6 +103,9 @@ def shard_count(n: int, per_shard: int) -> int:
 
 def spread(first: np.ndarray | None, context: np.ndarray, word: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Shards (a power of two) of pairs, or of triples; and 64 bits that order them by shard and tell them apart."""
+    if len(word) > ASKED:  # arrays that stay in the cache
+        parts = [spread(None if first is None else first[a : a + ASKED], context[a : a + ASKED], word[a : a + ASKED], shards) for a in range(0, len(word), ASKED)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     context, word = context.astype(np.uint64), word.astype(np.uint64)
     block, own = word >> np.uint64(BLOCK_BITS), word & np.uint64((1 << BLOCK_BITS) - 1)
     key = context * np.uint64(0x9E3779B97F4A7C15) + block
@@ -191,36 +193,25 @@ class Level:
             self._found[name] = Sequences([self._space, half, half, half, self._space], self.places[:, at : at + 3], starts)
 
     def find(self, shard: np.ndarray, contexts: np.ndarray, words: np.ndarray):
-        """Parts of the queries whose words follow their context: which, the rows of their shards (one number for all, or each), and their places there."""
+        """Parts of the queries whose words follow their context: which, the rows of their shards, and their places there."""
         self._open()
         order = in_file_order(shard, contexts)
-        row = self.row[shard[order]]
-        cuts = np.flatnonzero(np.diff(row, prepend=-2))
-        alone = len(cuts) * ALONE <= len(row)  # many queries a shard: its parameters are numbers
-        cuts = np.append(cuts, len(row)).tolist() if alone else [0, len(row)]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            for a in range(begin, end, ASKED):
-                which = order[a : min(a + ASKED, end)]
-                if alone:
-                    some = row[a]
-                    if some < 0:
-                        continue
-                else:
-                    some = row[a : a + len(which)]
-                    there = np.flatnonzero(some >= 0)
-                    which, some = which[there], some[there]
-                node = self._found["context"].find(some, contexts[which].astype(np.uint64))
-                known = np.flatnonzero(node >= 0)
-                which, some = which[known], some if alone else some[known]
-                at = self._found["word"].find(some, node[known].astype(np.uint64) * np.uint64(self.kinds) + words[which].astype(np.uint64))
-                known = np.flatnonzero(at >= 0)
-                yield which[known], some if alone else some[known], at[known]
-
-    def stored(self, row, at: np.ndarray) -> np.ndarray:
+        order = order[self.row[shard[order]] >= 0]
+        for a in range(0, len(order), ASKED):
+            which = order[a : a + ASKED]
+            row = self.row[shard[which]]
+            node = self._found["context"].find(row, contexts[which].astype(np.uint64))
+            known = np.flatnonzero(node >= 0)
+            which, row = which[known], row[known]
+            at = self._found["word"].find(row, node[known].astype(np.uint64) * np.uint64(self.kinds) + words[which].astype(np.uint64))
+            known = np.flatnonzero(at >= 0)
+            yield which[known], row[known], at[known]
+
+    def stored(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Stored log10 probabilities."""
         return self._values[self._levels[row] + self._bytes[self._chances[row] + at]]
 
-    def counts(self, row, at: np.ndarray) -> np.ndarray:
+    def counts(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self._found["count"].steps(row, at).astype(np.int64)
 
 
